@@ -6,7 +6,10 @@ Times are in milliseconds, sizes in bytes.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.schemas import EVENT_LOG
@@ -44,14 +47,15 @@ MEASURES = (*TASK_FIELDS, "shuffleTotalBytesRead")
 
 
 def parse_events(lines: DataFrame, *kinds: str) -> DataFrame:
-    """Events of some kinds. A substring test drops all other lines before any JSON is parsed."""
-    named = [F.col("value").contains(kind) for kind in kinds]
-    wanted = named[0]
-    for test in named[1:]:
-        wanted = wanted | test
-    event = F.from_json("value", EVENT_LOG)
-    parsed = lines.filter(wanted).select("app_id", event.alias("event")).filter(F.col("event.Event").isin(*kinds))
-    return parsed.select("app_id", "event.*")
+    """Events of some kinds.
+
+    Spark writes the kind first in a line, so a prefix test drops all other lines before any JSON is parsed. `inline`
+    keeps later conditions above the parser; pushed below it they would parse each line a second time. A line that was
+    cut off while being written gives no event.
+    """
+    wanted = reduce(or_, [F.col("value").startswith(f'{{"Event":"{kind}"') for kind in kinds])
+    parsed = lines.filter(wanted).select("app_id", F.inline(F.array(F.from_json("value", EVENT_LOG))))
+    return parsed.filter(F.col("Event").isNotNull())
 
 
 def _measures() -> dict[str, Column]:
@@ -91,31 +95,36 @@ def stage_metrics(lines: DataFrame, since: int | None = None, until: int | None
 
     `since` and `until` (epoch milliseconds) keep the stages submitted in between, to measure one part of a program.
     """
-    events = parse_events(lines, TASK_END, STAGE_COMPLETED)
-    is_task = F.col("Event") == TASK_END
+    events = parse_events(lines, TASK_END, STAGE_COMPLETED, JOB_START)
+    # Tasks, stage ends and job starts meet in one grouping, so the log is read and parsed once. A job start stands
+    # for each stage it names, without an attempt.
     rows = events.select(
         "app_id",
-        F.coalesce("Stage ID", "Stage Info.Stage ID").alias("stageId"),
-        F.coalesce("Stage Attempt ID", "Stage Info.Stage Attempt ID").alias("stageAttempt"),
-        F.when(is_task, 1).alias("task"),
+        F.when(F.col("Event") == TASK_END, 1).alias("task"),
+        F.when(F.col("Event") == JOB_START, F.col("Job ID")).alias("job"),
         F.col("Stage Info.Submission Time").alias("submitted"),
         F.col("Stage Info.Completion Time").alias("completed"),
+        F.coalesce("Stage Attempt ID", "Stage Info.Stage Attempt ID").alias("stageAttempt"),
         *[value.alias(name) for name, value in _measures().items()],
+        F.explode(F.coalesce("Stage IDs", F.array(F.coalesce("Stage ID", "Stage Info.Stage ID")))).alias("stageId"),
     )
-    # Tasks and stage ends meet in one grouping, so the log is scanned and shuffled once for both.
     stages = rows.groupBy("app_id", "stageId", "stageAttempt").agg(
+        F.min("job").alias("job"),
         F.max("submitted").alias("submissionTime"),
         F.max("completed").alias("completionTime"),
         (F.max("completed") - F.max("submitted")).alias("stageDuration"),
         F.count("task").alias("numTasks"),
         *[(F.max(name) if name == PEAK else F.sum(name)).alias(name) for name in MEASURES],
     )
+    # The few rows of one stage: its attempts and the row of its jobs, of which the first ran it.
+    same_stage = Window.partitionBy("app_id", "stageId")
+    stages = stages.withColumn("jobId", F.min("job").over(same_stage)).drop("job")
     stages = stages.filter(F.col("completionTime").isNotNull())
     if since is not None:
         stages = stages.filter(F.col("submissionTime") >= since)
     if until is not None:
         stages = stages.filter(F.col("submissionTime") <= until)
-    return stages.join(stage_jobs(lines), ["app_id", "stageId"], "left")
+    return stages
 
 
 def app_metrics(stages: DataFrame) -> DataFrame:

@@ -45,11 +45,10 @@ def parse_logs(lines: DataFrame, column: str = "value", spaces: str = " +") -> D
         *[F.col("_part")[n].alias(name) for n, name in enumerate(FIELDS)],
     )
 
-    clock = F.regexp_replace("timestamp", ",", ".")
+    clock = F.translate("timestamp", ",", ".")
     zoned = F.col("timestamp").rlike(r"(?:Z|[+-]\d{2}:?\d{2})$")
     to_utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), clock.try_cast("timestamp").cast("timestamp_ntz"))
     time = F.when(zoned, to_utc).otherwise(clock.try_cast("timestamp_ntz"))
     app = F.when(F.col("log_message").contains("Asked to launch executor"), F.regexp_extract("log_message", LAUNCH, 1))
-    return fields.withColumns({"event_time": time, "spark_app_name": F.nullif(app, F.lit(""))}).withColumn(
-        "day", F.date_format("event_time", "yyyy.MM.dd")
-    )
+    parsed = fields.withColumns({"event_time": time, "spark_app_name": F.nullif(app, F.lit(""))})
+    return parsed.withColumn("day", F.translate(F.col("event_time").cast("date").cast("string"), "-", "."))

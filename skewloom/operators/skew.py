@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.salt import row_salt
+from ..session import store
 from .joins import align
 
 # Salts over a whole table, and copies made of each row.
@@ -24,11 +25,19 @@ def skew_report(df: DataFrame, column: str) -> DataFrame:
 def make_skew(df: DataFrame, column: str, value: Column, factor: int = SKEW_FACTOR) -> DataFrame:
     """All rows of `df`, and `factor` copies of each with `column` set to `value`.
 
-    The copies come from one scan, whatever the factor. `value` is cast to the column's type, which is thereby kept.
+    Original and copies come from one evaluation of `df`, whatever the factor. `value` is cast to the column's type,
+    which is thereby kept.
     """
-    copies = df.withColumn(column, value.cast(df.schema[column].dataType))
-    copies = copies.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(factor)))).drop("_copy")
-    return df.unionByName(copies)
+    marked = df.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(factor))))
+    value = value.cast(df.schema[column].dataType)
+    return marked.withColumn(column, F.when(F.col("_copy") == 0, F.col(column)).otherwise(value)).drop("_copy")
+
+
+def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows that an inner join on `keys` can match: those without a null key."""
+    for key in keys:
+        df = df.filter(F.col(key).isNotNull())
+    return df
 
 
 def hot_keys(df: DataFrame, keys: str | Sequence[str], salt_factor: int = SALT_FACTOR) -> DataFrame:
@@ -36,9 +45,10 @@ def hot_keys(df: DataFrame, keys: str | Sequence[str], salt_factor: int = SALT_F
 
     A key with a share s of the rows gets ceil(s * salt_factor) salts, so every salted group is about 1/salt_factor of
     the table. There can be no more than `salt_factor` such keys: the result is small however large the table is.
+    `store` it before it is used twice.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    counts = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = with_keys(df, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total = counts.agg(F.sum("_rows")).scalar()
     scaled = F.col("_rows") * F.lit(salt_factor)
     return counts.filter(scaled > total).select(*keys, F.ceil(scaled / total).cast("int").alias("_salts"))
@@ -56,10 +66,10 @@ def salt_sides(
     keys = list(keys)
     columns = salt_on or left.columns
     salt = F.coalesce(row_salt(F.col("_salts"), columns), F.lit(0))
-    left = left.dropna(subset=keys).join(F.broadcast(hot), keys, "left")
+    left = with_keys(left, keys).join(F.broadcast(hot), keys, "left")
     left = left.withColumn("_salt", salt).drop("_salts")
     every_salt = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
-    right = right.dropna(subset=keys).join(F.broadcast(hot), keys, "left")
+    right = with_keys(right, keys).join(F.broadcast(hot), keys, "left")
     right = right.withColumn("_salt", every_salt).drop("_salts")
     return left, right
 
@@ -75,10 +85,10 @@ def salted_join(
 ) -> DataFrame:
     """Inner join whose hot keys are spread over many tasks; the same rows as the plain join.
 
-    Filter `left` before, not after: a condition on a salted column cannot reach the scan.
+    Without `hot` a first job counts the left side's keys (that column only) and stores the hot ones. Filter `left` before, not after: a condition on a salted column cannot reach the scan.
     """
     keys = list(on)
-    hot = hot_keys(left, keys, salt_factor) if hot is None else hot
+    hot = store(hot_keys(left, keys, salt_factor), "hot-keys") if hot is None else hot
     left, right = salt_sides(left, align(left, right, on, prefix), keys, hot, salt_on)
     return left.join(right, [*keys, "_salt"], "inner").drop("_salt")
 
@@ -99,7 +109,7 @@ def copartitioned_join(
     partitioning. Without `partitions` the session's shuffle setting applies and AQE may merge small partitions.
     """
     keys = list(on)
-    hot = hot_keys(left, keys, salt_factor) if hot is None else hot
+    hot = store(hot_keys(left, keys, salt_factor), "hot-keys") if hot is None else hot
     left, right = salt_sides(left, align(left, right, on, prefix), keys, hot, salt_on)
     layout = [*([partitions] if partitions else []), *keys, "_salt"]
     joined = left.repartition(*layout).join(right.repartition(*layout).hint("merge"), [*keys, "_salt"], "inner")

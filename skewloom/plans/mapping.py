@@ -219,7 +219,9 @@ def event_lines(spark: SparkSession, folder: str) -> DataFrame:
             )
         ).alias("value"),
     )
-    return jobs.unionByName(stages).unionByName(tasks)
+    lines = jobs.unionByName(stages).unionByName(tasks)
+    # The generator keeps conditions on a line from being copied below it, where each would format the line again.
+    return lines.select("app_id", F.explode(F.array("value")).alias("value"))
 
 
 def app_table(spark: SparkSession, folder: str) -> DataFrame:

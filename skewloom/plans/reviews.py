@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import equi_join
+from ..operators.layout import fewer_partitions
 from ..operators.skew import SALT_FACTOR, copartitioned_join, hot_keys, salted_join
+from ..session import store
 
 BUSINESS_KEY = {"business_id": "business_id"}
 USER_KEY = {"user_id": "user_id"}
@@ -29,7 +31,7 @@ def with_users_copartitioned(
     with_business: DataFrame, reviews: DataFrame, users: DataFrame, partitions: int | None = None
 ) -> DataFrame:
     """The second join over two sides partitioned alike. Hot users are looked for in `reviews`, before any join."""
-    hot = hot_keys(reviews, "user_id")
+    hot = store(hot_keys(reviews, "user_id"), "hot-users")
     return copartitioned_join(with_business, users, USER_KEY, partitions, hot, prefix="user_")
 
 
@@ -43,9 +45,14 @@ def skew_query(reviews: DataFrame, business: DataFrame, day: dt.date) -> DataFra
 
 
 def salted_skew_query(
-    reviews: DataFrame, business: DataFrame, day: dt.date, salt_factor: int = SALT_FACTOR
+    reviews: DataFrame,
+    business: DataFrame,
+    day: dt.date,
+    salt_factor: int = SALT_FACTOR,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """The same result with hot businesses salted."""
+    """The same result with hot businesses salted, in `partitions` partitions if given."""
     slim = on_date(reviews, day).select("review_id", "user_id", "business_id", "date")
     joined = salted_join(slim, business, BUSINESS_KEY, salt_factor=salt_factor, prefix="business_")
-    return joined.select(*SKEW_COLUMNS)
+    joined = joined.select(*SKEW_COLUMNS)
+    return fewer_partitions(joined, partitions) if partitions else joined

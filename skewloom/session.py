@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # The tuning settings offered to users, by profile name.
 PROFILES: dict[str, dict[str, str]] = {
@@ -89,3 +89,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = _local_scratch()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def store(df: DataFrame, label: str) -> DataFrame:
+    """Run `df` once into a scratch table and read it back: later uses cost a scan and see the same rows."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
