@@ -66,6 +66,8 @@ TIMED_SUMS = f"""{SUMS}, CAST(sum(time_taken_seconds) AS BIGINT) AS total_time_t
 ROUTE = "PU_Borough, PU_Zone, DO_Borough, DO_Zone"
 
 ROUTE_TOTALS = f"{_rides(WIDE)} SELECT {ROUTE}, {SUMS} FROM rides GROUP BY {ROUTE}"
+ROUTE_TOTALS_DATED = f"""{TIMED} SELECT ingestion_timestamp, {ROUTE}, {TIMED_SUMS}
+    FROM timed GROUP BY ingestion_timestamp, {ROUTE}"""
 COMPANY_TOTALS_DATED = f"""{TIMED} SELECT ingestion_timestamp, hvfhs_license_num, {TIMED_SUMS}
     FROM timed GROUP BY ingestion_timestamp, hvfhs_license_num"""
 
@@ -301,8 +303,8 @@ ORACLES: dict[str, str] = {
     "route_totals_sql": ROUTE_TOTALS,
     "route_totals_csv_zones": ROUTE_TOTALS,
     "company_totals": f"{_rides(WIDE)} SELECT hvfhs_license_num, {SUMS} FROM rides GROUP BY hvfhs_license_num",
-    "route_totals_dated": f"""{TIMED} SELECT ingestion_timestamp, {ROUTE}, {TIMED_SUMS}
-        FROM timed GROUP BY ingestion_timestamp, {ROUTE}""",
+    "route_totals_dated": ROUTE_TOTALS_DATED,
+    "route_totals_dated_from_trips": ROUTE_TOTALS_DATED,
     "company_totals_dated": COMPANY_TOTALS_DATED,
     "fare_sum_null_as_zero": f"""WITH {TRIPS} SELECT hvfhs_license_num,
         round(sum(CASE WHEN dropoff_datetime >= pickup_datetime THEN {FARE} END), 2) AS total_fare,

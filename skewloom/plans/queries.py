@@ -81,6 +81,10 @@ def route_totals_from_trips(spark, folder):
     return _cents(rides.route_totals_from_trips(mapping.trips(spark, folder), mapping.zones(spark, folder)))
 
 
+def route_totals_dated_from_trips(spark, folder):
+    return _cents(rides.route_totals_from_trips(mapping.trips(spark, folder), mapping.zones(spark, folder), True, DAY))
+
+
 def route_totals_sql(spark, folder):
     register_views(skewloom_rides=_rides(spark, folder))
     return spark.sql(
@@ -252,7 +256,7 @@ def route_totals_csv_zones(spark, folder):
 def partitioned_append(spark, folder):
     path = scratch_path(spark, "appended")
     for _ in range(2):
-        write_table(_timed(spark, folder), path, mode="append", by=[rides.DAY])
+        write_table(_timed(spark, folder), path, mode="append", by=[rides.DAY], rebalance=False)
     return spark.read.parquet(path)
 
 
@@ -379,6 +383,7 @@ QUERIES: dict[str, Query] = {
     "rides_ordered_top": rides_ordered_top,
     "route_totals": route_totals,
     "route_totals_from_trips": route_totals_from_trips,
+    "route_totals_dated_from_trips": route_totals_dated_from_trips,
     "route_totals_sql": route_totals_sql,
     "route_totals_csv_zones": route_totals_csv_zones,
     "company_totals": company_totals,

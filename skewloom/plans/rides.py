@@ -83,9 +83,15 @@ def company_totals(rides: DataFrame, timed: bool = False) -> DataFrame:
     return totals(rides, ((DAY,) if timed else ()) + (COMPANY,), ride_sums(timed))
 
 
-def route_totals_from_trips(trips: DataFrame, zones: DataFrame) -> DataFrame:
-    """`route_totals(rides(trips, zones))`, summed per pair of location ids before the zones are joined."""
-    return totals_by_role(trips, zones, ZONE_KEY, ROLES, ZONE_COLUMNS, ride_sums())
+def route_totals_from_trips(
+    trips: DataFrame, zones: DataFrame, timed: bool = False, day: dt.date | None = None
+) -> DataFrame:
+    """Route totals of `rides(trips, zones)`, summed per pair of location ids before the zones are joined."""
+    if not timed:
+        return totals_by_role(trips, zones, ZONE_KEY, ROLES, ZONE_COLUMNS, ride_sums())
+    trips = with_elapsed(trips, "pickup_datetime", "dropoff_datetime")
+    result = totals_by_role(trips, zones, ZONE_KEY, ROLES, ZONE_COLUMNS, ride_sums(timed=True))
+    return with_day(result, DAY, day).select(DAY, *result.columns)
 
 
 @dataclass(frozen=True)
@@ -109,11 +115,14 @@ class RideJob:
         return timed_rides(result, day) if self.timed else result
 
     def tables(self, trips: DataFrame, zones: DataFrame, day: dt.date | None = None) -> dict[str, DataFrame]:
-        """The lazy results. Only `rides` is sorted: an order below a total would be a wasted shuffle."""
+        """The lazy results. Only `rides` is sorted: an order below a total would be a wasted shuffle.
+
+        Route totals use no company name, so they start from the trips whatever the naming.
+        """
         enriched = self.rides(trips, zones, day)
         return {
             "rides": newest_first(enriched, "request_datetime", TIES) if self.sort else enriched,
-            "total_trip_time": route_totals(enriched, self.timed),
+            "total_trip_time": route_totals_from_trips(trips, zones, self.timed, day),
             "hvfhs_license_num": company_totals(enriched, self.timed),
         }
 
@@ -138,8 +147,10 @@ class RideJob:
         paths = []
         if self.rides_by is not None:
             path = f"{target}/rides"
+            # One run has one day, so each task writes one file and rebalancing would only move all rides once more.
             unsorted = self.rides(trips, zones, day)
-            write_table(unsorted if self.rides_by else results["rides"], path, fmt, self.mode, self.rides_by)
+            frame = unsorted if self.rides_by else results["rides"]
+            write_table(frame, path, fmt, self.mode, self.rides_by, rebalance=self.rides_by != (DAY,))
             paths.append(path)
             if self.mode == "overwrite":
                 stored = spark.read.format(fmt).load(path)
