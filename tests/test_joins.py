@@ -1,0 +1,176 @@
+import pytest
+from pyspark.sql import functions as F
+
+from skewloom.operators.joins import equi_join, fits_broadcast, role_join
+from skewloom.operators.skew import copartitioned_join, hot_keys, salted_join
+from skewloom.operators.totals import totals, totals_by_role
+from skewloom.plans import mapping
+from skewloom.plans.rides import (
+    RIDE_JOBS,
+    ROLES,
+    ROUTE,
+    ZONE_COLUMNS,
+    ZONE_KEY,
+    company_totals,
+    name_companies,
+    rides,
+    route_totals,
+    route_totals_from_trips,
+)
+
+
+@pytest.fixture
+def zones(spark):
+    rows = [("1", "North", "A"), ("2", "South", "B"), ("3", "South", "C"), ("N/A", "Nowhere", "D")]
+    return spark.createDataFrame(rows, "LocationID string, Borough string, Zone string")
+
+
+@pytest.fixture
+def facts(spark):
+    rows = [(1, 1, 2, 10.0), (2, 2, 1, 20.0), (3, 1, 99, 30.0), (4, None, 1, 40.0), (5, 1, 2, None)]
+    return spark.createDataFrame(rows, "id int, PULocationID bigint, DOLocationID bigint, fare double")
+
+
+@pytest.fixture
+def sides(spark):
+    """A third of the left rows on one key, null keys, keys without partner, two right rows per key."""
+    left = spark.range(0, 6_000, 1, 4).select(
+        F.col("id").alias("review"),
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 11 == 0, None).otherwise(F.col("id") % 500).alias("key"),
+        F.lit("left").alias("name"),
+    )
+    right = spark.range(0, 900, 1, 4).select(
+        F.when(F.col("id") == 13, None).otherwise(F.col("id") % 450).alias("other"),
+        F.concat(F.lit("n"), F.col("id")).alias("name"),
+    )
+    return left, right
+
+
+def test_role_join(facts, zones):
+    joined = role_join(facts, zones, ZONE_KEY, ROLES, ZONE_COLUMNS)
+    rows = {row.id: (row.PU_Borough, row.PU_Zone, row.DO_Borough, row.DO_Zone) for row in joined.collect()}
+    assert rows == {1: ("North", "A", "South", "B"), 2: ("South", "B", "North", "A"), 5: ("North", "A", "South", "B")}
+    assert joined.columns == facts.columns + list(ROUTE)
+
+
+def test_roles_share_one_broadcast(facts, zones, plan):
+    joined = role_join(facts, zones, ZONE_KEY, ROLES, ZONE_COLUMNS)
+    joined.collect()
+    text = plan(joined)
+    assert "ReusedExchange" in text and "SortMergeJoin" not in text.split("Initial Plan")[0]
+
+
+def test_one_hinted_role(facts, zones, plan, settings, same_rows):
+    settings("spark.sql.autoBroadcastJoinThreshold", "-1")
+    settings("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    hinted = role_join(facts, zones, ZONE_KEY, ROLES, ZONE_COLUMNS, hinted=("PU",))
+    text = plan(hinted)
+    assert text.count("BroadcastHashJoin") == 1 and text.count("SortMergeJoin") == 1
+    same_rows(hinted, role_join(facts, zones, ZONE_KEY, ROLES, ZONE_COLUMNS))
+
+
+def test_broadcast_is_measured_first(sides):
+    _, right = sides
+    assert fits_broadcast(right)
+    assert not fits_broadcast(right, max_rows=899)
+    assert not fits_broadcast(right, max_bytes=900)
+    assert fits_broadcast(right.limit(0))
+
+
+def test_large_side_is_not_broadcast(sides, plan, settings, monkeypatch):
+    settings("spark.sql.autoBroadcastJoinThreshold", "-1")
+    left, right = sides
+    assert "BroadcastHashJoin" in plan(equi_join(left, right, {"key": "other"}, "broadcast"))
+    assert "BroadcastHashJoin" in plan(equi_join(left, right, {"key": "other"}, "hint"))
+    monkeypatch.setattr("skewloom.operators.joins.fits_broadcast", lambda df: False)
+    assert "BroadcastHashJoin" not in plan(equi_join(left, right, {"key": "other"}, "broadcast"))
+    assert "BroadcastHashJoin" not in plan(equi_join(left, right, {"key": "other"}, "hint"))
+
+
+def test_unknown_strategy(sides):
+    with pytest.raises(ValueError):
+        equi_join(*sides, {"key": "other"}, "magic")
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+def test_all_strategies_give_the_same_rows(sides, settings, same_rows, threshold):
+    settings("spark.sql.autoBroadcastJoinThreshold", threshold)
+    left, right = sides
+    on = {"key": "other"}
+    expected = left.join(right.select(F.col("other").alias("key"), F.col("name").alias("right_name")), "key")
+    assert expected.count() > 4_000
+    for strategy in ("planner", "broadcast", "hint"):
+        same_rows(equi_join(left, right, on, strategy), expected)
+    same_rows(salted_join(left, right, on, salt_factor=20), expected)
+    same_rows(salted_join(left, right, on, hot=hot_keys(left, "key", 20), salt_on=["review"]), expected)
+    same_rows(copartitioned_join(left, right, on, salt_factor=20), expected)
+    same_rows(copartitioned_join(left, right, on, partitions=5, salt_factor=20), expected)
+
+
+def test_result_can_be_written(sides, tmp_path):
+    equi_join(*sides, {"key": "other"}).write.parquet(str(tmp_path / "joined"))
+
+
+def test_copartitioned_join_adds_no_exchange(spark, sides, plan):
+    left, right = sides
+    hot = spark.createDataFrame([(7, 4)], "key bigint, _salts int")
+    text = plan(copartitioned_join(left, right, {"key": "other"}, partitions=6, hot=hot))
+    assert text.count("REPARTITION_BY_NUM") == 2
+    assert "ENSURE_REQUIREMENTS" not in text
+    assert "SortMergeJoin" in text
+
+
+def test_hot_key_is_spread(spark, sides, settings):
+    settings("spark.sql.autoBroadcastJoinThreshold", "-1")
+    settings("spark.sql.adaptive.enabled", "false")
+    left, right = sides
+    hot = hot_keys(left, "key", 20)
+    joined = salted_join(left, right, {"key": "other"}, hot=hot).filter("key = 7")
+    assert joined.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_totals_before_or_after_the_zones(spark, facts, zones, same_rows):
+    doubled = zones.unionByName(spark.createDataFrame([("1", "North", "A2"), ("2", "South", "B")], zones.schema))
+    sums = {"total": F.col("fare"), "n": F.lit(1)}
+    for dimension in (zones, doubled):
+        late = totals(role_join(facts, dimension, ZONE_KEY, ROLES, ZONE_COLUMNS), ROUTE, sums)
+        same_rows(totals_by_role(facts, dimension, ZONE_KEY, ROLES, ZONE_COLUMNS, sums), late)
+
+
+def test_route_totals_join_zones_after_the_first_sum(spark, folder, plan):
+    text = plan(route_totals_from_trips(mapping.trips(spark, folder), mapping.zones(spark, folder)))
+    top = text[: text.index("l_orderkey")]
+    assert top.index("HashAggregate") < top.index("BroadcastHashJoin") < top.rindex("HashAggregate")
+
+
+def test_totals_read_only_what_they_need(spark, folder, plan):
+    enriched = rides(mapping.trips(spark, folder), mapping.zones(spark, folder))
+    text = plan(company_totals(enriched))
+    assert "l_shipdate" not in text and "l_returnflag" not in text
+    assert "IsNotNull(l_orderkey)" in text
+
+
+def test_no_sort_below_totals(spark, folder, plan):
+    trips, zones = mapping.trips(spark, folder), mapping.zones(spark, folder)
+    for job in RIDE_JOBS.values():
+        tables = job.tables(trips, zones)
+        for name in ("total_trip_time", "hvfhs_license_num"):
+            assert "rangepartitioning" not in plan(tables[name])
+    assert "rangepartitioning" in plan(RIDE_JOBS["sorted_overwrite"].tables(trips, zones)["rides"])
+
+
+def test_all_ride_jobs_agree(spark, folder, same_rows):
+    trips, zones = mapping.trips(spark, folder), mapping.zones(spark, folder)
+    expected = route_totals(rides(trips, zones))
+
+    def rounded(df):
+        return df.select(*ROUTE, F.round("total_fare", 2).alias("fare"), "total_trip_miles", "total_trip_time")
+
+    for job in RIDE_JOBS.values():
+        same_rows(rounded(job.tables(trips, zones)["total_trip_time"]), rounded(expected))
+
+
+@pytest.mark.parametrize("form, name", [("native", "9"), ("native_unknown", "Unknown"), ("row", "Unknown")])
+def test_company_naming(spark, form, name):
+    trips = spark.createDataFrame([("HV0003",), ("9",)], "hvfhs_license_num string")
+    assert {r[0] for r in name_companies(trips, form).collect()} == {"Uber", name}
