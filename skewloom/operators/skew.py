@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.salt import row_salt
 from ..session import store
@@ -15,6 +16,11 @@ from .joins import align
 SALT_FACTOR = 400
 SKEW_FACTOR = 5
 
+# Key types that Spark's frequent-items sketch takes, the most items it can track, and sketches in the last merge.
+SKETCHED = (T.StringType, T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DateType)
+SKETCH_LIMIT = 1_000_000
+SKETCH_GROUPS = 256
+
 
 def skew_report(df: DataFrame, column: str) -> DataFrame:
     """Rows per value, most frequent first."""
@@ -48,10 +54,37 @@ def hot_keys(df: DataFrame, keys: str | Sequence[str], salt_factor: int = SALT_F
     `store` it before it is used twice.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    counts = with_keys(df, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
+    rows = with_keys(df, keys)
+    if len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, SKETCHED):
+        counts = _frequent(rows, keys[0], salt_factor)
+    else:
+        counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        counts = counts.withColumn("_total", counts.agg(F.sum("_rows")).scalar())
     scaled = F.col("_rows") * F.lit(salt_factor)
-    return counts.filter(scaled > total).select(*keys, F.ceil(scaled / total).cast("int").alias("_salts"))
+    hot = counts.filter(scaled > F.col("_total"))
+    return hot.select(*keys, F.ceil(scaled / F.col("_total")).cast("int").alias("_salts"))
+
+
+def _frequent(rows: DataFrame, key: str, salt_factor: int) -> DataFrame:
+    """Frequent keys (key, _rows, _total), with counts estimated by a frequent-items sketch.
+
+    Grouping by the key would shuffle every distinct key of every task only to drop nearly all of them; a task's sketch
+    has a fixed size. It is large enough to catch each key with more than a fifth of the share asked for. The sketches
+    are merged in two steps, so that no task receives those of all others. The counts only choose the salts: the rows
+    of a salted join are the same whatever they are.
+    """
+    tracked = min(25 * salt_factor, SKETCH_LIMIT)
+    some = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))
+    sketches = rows.groupBy(some.alias("_part")).agg(
+        F.expr(f"approx_top_k_accumulate(`{key}`, {tracked})").alias("sketch"), F.count(F.lit(1)).alias("_total")
+    )
+    # Grouped by a constant, since merging without a group fails on a task that has no sketch to merge.
+    top = sketches.groupBy(F.lit(1)).agg(
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {min(salt_factor, tracked)})").alias("top"),
+        F.sum("_total").alias("_total"),
+    )
+    found = top.select("_total", F.inline("top"))
+    return found.select(F.col("item").alias(key), F.col("count").alias("_rows"), "_total")
 
 
 def salt_sides(
@@ -85,11 +118,15 @@ def salted_join(
 ) -> DataFrame:
     """Inner join whose hot keys are spread over many tasks; the same rows as the plain join.
 
-    Without `hot` a first job counts the left side's keys (that column only) and stores the hot ones. Filter `left` before, not after: a condition on a salted column cannot reach the scan.
+    Without `hot` a first job looks for the left side's hot keys (reading that column only) and stores them; if there
+    are none, this is the plain join. Filter `left` before, not after: a condition on a salted column cannot reach the scan.
     """
     keys = list(on)
+    right = align(left, right, on, prefix)
     hot = store(hot_keys(left, keys, salt_factor), "hot-keys") if hot is None else hot
-    left, right = salt_sides(left, align(left, right, on, prefix), keys, hot, salt_on)
+    if hot.isEmpty():
+        return left.join(right, keys, "inner")
+    left, right = salt_sides(left, right, keys, hot, salt_on)
     return left.join(right, [*keys, "_salt"], "inner").drop("_salt")
 
 
@@ -109,8 +146,12 @@ def copartitioned_join(
     partitioning. Without `partitions` the session's shuffle setting applies and AQE may merge small partitions.
     """
     keys = list(on)
+    right = align(left, right, on, prefix)
     hot = store(hot_keys(left, keys, salt_factor), "hot-keys") if hot is None else hot
-    left, right = salt_sides(left, align(left, right, on, prefix), keys, hot, salt_on)
-    layout = [*([partitions] if partitions else []), *keys, "_salt"]
-    joined = left.repartition(*layout).join(right.repartition(*layout).hint("merge"), [*keys, "_salt"], "inner")
+    salted = keys
+    if not hot.isEmpty():
+        left, right = salt_sides(left, right, keys, hot, salt_on)
+        salted = [*keys, "_salt"]
+    layout = [*([partitions] if partitions else []), *salted]
+    joined = left.repartition(*layout).join(right.repartition(*layout).hint("merge"), salted, "inner")
     return joined.drop("_salt")

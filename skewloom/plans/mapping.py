@@ -93,8 +93,11 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(" for job"), F.col("user_id"), F.lit("-nightly"),
     )
     message = F.when(F.col("event_type") == "purchase", launch).otherwise(F.col("props"))
+    # Formatted by way of text, which unlike date_format does not pass through the session's time zone.
+    clock = F.col("ts").cast("string")
+    stamp = F.concat(F.translate(clock.substr(1, 19), " ", "T"), F.lit(","), F.rpad(clock.substr(21, 3), 3, "0"))
     line = F.concat(
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss,SSS"), F.lit(" [task-"), F.col("user_id"), F.lit("] "), level,
+        stamp, F.lit(" [task-"), F.col("user_id"), F.lit("] "), level,
         F.lit(" app."), F.col("event_type"), F.lit(".Handler ["),
         F.when(F.col("event_type") == "signup", "web").otherwise(""), F.lit("] - "), message,
     )

@@ -120,6 +120,17 @@ def test_copartitioned_join_adds_no_exchange(spark, sides, plan):
     assert "SortMergeJoin" in text
 
 
+def test_even_keys_are_not_salted(spark, plan, settings, same_rows):
+    settings("spark.sql.autoBroadcastJoinThreshold", "-1")
+    left, right = spark.range(1_000).withColumn("a", F.lit(1)), spark.range(500).withColumn("b", F.lit(2))
+    for joined in (
+        salted_join(left, right, {"id": "id"}, salt_factor=100),
+        copartitioned_join(left, right, {"id": "id"}, partitions=5, salt_factor=100),
+    ):
+        assert "SPARK_PARTITION_ID" not in plan(joined)
+        same_rows(joined, left.join(right, "id"))
+
+
 def test_hot_key_is_spread(spark, sides, settings):
     settings("spark.sql.autoBroadcastJoinThreshold", "-1")
     settings("spark.sql.adaptive.enabled", "false")

@@ -60,14 +60,39 @@ def test_hot_keys_are_few_and_sized_by_their_share(spark, reviews):
     assert hot_keys(nulls, "key", 5).count() == 0
 
 
-def test_hot_keys_scan_once(spark, folder, plan):
-    hot = hot_keys(spark.read.parquet(f"{folder}/lineitem.parquet"), "l_partkey", 10_000)
-    hot.collect()
-    text = plan(hot)
-    assert "ReusedExchange" in text.split("Initial Plan")[0]
+def test_hot_keys_of_several_columns_or_other_types(spark):
+    df = spark.range(0, 1_000, 1, 4).select(
+        F.when(F.col("id") % 2 == 0, F.lit("a")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.lit(1.5).alias("d"),
+    )
+    assert hot_keys(df, ["k", "d"], 10).collect() == [("a", 1.5, 5)]
+    assert hot_keys(df, "d", 10).collect() == [(1.5, 10)]
+
+
+def test_every_hot_key_is_found(spark):
+    """A hundred keys just above the limit among many rare ones, spread over partitions."""
+    df = spark.range(0, 400_000, 1, 8).select(
+        F.when(F.col("id") % 2 == 0, F.pmod(F.xxhash64("id"), F.lit(100))).otherwise(F.col("id") + 1_000).alias("k")
+    )
+    found = {r.k for r in hot_keys(df, "k", 400).collect()}
+    expected = {r.k for r in df.groupBy("k").count().filter("count * 400 > 400000").collect()}
+    assert len(expected) > 90 and found >= expected
+    assert len(found) <= 400
+
+
+def test_hot_keys_shuffle_no_keys(spark, folder, plan):
+    text = plan(hot_keys(spark.read.parquet(f"{folder}/lineitem.parquet"), "l_partkey", 100))
+    assert "hashpartitioning(l_partkey" not in text and text.count("FileScan") == 1
     assert "ReadSchema: struct<l_partkey:bigint>" in text
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_no_rows_no_hot_keys(spark, reviews, business, settings, adaptive):
+    settings("spark.sql.adaptive.enabled", adaptive)
+    assert hot_keys(reviews.filter("business_id = 'none'"), "business_id").collect() == []
+    assert salted_skew_query(reviews, business, dt.date(1999, 1, 1)).count() == 0
+
+
 def test_salting_loses_nothing(reviews, business, same_rows, settings):
     expected = skew_query(reviews, business, DAY)
     assert expected.count() > 1_700
