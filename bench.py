@@ -1,6 +1,6 @@
 """Time the headline queries; prints one JSON line.
 
-BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS (default 3) and BENCH_ONLY (a comma-
+BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS (default 2) and BENCH_ONLY (a comma-
 separated list of names) choose what is run. Each query runs once to warm up, then its median time counts. A query is
 timed as a whole: building its plan, jobs it runs itself, and computing all of its rows, which go to the noop sink.
 """
@@ -93,7 +93,7 @@ FROM_LOG = {
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     only = set(filter(None, os.environ.get("BENCH_ONLY", "").split(",")))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
