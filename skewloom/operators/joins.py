@@ -20,7 +20,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Measure whether `df` may be sent to every executor. Runs a count, and sizes the rows only if the count allows.
 
-    A count of a Parquet table reads footers alone, so the check is cheap even for a table that is far too big.
+    A count of a Parquet table reads footers alone, so the check is cheap even for a table that is far too big. A frame
+    that is costly to compute should be stored first.
     """
     if df.count() > max_rows:
         return False

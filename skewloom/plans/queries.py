@@ -27,7 +27,7 @@ from ..operators.totals import row_counts, totals
 from ..session import scratch_path
 from ..sources.readers import list_files, read_csv, read_json, register_views
 from ..sources.schemas import STAGE_METRICS
-from ..sources.sinks import convert, replace_partitions, write_json, write_single_json, write_table, write_tsv
+from ..sources.sinks import convert, replace_partitions, write_json, write_single_json, write_table
 from ..streaming.logs import stream_logs
 from . import mapping, rides
 from .measured import STAGE_ORDER, write_report

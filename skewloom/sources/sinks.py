@@ -46,6 +46,7 @@ def create_clustered_table(
 ) -> None:
     """Declare an external table clustered by `by`; `columns` is DDL such as "a string, b double"."""
     keys = ", ".join(f"`{key}`" for key in by)
+    path = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"CREATE TABLE {name} ({columns}) USING {fmt} CLUSTER BY ({keys}) LOCATION '{path}'")
 
 
