@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .language import language_id
 from .packing import pack
 from .shared import table
 
@@ -12,7 +13,12 @@ def packed_windows(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"))
 
 
+def languages(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id(table(spark, folder, "documents"))
+
+
 QUERIES = {
+    "op4_compression_language": languages,
     "op6_sum_of_squares_packing": packed_windows,
 }
 
