@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .language import language_id
 from .packing import pack
 from .shared import table
+from .toxicity import toxicity
 
 
 def packed_windows(spark: SparkSession, folder: str) -> DataFrame:
@@ -17,7 +18,12 @@ def languages(spark: SparkSession, folder: str) -> DataFrame:
     return language_id(table(spark, folder, "documents"))
 
 
+def toxic_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES = {
+    "op1_multiple_instance_toxicity": toxic_documents,
     "op4_compression_language": languages,
     "op6_sum_of_squares_packing": packed_windows,
 }
