@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .language import language_id
 from .packing import pack
+from .rules import quality_rules
 from .shared import table
 from .toxicity import toxicity
 
@@ -22,9 +23,14 @@ def toxic_documents(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def ruled_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_multiple_instance_toxicity": toxic_documents,
     "op4_compression_language": languages,
+    "op7_line_frequency_rules": ruled_documents,
     "op6_sum_of_squares_packing": packed_windows,
 }
 
