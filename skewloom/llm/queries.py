@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontamination import decontaminate
 from .language import language_id
 from .packing import pack
 from .rules import quality_rules
@@ -27,8 +28,13 @@ def ruled_documents(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(table(spark, folder, "documents"))
 
 
+def contaminated_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_multiple_instance_toxicity": toxic_documents,
+    "op3_qgram_decontamination": contaminated_documents,
     "op4_compression_language": languages,
     "op7_line_frequency_rules": ruled_documents,
     "op6_sum_of_squares_packing": packed_windows,
