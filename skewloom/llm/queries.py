@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import decontaminate
 from .language import language_id
+from .line_dedup import line_dedup
 from .packing import pack
 from .rules import quality_rules
 from .shared import table
@@ -32,8 +33,13 @@ def contaminated_documents(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def deduplicated_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup(table(spark, folder, "documents")).select("doc_id", "text", "removed")
+
+
 QUERIES = {
     "op1_multiple_instance_toxicity": toxic_documents,
+    "op2_winnowed_line_dedup": deduplicated_lines,
     "op3_qgram_decontamination": contaminated_documents,
     "op4_compression_language": languages,
     "op7_line_frequency_rules": ruled_documents,

@@ -74,7 +74,8 @@ def bitmap(keys: DataFrame, key: str, bits: int = BITMAP_BITS) -> bytes:
     and where so many keys occur that most bits are set, the join does all of the work.
     """
     slot = F.col(key).bitwiseAND((1 << bits) - 1)
-    words = keys.select(F.shiftright(slot, 6).alias("word"), F.shiftleft(F.lit(1).cast("long"), slot.bitwiseAND(63).cast("int")).alias("bit"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(63).cast("int"))
+    words = keys.select(F.shiftright(slot, 6).alias("word"), bit.alias("bit"))
     rows = words.groupBy("word").agg(F.bit_or("bit").alias("bit")).toPandas()
     import numpy as np
 
