@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import decontaminate
+from .jaccard import jaccard_components
 from .language import language_id
 from .line_dedup import line_dedup
 from .packing import pack
@@ -37,11 +38,16 @@ def deduplicated_lines(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup(table(spark, folder, "documents")).select("doc_id", "text", "removed")
 
 
+def similar_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_multiple_instance_toxicity": toxic_documents,
     "op2_winnowed_line_dedup": deduplicated_lines,
     "op3_qgram_decontamination": contaminated_documents,
     "op4_compression_language": languages,
+    "op9_jaccard_components": similar_documents,
     "op7_line_frequency_rules": ruled_documents,
     "op6_sum_of_squares_packing": packed_windows,
 }
