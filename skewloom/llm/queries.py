@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import decontaminate
+from .hidden_markov import hidden_markov_scores
 from .jaccard import jaccard_components
 from .language import language_id
 from .line_dedup import line_dedup
@@ -42,11 +43,16 @@ def similar_documents(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(table(spark, folder, "documents"))
 
 
+def language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return hidden_markov_scores(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_multiple_instance_toxicity": toxic_documents,
     "op2_winnowed_line_dedup": deduplicated_lines,
     "op3_qgram_decontamination": contaminated_documents,
     "op4_compression_language": languages,
+    "op10_hidden_markov_model": language_model,
     "op9_jaccard_components": similar_documents,
     "op7_line_frequency_rules": ruled_documents,
     "op6_sum_of_squares_packing": packed_windows,
