@@ -10,6 +10,7 @@ from .jaccard import jaccard_components
 from .language import language_id
 from .line_dedup import line_dedup
 from .packing import pack
+from .personal_data import digest_columns, sanitise
 from .rules import quality_rules
 from .shared import table
 from .toxicity import toxicity
@@ -47,12 +48,17 @@ def language_model(spark: SparkSession, folder: str) -> DataFrame:
     return hidden_markov_scores(table(spark, folder, "documents"))
 
 
+def personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return digest_columns(sanitise(table(spark, folder, "documents")))
+
+
 QUERIES = {
     "op1_multiple_instance_toxicity": toxic_documents,
     "op2_winnowed_line_dedup": deduplicated_lines,
     "op3_qgram_decontamination": contaminated_documents,
     "op4_compression_language": languages,
     "op10_hidden_markov_model": language_model,
+    "op8_information_theoretic_sanitisation": personal_data,
     "op9_jaccard_components": similar_documents,
     "op7_line_frequency_rules": ruled_documents,
     "op6_sum_of_squares_packing": packed_windows,
