@@ -160,7 +160,7 @@ def disclosures(documents: DataFrame, window: int, support: int, generalise_at:
 
 
 def sanitise(
-    documents: DataFrame, window: int = 10, support: int = 3, generalise_at: float = 0.7, remove_at: float = 0.85
+    documents: DataFrame, window: int = 10, support: int = 2, generalise_at: float = 0.7, remove_at: float = 0.85
 ) -> DataFrame:
     """doc_id, text, spans of each row of `documents` (doc_id, text).
 
