@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontamination import decontaminate
 from .hidden_markov import hidden_markov_scores
 from .jaccard import jaccard_components
+from .kneser_ney import kneser_ney_quality
 from .language import language_id
 from .line_dedup import line_dedup
 from .packing import pack
@@ -52,6 +53,10 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return digest_columns(sanitise(table(spark, folder, "documents")))
 
 
+def language_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return kneser_ney_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES = {
     "op1_multiple_instance_toxicity": toxic_documents,
     "op2_winnowed_line_dedup": deduplicated_lines,
@@ -59,6 +64,7 @@ QUERIES = {
     "op4_compression_language": languages,
     "op10_hidden_markov_model": language_model,
     "op8_information_theoretic_sanitisation": personal_data,
+    "op5_kneser_ney_quality": language_quality,
     "op9_jaccard_components": similar_documents,
     "op7_line_frequency_rules": ruled_documents,
     "op6_sum_of_squares_packing": packed_windows,
