@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.salt import row_salt
-from ..session import store
+from ..session import small_frame
 from .joins import align
 
 # Salts over a whole table, and copies made of each row.
@@ -19,6 +19,7 @@ SKEW_FACTOR = 5
 # Key types that Spark's frequent-items sketch takes, the most items it can track, and sketches in the last merge.
 SKETCHED = (T.StringType, T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DateType)
 SKETCH_LIMIT = 1_000_000
+SKETCH_MARGIN = 25
 SKETCH_GROUPS = 256
 
 
@@ -51,8 +52,10 @@ def hot_keys(df: DataFrame, keys: str | Sequence[str], salt_factor: int = SALT_F
 
     A key with a share s of the rows gets ceil(s * salt_factor) salts, so every salted group is about 1/salt_factor of
     the table. There can be no more than `salt_factor` such keys: the result is small however large the table is.
-    `store` it before it is used twice.
+    A salt factor for which Spark's sketch could not track enough keys is refused.
     """
+    if not 1 <= salt_factor <= SKETCH_LIMIT // SKETCH_MARGIN:
+        raise ValueError(f"salt_factor must be from 1 to {SKETCH_LIMIT // SKETCH_MARGIN}")
     keys = [keys] if isinstance(keys, str) else list(keys)
     rows = with_keys(df, keys)
     if len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, SKETCHED):
@@ -73,14 +76,14 @@ def _frequent(rows: DataFrame, key: str, salt_factor: int) -> DataFrame:
     are merged in two steps, so that no task receives those of all others. The counts only choose the salts: the rows
     of a salted join are the same whatever they are.
     """
-    tracked = min(25 * salt_factor, SKETCH_LIMIT)
+    tracked = SKETCH_MARGIN * salt_factor
     some = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))
     sketches = rows.groupBy(some.alias("_part")).agg(
         F.expr(f"approx_top_k_accumulate(`{key}`, {tracked})").alias("sketch"), F.count(F.lit(1)).alias("_total")
     )
     # Grouped by a constant, since merging without a group fails on a task that has no sketch to merge.
     top = sketches.groupBy(F.lit(1)).agg(
-        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {min(salt_factor, tracked)})").alias("top"),
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {salt_factor})").alias("top"),
         F.sum("_total").alias("_total"),
     )
     found = top.select("_total", F.inline("top"))
@@ -93,7 +96,7 @@ def salt_sides(
     """Add `_salt` to both sides of a join on `keys`.
 
     A left row with a hot key draws one of that key's salts; a right row with a hot key appears once per salt; all other
-    rows have salt 0. So each pair meets exactly once and the join loses nothing. `hot` comes from `hot_keys`, whose
+    rows have salt 0. So each pair meets exactly once and the join loses nothing. `hot` must come from `hot_keys`, whose
     size has a bound, so it is broadcast. `salt_on` names the left columns the salt is drawn from, default all.
     """
     keys = list(keys)
@@ -118,12 +121,12 @@ def salted_join(
 ) -> DataFrame:
     """Inner join whose hot keys are spread over many tasks; the same rows as the plain join.
 
-    Without `hot` a first job looks for the left side's hot keys (reading that column only) and stores them; if there
-    are none, this is the plain join. Filter `left` before, not after: a condition on a salted column cannot reach the scan.
+    Without `hot` a first job looks for the left side's hot keys (reading that column only), of which there are at most
+    `salt_factor`; if there are none, this is the plain join. Filter `left` before, not after: a condition on a salted column cannot reach the scan.
     """
     keys = list(on)
     right = align(left, right, on, prefix)
-    hot = store(hot_keys(left, keys, salt_factor), "hot-keys") if hot is None else hot
+    hot = small_frame(hot_keys(left, keys, salt_factor), salt_factor) if hot is None else hot
     if hot.isEmpty():
         return left.join(right, keys, "inner")
     left, right = salt_sides(left, right, keys, hot, salt_on)
@@ -147,7 +150,7 @@ def copartitioned_join(
     """
     keys = list(on)
     right = align(left, right, on, prefix)
-    hot = store(hot_keys(left, keys, salt_factor), "hot-keys") if hot is None else hot
+    hot = small_frame(hot_keys(left, keys, salt_factor), salt_factor) if hot is None else hot
     salted = keys
     if not hot.isEmpty():
         left, right = salt_sides(left, right, keys, hot, salt_on)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.joins import equi_join
 from ..operators.layout import fewer_partitions
 from ..operators.skew import SALT_FACTOR, copartitioned_join, hot_keys, salted_join
-from ..session import store
+from ..session import small_frame
 
 BUSINESS_KEY = {"business_id": "business_id"}
 USER_KEY = {"user_id": "user_id"}
@@ -31,7 +31,7 @@ def with_users_copartitioned(
     with_business: DataFrame, reviews: DataFrame, users: DataFrame, partitions: int | None = None
 ) -> DataFrame:
     """The second join over two sides partitioned alike. Hot users are looked for in `reviews`, before any join."""
-    hot = store(hot_keys(reviews, "user_id"), "hot-users")
+    hot = small_frame(hot_keys(reviews, "user_id"), SALT_FACTOR)
     return copartitioned_join(with_business, users, USER_KEY, partitions, hot, prefix="user_")
 
 
@@ -39,6 +39,11 @@ def on_date(reviews: DataFrame, day: dt.date) -> DataFrame:
     return reviews.filter(F.col("date") == F.lit(day))
 
 
+def on_dates_like(reviews: DataFrame, start: str) -> DataFrame:
+    """Reviews whose date, as text, starts with `start`, such as "2024-06"."""
+    return reviews.filter(F.col("date").cast("string").startswith(start))
+
+
 def skew_query(reviews: DataFrame, business: DataFrame, day: dt.date) -> DataFrame:
     """Reviews of one day with their business; the date is filtered in the scan, before the join."""
     return with_business(on_date(reviews, day), business).select(*SKEW_COLUMNS)
@@ -47,12 +52,13 @@ def skew_query(reviews: DataFrame, business: DataFrame, day: dt.date) -> DataFra
 def salted_skew_query(
     reviews: DataFrame,
     business: DataFrame,
-    day: dt.date,
+    day: dt.date | str,
     salt_factor: int = SALT_FACTOR,
     partitions: int | None = None,
 ) -> DataFrame:
-    """The same result with hot businesses salted, in `partitions` partitions if given."""
-    slim = on_date(reviews, day).select("review_id", "user_id", "business_id", "date")
+    """The same result with hot businesses salted, in `partitions` partitions if given; `day` may be the start of a date."""
+    chosen = on_dates_like(reviews, day) if isinstance(day, str) else on_date(reviews, day)
+    slim = chosen.select("review_id", "user_id", "business_id", "date")
     joined = salted_join(slim, business, BUSINESS_KEY, salt_factor=salt_factor, prefix="business_")
     joined = joined.select(*SKEW_COLUMNS)
     return fewer_partitions(joined, partitions) if partitions else joined

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +28,7 @@ PROFILES: dict[str, dict[str, str]] = {
     },
 }
 
+# What Delta tables need.
 DELTA_CONF = {
     "spark.sql.extensions": "io.delta.sql.DeltaSparkSessionExtension",
     "spark.sql.catalog.spark_catalog": "org.apache.spark.sql.delta.catalog.DeltaCatalog",
@@ -73,21 +72,17 @@ def build_session(
     return builder.getOrCreate()
 
 
-@cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="skewloom-")
-
-
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path for a written table, in the shared folder named by spark.checkpoint.dir.
 
-    Only a local master may do without that setting; executors on other machines cannot see a driver's folder.
+    Only a local master may do without that setting, and then uses a folder in its warehouse; executors on other
+    machines would not see it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = _local_scratch()
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
@@ -96,3 +91,11 @@ def store(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_frame(df: DataFrame, limit: int) -> DataFrame:
+    """`df` computed once and held in the plan. For frames that cannot have more than `limit` rows; more is an error."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} rows")
+    return df.sparkSession.createDataFrame(rows, df.schema)

@@ -1,4 +1,5 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -132,3 +133,16 @@ def test_newest_first(spark):
     df = spark.createDataFrame([(1, 5), (2, 9), (3, 5)], "id int, at int")
     assert [r.id for r in newest_first(df, "at", ("id",)).collect()] == [2, 1, 3]
     assert [r.id for r in newest_first(df, "at", ("id",)).limit(2).collect()] == [2, 1]
+
+
+def test_salted_joins_leave_no_files(spark, reviews, business):
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = sorted(folder.iterdir())
+    for _ in range(2):
+        salted_skew_query(reviews, business, DAY).count()
+    assert sorted(folder.iterdir()) == before
+
+
+def test_salt_factor_beyond_the_sketch_is_refused(spark):
+    with pytest.raises(ValueError, match="salt_factor"):
+        hot_keys(spark.range(3), "id", 40_001)
