@@ -21,11 +21,14 @@ _SEPARATOR = "\x01"
 def line_pattern(spaces: str = " +") -> str:
     """The regular expression of a whole line; `spaces` is what separates level and class.
 
+    The line starts with its time, and neither thread nor component holds a closing bracket: so each part has one place
+    where it can end, and the time to match grows with the length of the line only.
+
     A level is padded to five letters, so one or more spaces follow it. Two exactly ("  ") would take only levels of
     four letters.
     """
     return (
-        rf"(?s)\A.*?({TIME}) \[([^\x01]*?)\] ({LEVEL}){spaces}({CLASS}) \[([^\x01]*?)\] - (.*)\z"
+        rf"(?s)\A({TIME}) \[([^\]\x01]*+)\] ({LEVEL}){spaces}({CLASS}) \[([^\]\x01]*+)\] - (.*+)\z"
     )
 
 
