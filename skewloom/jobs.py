@@ -87,7 +87,7 @@ def run_convert(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_metrics(spark: SparkSession, args: argparse.Namespace) -> None:
-    for path in write_metrics(spark, args.log, args.out, args.tasks):
+    for path in write_metrics(spark, args.log, args.out, args.tasks, args.since, args.until):
         print(path)
 
 
@@ -151,6 +151,8 @@ def parser() -> argparse.ArgumentParser:
 
     sub = job("metrics", run_metrics, "--log", "--out")
     sub.add_argument("--tasks", action="store_true")
+    sub.add_argument("--since", type=int, help="epoch milliseconds; measure what starts from then on")
+    sub.add_argument("--until", type=int, help="epoch milliseconds; measure what starts until then")
 
     sub = job("logs", run_logs, "--source", "--out")
     sub.add_argument("--progress", help="checkpoint folder; makes the job a stream")

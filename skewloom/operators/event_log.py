@@ -12,6 +12,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import store
 from ..sources.schemas import EVENT_LOG
 
 TASK_END = "SparkListenerTaskEnd"
@@ -49,13 +50,13 @@ MEASURES = (*TASK_FIELDS, "shuffleTotalBytesRead")
 def parse_events(lines: DataFrame, *kinds: str) -> DataFrame:
     """Events of some kinds.
 
-    Spark writes the kind first in a line, so a prefix test drops all other lines before any JSON is parsed. `inline`
-    keeps later conditions above the parser; pushed below it they would parse each line a second time. A line that was
-    cut off while being written gives no event.
+    A line that does not hold the kind's name anywhere is dropped before any JSON is parsed; the parsed kind then
+    decides. `inline` keeps later conditions above the parser; pushed below it they would parse each line a second time.
+    A line that was cut off while being written gives no event.
     """
-    wanted = reduce(or_, [F.col("value").startswith(f'{{"Event":"{kind}"') for kind in kinds])
+    wanted = reduce(or_, [F.col("value").contains(f'"{kind}"') for kind in kinds])
     parsed = lines.filter(wanted).select("app_id", F.inline(F.array(F.from_json("value", EVENT_LOG))))
-    return parsed.filter(F.col("Event").isNotNull())
+    return parsed.filter(F.col("Event").isin(*kinds))
 
 
 def _measures() -> dict[str, Column]:
@@ -68,16 +69,13 @@ def _measures() -> dict[str, Column]:
     return columns
 
 
-def stage_jobs(lines: DataFrame) -> DataFrame:
-    """The job of each stage. Later jobs name a stage again when they reuse its output, so the first job counts."""
-    jobs = parse_events(lines, JOB_START)
-    stages = jobs.select("app_id", F.col("Job ID").alias("jobId"), F.explode("Stage IDs").alias("stageId"))
-    return stages.groupBy("app_id", "stageId").agg(F.min("jobId").alias("jobId"))
+def task_metrics(lines: DataFrame, since: int | None = None, until: int | None = None) -> DataFrame:
+    """One row per finished task attempt, with the job of its stage.
 
-
-def task_metrics(lines: DataFrame) -> DataFrame:
-    """One row per finished task attempt."""
-    tasks = parse_events(lines, TASK_END).select(
+    `since` and `until` (epoch milliseconds) keep the tasks launched in between. The log is read and parsed once, into a
+    stored table of tasks and job starts. Later jobs name a stage again when they reuse its output, so the first job counts.
+    """
+    events = parse_events(lines, TASK_END, JOB_START).select(
         "app_id",
         F.col("Stage ID").alias("stageId"),
         F.col("Stage Attempt ID").alias("stageAttempt"),
@@ -86,8 +84,22 @@ def task_metrics(lines: DataFrame) -> DataFrame:
         F.col("Task Info.Launch Time").alias("launchTime"),
         (F.col("Task Info.Finish Time") - F.col("Task Info.Launch Time")).alias("duration"),
         *[value.alias(name) for name, value in _measures().items()],
+        F.when(F.col("Event") == JOB_START, F.col("Job ID")).alias("jobId"),
+        F.when(F.col("Event") == JOB_START, F.col("Stage IDs")).alias("stages"),
     )
-    return tasks.join(stage_jobs(lines), ["app_id", "stageId"], "left")
+    events = store(events, "events")
+    starts = events.filter("jobId IS NOT NULL").select("app_id", "jobId", F.explode("stages").alias("stageId"))
+    jobs = starts.groupBy("app_id", "stageId").agg(F.min("jobId").alias("jobId"))
+    tasks = _between(events.filter("jobId IS NULL").drop("jobId", "stages"), "launchTime", since, until)
+    return tasks.join(jobs, ["app_id", "stageId"], "left")
+
+
+def _between(rows: DataFrame, time: str, since: int | None, until: int | None) -> DataFrame:
+    if since is not None:
+        rows = rows.filter(F.col(time) >= since)
+    if until is not None:
+        rows = rows.filter(F.col(time) <= until)
+    return rows
 
 
 def stage_metrics(lines: DataFrame, since: int | None = None, until: int | None = None) -> DataFrame:
@@ -119,12 +131,7 @@ def stage_metrics(lines: DataFrame, since: int | None = None, until: int | None
     # The few rows of one stage: its attempts and the row of its jobs, of which the first ran it.
     same_stage = Window.partitionBy("app_id", "stageId")
     stages = stages.withColumn("jobId", F.min("job").over(same_stage)).drop("job")
-    stages = stages.filter(F.col("completionTime").isNotNull())
-    if since is not None:
-        stages = stages.filter(F.col("submissionTime") >= since)
-    if until is not None:
-        stages = stages.filter(F.col("submissionTime") <= until)
-    return stages
+    return _between(stages.filter(F.col("completionTime").isNotNull()), "submissionTime", since, until)
 
 
 def app_metrics(stages: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.diagnosis import diagnose_stages, stage_report, summarize_app, summary_report
 from ..operators.event_log import app_metrics, app_task_metrics, stage_metrics, task_metrics
 from ..sources.readers import read_event_log
-from ..sources.sinks import write_json, write_single_json, write_tsv
+from ..sources.sinks import write_json, write_sorted, write_tsv
 
 # Order of the written metric tables.
 STAGE_ORDER = ("jobId", "stageId")
@@ -22,23 +22,28 @@ def write_report(stages: DataFrame, apps: DataFrame, target: str) -> dict[str, s
     return paths
 
 
-def write_metrics(spark: SparkSession, log: str, target: str, tasks: bool = False) -> list[str]:
-    """Everything the metric job writes for the applications whose logs match `log`; returns the paths."""
+def write_metrics(
+    spark: SparkSession, log: str, target: str, tasks: bool = False, since: int | None = None, until: int | None = None
+) -> list[str]:
+    """Everything the metric job writes for the applications whose logs match `log`; returns the paths.
+
+    `since` and `until` (epoch milliseconds) measure one part of a program: stages submitted and tasks launched in between.
+    """
     target = target.rstrip("/")
     lines = read_event_log(spark, log)
     raw = f"{target}/stages"
     # Stage rows feed three outputs, so they are made once and read back.
-    stage_metrics(lines).write.mode("overwrite").parquet(raw)
+    stage_metrics(lines, since, until).write.mode("overwrite").parquet(raw)
     stages = spark.read.parquet(raw)
-    write_single_json(stages, f"{target}/stagemetrics", ("app_id", *STAGE_ORDER))
+    write_sorted(stages, f"{target}/stagemetrics", ("app_id", *STAGE_ORDER), "json")
     write_json(app_metrics(stages), f"{target}/stagemetrics_agg")
     report = write_report(stages, app_metrics(stages), f"{target}/report")
     paths = [raw, f"{target}/stagemetrics", f"{target}/stagemetrics_agg", *report.values()]
     if tasks:
         raw_tasks = f"{target}/tasks"
-        task_metrics(lines).write.mode("overwrite").parquet(raw_tasks)
+        task_metrics(lines, since, until).write.mode("overwrite").parquet(raw_tasks)
         stored = spark.read.parquet(raw_tasks)
-        write_single_json(stored, f"{target}/taskmetrics", ("app_id", *TASK_ORDER))
+        write_sorted(stored, f"{target}/taskmetrics", ("app_id", *TASK_ORDER), "json")
         write_json(app_task_metrics(stored), f"{target}/taskmetrics_agg")
         paths += [raw_tasks, f"{target}/taskmetrics", f"{target}/taskmetrics_agg"]
     return paths

@@ -38,9 +38,14 @@ def read_lines(spark: SparkSession, glob: str) -> DataFrame:
 
 
 def read_event_log(spark: SparkSession, glob: str) -> DataFrame:
-    """Lines of plain (uncompressed) Spark event logs with the application they come from, one file per application."""
-    name = F.regexp_replace(F.col("_metadata.file_name"), r"\.inprogress$", "")
-    return spark.read.text(glob).select(name.alias("app_id"), "value")
+    """Lines of plain (uncompressed) Spark event logs with the application they come from.
+
+    The file's name names it. A rolled log is a folder of parts events_<n>_<application> and an empty status file; all
+    parts belong to the one application.
+    """
+    file = F.col("_metadata.file_name")
+    name = F.regexp_replace(file, r"^events_\d+_|(\.compact)?(\.inprogress)?$", "")
+    return spark.read.text(glob).filter(~file.startswith("appstatus_")).select(name.alias("app_id"), "value")
 
 
 def list_files(spark: SparkSession, glob: str) -> DataFrame:
