@@ -36,7 +36,7 @@ def vectorised_names(names: Mapping[str, str], default: str):
 
     @F.pandas_udf("string")
     def look_up(codes: pd.Series) -> pd.Series:
-        return codes.map(lambda code: table.get(code, default))
+        return codes.map(table).astype(object).fillna(default)
 
     return look_up
 

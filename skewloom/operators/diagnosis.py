@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -103,8 +106,7 @@ def slow_stages(stages: DataFrame, *keys: str) -> DataFrame:
     causes = []
     for cause, limits in SLOW_LIMITS.items():
         tests = [F.coalesce(F.col(c), F.lit(0)) > limit for c, limit in limits.items()]
-        exceeded = tests[0] if len(tests) == 1 else tests[0] | tests[1]
-        causes.append(F.when(exceeded, F.lit(cause)))
+        causes.append(F.when(reduce(or_, tests), F.lit(cause)))
     return stages.select(*keys, "stageId", F.explode(F.array_compact(F.array(*causes))).alias("cause"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,17 +22,28 @@ def totals_by_role(
     roles: Mapping[str, str],
     columns: Sequence[str],
     sums: Mapping[str, Column],
-    also_by: Sequence[str] = (),
 ) -> DataFrame:
     """The same as `totals` over `role_join`, but summed per key before the dimension is joined.
 
     The joins then see one row per combination of keys instead of one per fact row, and the first grouping hashes
     numbers instead of names.
     """
-    per_key = totals(fact, [*also_by, *roles.values()], sums)
+    return totals_of_keys(totals(fact, [*roles.values()], sums), dimension, key, roles, columns, sums)
+
+
+def totals_of_keys(
+    per_key: DataFrame,
+    dimension: DataFrame,
+    key: str,
+    roles: Mapping[str, str],
+    columns: Sequence[str],
+    names: Iterable[str],
+    by: Sequence[str] | None = None,
+) -> DataFrame:
+    """Totals by the dimension's columns in each role, or `by` others, from sums `names` per combination of keys."""
     named = role_join(per_key, dimension, key, roles, columns)
-    by = [*also_by, *[f"{role}_{column}" for role in roles for column in columns]]
-    return totals(named, by, {name: F.col(name) for name in sums})
+    by = [f"{role}_{column}" for role in roles for column in columns] if by is None else by
+    return totals(named, by, {name: F.col(name) for name in names})
 
 
 def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:

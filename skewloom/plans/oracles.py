@@ -66,6 +66,8 @@ TIMED_SUMS = f"""{SUMS}, CAST(sum(time_taken_seconds) AS BIGINT) AS total_time_t
 ROUTE = "PU_Borough, PU_Zone, DO_Borough, DO_Zone"
 
 ROUTE_TOTALS = f"{_rides(WIDE)} SELECT {ROUTE}, {SUMS} FROM rides GROUP BY {ROUTE}"
+COMPANY_TOTALS = f"{_rides(WIDE)} SELECT hvfhs_license_num, {SUMS} FROM rides GROUP BY hvfhs_license_num"
+CODED = TIMED.replace(KEEP, "hvfhs_license_num")
 ROUTE_TOTALS_DATED = f"""{TIMED} SELECT ingestion_timestamp, {ROUTE}, {TIMED_SUMS}
     FROM timed GROUP BY ingestion_timestamp, {ROUTE}"""
 COMPANY_TOTALS_DATED = f"""{TIMED} SELECT ingestion_timestamp, hvfhs_license_num, {TIMED_SUMS}
@@ -92,6 +94,8 @@ SKEWED = f"""WITH {REVIEWS}, skewed AS (
 )"""
 SKEW_JOIN = f"""{SKEWED} SELECT review_id, user_id, date, p_name AS name, p_brand AS city
     FROM skewed JOIN part ON business_id = p_partkey WHERE date = DATE '2024-06-06'"""
+MONTH_JOIN = f"""{SKEWED} SELECT review_id, user_id, date, p_name AS name, p_brand AS city
+    FROM skewed JOIN part ON business_id = p_partkey WHERE CAST(date AS VARCHAR) LIKE '1995-03%'"""
 HOT_JOIN = f"""WITH {REVIEWS}, hot AS (
     SELECT review_id, user_id, DATE '2024-06-06' AS date,
            CASE WHEN user_id % 3 = 0 THEN 0 ELSE business_id END AS business_id
@@ -302,7 +306,8 @@ ORACLES: dict[str, str] = {
     "route_totals_from_trips": ROUTE_TOTALS,
     "route_totals_sql": ROUTE_TOTALS,
     "route_totals_csv_zones": ROUTE_TOTALS,
-    "company_totals": f"{_rides(WIDE)} SELECT hvfhs_license_num, {SUMS} FROM rides GROUP BY hvfhs_license_num",
+    "company_totals": COMPANY_TOTALS,
+    "company_totals_of_rides": COMPANY_TOTALS,
     "route_totals_dated": ROUTE_TOTALS_DATED,
     "route_totals_dated_from_trips": ROUTE_TOTALS_DATED,
     "company_totals_dated": COMPANY_TOTALS_DATED,
@@ -326,20 +331,33 @@ ORACLES: dict[str, str] = {
     "skew_report": f"{SKEWED} SELECT date, count(*) AS qtd FROM skewed GROUP BY date",
     "skew_filter_join": SKEW_JOIN,
     "salted_join": SKEW_JOIN,
+    "salted_join_coalesced": SKEW_JOIN,
+    "salted_join_month": MONTH_JOIN,
     "salted_join_hot_business": HOT_JOIN,
     "salt_columns": """SELECT l_returnflag, count(*) AS rows, count(*) AS sound, count(*) > 1 AS spread
         FROM lineitem GROUP BY l_returnflag""",
     "json_roundtrip": ORDERS,
-    "json_to_parquet": """SELECT 'review' AS entity, count(*) AS rows FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-        UNION ALL SELECT 'business', count(*) FROM part UNION ALL SELECT 'user', count(*) FROM customer""",
+    "json_to_parquet": REVIEWS_USERS,
     "csv_roundtrip": ORDERS,
     "partitioned_append": f"{TIMED} SELECT * FROM timed UNION ALL SELECT * FROM timed",
     "partitioned_overwrite": ROUTE_TOTALS,
     "partition_refresh": COMPANY_TOTALS_DATED,
     "ride_job_append": COMPANY_TOTALS_DATED.replace(KEEP, "hvfhs_license_num"),
+    "ride_job_rides": f"{CODED} SELECT * FROM timed",
+    "ride_job_routes": ROUTE_TOTALS_DATED,
+    "ride_job_hinted": f"{CODED} SELECT * FROM timed",
+    "ride_job_refresh": f"{CODED} SELECT * FROM timed",
+    "ride_job_refresh_companies": COMPANY_TOTALS_DATED.replace(KEEP, "hvfhs_license_num"),
+    "ride_job_partitioned": ROUTE_TOTALS,
+    "ride_job_row_udf_append": COMPANY_TOTALS_DATED.replace(KEEP, "'Unknown'"),
+    "ride_job_row_udf": COMPANY_TOTALS.replace(KEEP, "'Unknown'"),
+    "ride_job_vectorised_udf": COMPANY_TOTALS.replace(KEEP, "'Unknown'"),
+    "ride_job_native": COMPANY_TOTALS.replace(KEEP, "hvfhs_license_num"),
     "sorted_overwrite": f"{_rides(WIDE, 'hvfhs_license_num')} SELECT * FROM rides",
     "clustered_write": ROUTE_TOTALS,
     "single_file_sorted": f"WITH {STAGES} SELECT * FROM stages",
+    "sorted_files": "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS overlaps FROM lineitem",
+    "partition_profile": "SELECT count(*) AS rows, TRUE AS listed_once FROM lineitem",
     "log_parse": LOG,
     "log_parse_stream": LOG,
     "stage_diagnosis": f"WITH {STAGES} SELECT {DIAGNOSIS} FROM stages",
@@ -347,6 +365,10 @@ ORACLES: dict[str, str] = {
     "app_summary": APP_SUMMARY,
     "event_log_task_metrics": f"WITH {EVENTS} SELECT tasks.*, jobId FROM tasks JOIN jobs ON tasks.stageId = jobs.stageId",
     "event_log_stage_metrics": f"WITH {EVENT_STAGES} SELECT * FROM stages",
+    "event_log_task_metrics_window": f"""WITH {EVENTS} SELECT tasks.*, jobId FROM tasks JOIN jobs ON tasks.stageId = jobs.stageId
+        WHERE launchTime BETWEEN 788918400000 AND 820454399999""",
+    "event_log_stage_metrics_window": f"""WITH {EVENT_STAGES} SELECT * FROM stages
+        WHERE submissionTime BETWEEN 788918400000 AND 820454399999""",
     "event_log_app_metrics": f"WITH {EVENT_APPS} SELECT * FROM apps",
     "event_log_app_task_metrics": f"""WITH {EVENTS} SELECT app_id, count(*) AS numTasks,
         max(launchTime + duration) - min(launchTime) AS elapsedTime, CAST(sum(duration) AS BIGINT) AS duration,

@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.code_map import UNKNOWN, register_names, row_names, vectorised_names, with_names
@@ -25,9 +25,9 @@ from ..operators.logs import parse_logs
 from ..operators.skew import SALT_FACTOR, make_skew, skew_report
 from ..operators.totals import row_counts, totals
 from ..session import scratch_path
-from ..sources.readers import list_files, read_csv, read_json, register_views
+from ..sources.readers import read_csv, read_json, read_parquet, register_views
 from ..sources.schemas import STAGE_METRICS
-from ..sources.sinks import convert, replace_partitions, write_json, write_single_json, write_table
+from ..sources.sinks import convert, replace_partitions, write_json, write_sorted, write_table
 from ..streaming.logs import stream_logs
 from . import mapping, rides
 from .measured import STAGE_ORDER, write_report
@@ -99,7 +99,16 @@ def route_totals_sql(spark, folder):
     )
 
 
+def _company_totals(spark, folder, timed: bool = False) -> DataFrame:
+    trips, zones = mapping.trips(spark, folder), mapping.zones(spark, folder)
+    return _cents(rides.company_totals_from_trips(trips, zones, timed, DAY, "native", NAMES))
+
+
 def company_totals(spark, folder):
+    return _company_totals(spark, folder)
+
+
+def company_totals_of_rides(spark, folder):
     return _cents(rides.company_totals(_rides(spark, folder)))
 
 
@@ -108,7 +117,7 @@ def route_totals_dated(spark, folder):
 
 
 def company_totals_dated(spark, folder):
-    return _cents(rides.company_totals(_timed(spark, folder), timed=True))
+    return _company_totals(spark, folder, timed=True)
 
 
 def fare_sum_null_as_zero(spark, folder):
@@ -191,6 +200,15 @@ def salted_join(spark, folder):
     return salted_skew_query(_skewed(spark, folder), mapping.business(spark, folder), DAY)
 
 
+def salted_join_coalesced(spark, folder):
+    return salted_skew_query(_skewed(spark, folder), mapping.business(spark, folder), DAY, partitions=4)
+
+
+def salted_join_month(spark, folder):
+    """The days of one month, chosen by the start of the date's text before anything is salted."""
+    return salted_skew_query(_skewed(spark, folder), mapping.business(spark, folder), "1995-03")
+
+
 def salted_join_hot_business(spark, folder):
     """A third of the reviews on one business, which is salted; joined with two listings of each business."""
     reviews = mapping.reviews(spark, folder)
@@ -236,7 +254,11 @@ def json_to_parquet(spark, folder):
     source = scratch_path(spark, "entities")
     for name, frame in entities.items():
         write_json(frame, f"{source}/{name}")
-    return convert(spark, {name: f"{source}/{name}/*.json" for name in entities}, scratch_path(spark, "converted"))
+    target = scratch_path(spark, "converted")
+    schemas = {name: ", ".join(f"{c} {kind}" for c, kind in frame.dtypes) for name, frame in entities.items()}
+    convert(spark, {name: f"{source}/{name}/*.json" for name in entities}, target, schemas)
+    read = {name: read_parquet(spark, f"{target}/{name}") for name in entities}
+    return with_users(with_business(read["review"], read["business"]), read["user"])
 
 
 def csv_roundtrip(spark, folder):
@@ -274,12 +296,27 @@ def partition_refresh(spark, folder):
     return _cents(spark.read.parquet(path))
 
 
-def ride_job_append(spark, folder):
-    """The whole job: rides, route totals and company totals appended; the company totals are read back."""
-    target = scratch_path(spark, "ride-job")
-    job = rides.RIDE_JOBS["narrow_append"]
-    job.write(spark, mapping.trips(spark, folder), mapping.zones(spark, folder), target, DAY)
-    return _cents(spark.read.parquet(f"{target}/hvfhs_license_num"))
+def _ride_job(name: str, table: str, runs: int = 1) -> Query:
+    """One table of a whole ride job, read back after `runs` runs."""
+
+    def query(spark, folder):
+        target = scratch_path(spark, "ride-job")
+        for _ in range(runs):
+            rides.RIDE_JOBS[name].write(spark, mapping.trips(spark, folder), mapping.zones(spark, folder), target, DAY)
+        stored = spark.read.parquet(f"{target}/{table}")
+        return stored if table == "rides" else _cents(stored)
+
+    return query
+
+
+def _job_companies(name: str) -> Query:
+    """Company totals of a ride job that writes no table."""
+
+    def query(spark, folder):
+        tables = rides.RIDE_JOBS[name].tables(mapping.trips(spark, folder), mapping.zones(spark, folder), DAY)
+        return _cents(tables["hvfhs_license_num"])
+
+    return query
 
 
 def sorted_overwrite(spark, folder):
@@ -293,22 +330,37 @@ def clustered_write(spark, folder):
     table = f"skewloom_clustered_{uuid.uuid4().hex}"
     job = rides.RIDE_JOBS["clustered_table"]
     trips, zones = mapping.trips(spark, folder), mapping.zones(spark, folder)
-    job.write(spark, trips, zones, scratch_path(spark, "clustered"), table=table)
+    target = scratch_path(spark, "clustered")
+    for _ in range(2):
+        job.write(spark, trips, zones, target, table=table)
     return _cents(spark.table(table))
 
 
 def single_file_sorted(spark, folder):
     path = scratch_path(spark, "stagemetrics")
-    write_single_json(mapping.stage_table(spark, folder), path, STAGE_ORDER)
+    write_sorted(mapping.stage_table(spark, folder), path, STAGE_ORDER, "json")
     return read_json(spark, path, STAGE_METRICS)
 
 
-def file_inventory(spark, folder):
-    return list_files(spark, f"{folder}/*.parquet")
+def sorted_files(spark, folder):
+    """Three sorted files: their rows, and how many files begin before the one before them ends."""
+    path = scratch_path(spark, "sorted-files")
+    write_sorted(mapping.stage_table(spark, folder), path, STAGE_ORDER, "json", files=3)
+    key = F.struct(*STAGE_ORDER)
+    read = read_json(spark, path, STAGE_METRICS).withColumn("file", F.col("_metadata.file_name"))
+    files = read.groupBy("file").agg(F.min(key).alias("least"), F.max(key).alias("most"), F.count(F.lit(1)).alias("rows"))
+    before = F.lag("most").over(Window.orderBy("file"))  # three rows
+    overlaps = F.coalesce(before > F.col("least"), F.lit(False))
+    return files.select("rows", overlaps.alias("overlaps")).agg(
+        F.sum("rows").alias("rows"), F.count_if("overlaps").alias("overlaps")
+    )
 
 
 def profile(spark, folder):
-    return partition_profile(mapping.table(spark, folder, "lineitem"))
+    """Rows in all partitions of a table, and whether each partition is listed once."""
+    rows = partition_profile(mapping.table(spark, folder, "lineitem"))
+    once = F.count(F.lit(1)) == F.countDistinct("partition")
+    return rows.agg(F.sum("rows").alias("rows"), once.alias("listed_once"))
 
 
 def log_parse(spark, folder):
@@ -342,6 +394,18 @@ def event_log_stage_metrics(spark, folder):
     return stage_metrics(mapping.event_lines(spark, folder))
 
 
+# 1995 in epoch milliseconds.
+YEAR = (788_918_400_000, 820_454_399_999)
+
+
+def event_log_task_metrics_window(spark, folder):
+    return task_metrics(mapping.event_lines(spark, folder), *YEAR)
+
+
+def event_log_stage_metrics_window(spark, folder):
+    return stage_metrics(mapping.event_lines(spark, folder), *YEAR)
+
+
 def event_log_app_metrics(spark, folder):
     return app_metrics(stage_metrics(mapping.event_lines(spark, folder)))
 
@@ -387,6 +451,7 @@ QUERIES: dict[str, Query] = {
     "route_totals_sql": route_totals_sql,
     "route_totals_csv_zones": route_totals_csv_zones,
     "company_totals": company_totals,
+    "company_totals_of_rides": company_totals_of_rides,
     "route_totals_dated": route_totals_dated,
     "company_totals_dated": company_totals_dated,
     "fare_sum_null_as_zero": fare_sum_null_as_zero,
@@ -405,6 +470,8 @@ QUERIES: dict[str, Query] = {
     "skew_report": skewed_counts,
     "skew_filter_join": skew_filter_join,
     "salted_join": salted_join,
+    "salted_join_coalesced": salted_join_coalesced,
+    "salted_join_month": salted_join_month,
     "salted_join_hot_business": salted_join_hot_business,
     "salt_columns": salt_columns,
     "json_roundtrip": json_roundtrip,
@@ -413,11 +480,21 @@ QUERIES: dict[str, Query] = {
     "partitioned_append": partitioned_append,
     "partitioned_overwrite": partitioned_overwrite,
     "partition_refresh": partition_refresh,
-    "ride_job_append": ride_job_append,
+    "ride_job_append": _ride_job("narrow_append", "hvfhs_license_num"),
+    "ride_job_rides": _ride_job("narrow_append", "rides"),
+    "ride_job_routes": _ride_job("narrow_append", "total_trip_time"),
+    "ride_job_hinted": _ride_job("hinted_append", "rides"),
+    "ride_job_refresh": _ride_job("narrow_refresh", "rides", runs=2),
+    "ride_job_refresh_companies": _ride_job("narrow_refresh", "hvfhs_license_num", runs=2),
+    "ride_job_partitioned": _ride_job("partitioned_overwrite", "total_trip_time", runs=2),
+    "ride_job_row_udf_append": _ride_job("row_udf_append", "hvfhs_license_num"),
+    "ride_job_row_udf": _job_companies("row_udf"),
+    "ride_job_vectorised_udf": _job_companies("vectorised_udf"),
+    "ride_job_native": _job_companies("native"),
     "sorted_overwrite": sorted_overwrite,
     "clustered_write": clustered_write,
     "single_file_sorted": single_file_sorted,
-    "file_inventory": file_inventory,
+    "sorted_files": sorted_files,
     "partition_profile": profile,
     "log_parse": log_parse,
     "log_parse_stream": log_parse_stream,
@@ -426,6 +503,8 @@ QUERIES: dict[str, Query] = {
     "app_summary": app_summary,
     "event_log_task_metrics": event_log_task_metrics,
     "event_log_stage_metrics": event_log_stage_metrics,
+    "event_log_task_metrics_window": event_log_task_metrics_window,
+    "event_log_stage_metrics_window": event_log_stage_metrics_window,
     "event_log_app_metrics": event_log_app_metrics,
     "event_log_app_task_metrics": event_log_app_task_metrics,
     "event_log_app_report": event_log_app_report,

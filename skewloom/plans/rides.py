@@ -12,8 +12,9 @@ from ..functions.code_map import COMPANIES, UNKNOWN, row_names, vectorised_names
 from ..functions.measures import row_sum, with_day, with_elapsed
 from ..operators.joins import role_join
 from ..operators.layout import newest_first
-from ..operators.totals import totals, totals_by_role
-from ..sources.sinks import create_clustered_table, fill_clustered_table, write_table
+from ..operators.totals import totals, totals_of_keys
+from ..session import store
+from ..sources.sinks import create_clustered_table, fill_clustered_table, replace_partitions, write_table
 
 # Columns of the trip, zone and ride tables.
 COMPANY = "hvfhs_license_num"
@@ -28,13 +29,15 @@ ZONE_COLUMNS = ("Borough", "Zone")
 ROLES = {"PU": "PULocationID", "DO": "DOLocationID"}
 ROUTE = ("PU_Borough", "PU_Zone", "DO_Borough", "DO_Zone")
 DAY = "ingestion_timestamp"
-TIES = ("pickup_datetime", "dropoff_datetime", "trip_miles", "base_passenger_fare")
 DURATIONS = ("time_taken_seconds", "time_taken_minutes", "time_taken_hours")
 CLUSTERED_COLUMNS = (
     "PU_Borough string, PU_Zone string, DO_Borough string, DO_Zone string, "
     "total_fare double, total_trip_miles double, total_trip_time bigint"
 )
 
+# Rides of equal time are told apart by these, so that a very frequent time can be cut into ranges.
+TIES = ("pickup_datetime", "dropoff_datetime", "trip_miles", "base_passenger_fare")
+
 
 def name_companies(trips: DataFrame, form: str, names: dict[str, str] = COMPANIES) -> DataFrame:
     """Company names for license codes. "native" keeps an unlisted code, the UDF forms call it unknown."""
@@ -83,15 +86,39 @@ def company_totals(rides: DataFrame, timed: bool = False) -> DataFrame:
     return totals(rides, ((DAY,) if timed else ()) + (COMPANY,), ride_sums(timed))
 
 
+def trip_sums(trips: DataFrame, timed: bool = False) -> DataFrame:
+    """Sums per company code and pair of location ids: the rows that all totals are made of, few however many trips."""
+    if timed:
+        trips = with_elapsed(trips, "pickup_datetime", "dropoff_datetime")
+    return totals(trips, (COMPANY, *ROLES.values()), ride_sums(timed))
+
+
 def route_totals_from_trips(
-    trips: DataFrame, zones: DataFrame, timed: bool = False, day: dt.date | None = None
+    trips: DataFrame, zones: DataFrame, timed: bool = False, day: dt.date | None = None, sums: DataFrame | None = None
+) -> DataFrame:
+    """Route totals of `rides(trips, zones)`, summed per pair of location ids before the zones are joined.
+
+    `sums` are stored `trip_sums`, if these are there already.
+    """
+    sums = trip_sums(trips, timed) if sums is None else sums
+    result = totals_of_keys(sums, zones, ZONE_KEY, ROLES, ZONE_COLUMNS, ride_sums(timed))
+    return with_day(result, DAY, day).select(DAY, *result.columns) if timed else result
+
+
+def company_totals_from_trips(
+    trips: DataFrame,
+    zones: DataFrame,
+    timed: bool = False,
+    day: dt.date | None = None,
+    naming: str = "none",
+    names: dict[str, str] = COMPANIES,
+    sums: DataFrame | None = None,
 ) -> DataFrame:
-    """Route totals of `rides(trips, zones)`, summed per pair of location ids before the zones are joined."""
-    if not timed:
-        return totals_by_role(trips, zones, ZONE_KEY, ROLES, ZONE_COLUMNS, ride_sums())
-    trips = with_elapsed(trips, "pickup_datetime", "dropoff_datetime")
-    result = totals_by_role(trips, zones, ZONE_KEY, ROLES, ZONE_COLUMNS, ride_sums(timed=True))
-    return with_day(result, DAY, day).select(DAY, *result.columns)
+    """Company totals of `rides(trips, zones)`: summed first; zones and names then meet the sums only."""
+    sums = trip_sums(trips, timed) if sums is None else sums
+    named = name_companies(sums, naming, names)
+    result = totals_of_keys(named, zones, ZONE_KEY, ROLES, ZONE_COLUMNS, ride_sums(timed), [COMPANY])
+    return with_day(result, DAY, day).select(DAY, *result.columns) if timed else result
 
 
 @dataclass(frozen=True)
@@ -114,16 +141,19 @@ class RideJob:
         result = rides(named, zones, self.wide, self.hinted)
         return timed_rides(result, day) if self.timed else result
 
-    def tables(self, trips: DataFrame, zones: DataFrame, day: dt.date | None = None) -> dict[str, DataFrame]:
+    def tables(
+        self, trips: DataFrame, zones: DataFrame, day: dt.date | None = None, sums: DataFrame | None = None
+    ) -> dict[str, DataFrame]:
         """The lazy results. Only `rides` is sorted: an order below a total would be a wasted shuffle.
 
-        Route totals use no company name, so they start from the trips whatever the naming.
+        Totals start from sums per company code and pair of locations, not from the joined rides; `sums` may be given.
         """
         enriched = self.rides(trips, zones, day)
+        sums = trip_sums(trips, self.timed) if sums is None else sums
         return {
             "rides": newest_first(enriched, "request_datetime", TIES) if self.sort else enriched,
-            "total_trip_time": route_totals_from_trips(trips, zones, self.timed, day),
-            "hvfhs_license_num": company_totals(enriched, self.timed),
+            "total_trip_time": route_totals_from_trips(trips, zones, self.timed, day, sums),
+            "hvfhs_license_num": company_totals_from_trips(trips, zones, self.timed, day, self.naming, sums=sums),
         }
 
     def write(
@@ -138,37 +168,41 @@ class RideJob:
     ) -> list[str]:
         """Write what this job writes under `target`; returns the paths.
 
-        An overwritten rides table is read back for the totals, so the joins run once and a lost executor costs only
-        the stage it was in. An append must total this run's rides alone, not those stored before, so there the totals
-        start from the trips again; each scan then reads just the columns that its total needs.
+        The trips are read twice at most: once for the rides, if they are written, and once for their sums, which are
+        stored and feed both totals. All tables have the same day, resolved here if it is not given. In mode "refresh"
+        the partitions of this run replace those of an earlier one, so the job may be run again.
         """
         target = target.rstrip("/")
-        results = self.tables(trips, zones, day)
-        paths = []
+        day = day or spark.sql("SELECT current_date()").first()[0]
+        written = {"total_trip_time": self.routes_by, "hvfhs_license_num": self.companies_by}
+        summed = any(by is not None for by in written.values()) or self.cluster_by is not None
+        results = self.tables(trips, zones, day, store(trip_sums(trips, self.timed), "trip-sums") if summed else None)
         if self.rides_by is not None:
-            path = f"{target}/rides"
-            # One run has one day, so each task writes one file and rebalancing would only move all rides once more.
             unsorted = self.rides(trips, zones, day)
-            frame = unsorted if self.rides_by else results["rides"]
-            write_table(frame, path, fmt, self.mode, self.rides_by, rebalance=self.rides_by != (DAY,))
+            results["rides"] = unsorted if self.rides_by else results["rides"]
+            written = {"rides": self.rides_by, **written}
+        paths = []
+        for name, by in written.items():
+            if by is None:
+                continue
+            # One run has one day, so each task writes one file and rebalancing would only move all rows once more.
+            rebalance = by != (DAY,)
+            path = f"{target}/{name}"
+            if self.mode == "refresh":
+                replace_partitions(results[name], path, by, fmt, rebalance)
+            else:
+                write_table(results[name], path, fmt, self.mode, by, rebalance)
             paths.append(path)
-            if self.mode == "overwrite":
-                stored = spark.read.format(fmt).load(path)
-                results["total_trip_time"] = route_totals(stored, self.timed)
-                results["hvfhs_license_num"] = company_totals(stored, self.timed)
-        for name, by in (("total_trip_time", self.routes_by), ("hvfhs_license_num", self.companies_by)):
-            if by is not None:
-                write_table(results[name], f"{target}/{name}", fmt, self.mode, by)
-                paths.append(f"{target}/{name}")
         if self.cluster_by is not None:
             path = f"{target}/cluster/{table.split('.')[-1]}"
             create_clustered_table(spark, table, CLUSTERED_COLUMNS, self.cluster_by, path, fmt)
-            fill_clustered_table(results["total_trip_time"], table, self.cluster_by)
+            fill_clustered_table(results["total_trip_time"], table, self.cluster_by, self.mode == "overwrite")
             paths.append(path)
         return paths
 
 
 _APPENDED = {"mode": "append", "rides_by": (DAY,), "routes_by": (DAY,), "companies_by": (COMPANY,)}
+_REFRESHED = {"mode": "refresh", "rides_by": (DAY,), "routes_by": (DAY,), "companies_by": (DAY,)}
 
 # One entry per way the job is run, from the slowest coding to the fastest.
 RIDE_JOBS = {
@@ -180,5 +214,6 @@ RIDE_JOBS = {
     "row_udf_append": RideJob("row", timed=True, sort=True, **_APPENDED),
     "narrow_append": RideJob(wide=False, timed=True, **_APPENDED),
     "hinted_append": RideJob(wide=False, timed=True, hinted=("PU",), **_APPENDED),
+    "narrow_refresh": RideJob(wide=False, timed=True, **_REFRESHED),
     "sorted_overwrite": RideJob("none", sort=True, rides_by=()),
 }

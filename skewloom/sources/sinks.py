@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from .readers import read_json
 
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def write_table(
     df: DataFrame,
@@ -44,35 +42,30 @@ def _partitioned(df: DataFrame, by: Sequence[str], rebalance: bool):
 def create_clustered_table(
     spark: SparkSession, name: str, columns: str, by: Sequence[str], path: str, fmt: str = "parquet"
 ) -> None:
-    """Declare an external table clustered by `by`; `columns` is DDL such as "a string, b double"."""
+    """Declare an external table clustered by `by`, unless it is there; `columns` is DDL such as "a string, b double"."""
     keys = ", ".join(f"`{key}`" for key in by)
     path = path.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING {fmt} CLUSTER BY ({keys}) LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt} CLUSTER BY ({keys}) LOCATION '{path}'")
 
 
-def fill_clustered_table(df: DataFrame, name: str, by: Sequence[str]) -> None:
-    """Append to a clustered table so that equal keys lie together.
+def fill_clustered_table(df: DataFrame, name: str, by: Sequence[str], overwrite: bool = False) -> None:
+    """Append to a clustered table, or replace its rows, so that equal keys lie together.
 
     Plain Spark only records the clustering columns. Rebalancing brings equal keys together (and splits a hot key),
     sorting inside each task makes the row-group statistics narrow, so that filters on `by` skip most of the data.
     """
     columns = df.sparkSession.table(name).columns
-    df.select(*columns).hint("rebalance", *by).sortWithinPartitions(*by).write.mode("append").insertInto(name)
-
-
-def write_sorted(df: DataFrame, path: str, order: Sequence, fmt: str = "parquet") -> None:
-    """One globally sorted table: file n holds only rows that come before those of file n + 1."""
-    df.orderBy(*order).write.format(fmt).mode("overwrite").save(path)
+    df.select(*columns).hint("rebalance", *by).sortWithinPartitions(*by).write.insertInto(name, overwrite)
 
 
-def write_single_json(df: DataFrame, path: str, order: Sequence[str], max_rows: int = SINGLE_FILE_ROWS) -> None:
-    """A metrics table as one sorted JSON file.
+def write_sorted(df: DataFrame, path: str, order: Sequence, fmt: str = "parquet", files: int | None = None) -> None:
+    """One globally sorted table: file n holds only rows that come before those of file n + 1.
 
-    One task writes the file, so a table of more than `max_rows` rows (counted first) becomes several files in order.
+    Spark chooses the number of files by the size of the data, so a small table is one file. `files` asks for at most that
+    many; each is then written by one task.
     """
-    if df.count() <= max_rows:
-        df = df.repartition(1)
-    df.orderBy(*order).write.mode("overwrite").json(path)
+    ordered = df.repartitionByRange(files, *order).sortWithinPartitions(*order) if files else df.orderBy(*order)
+    ordered.write.format(fmt).mode("overwrite").save(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:

@@ -82,7 +82,7 @@ def test_large_side_is_not_broadcast(sides, plan, settings, monkeypatch):
     left, right = sides
     assert "BroadcastHashJoin" in plan(equi_join(left, right, {"key": "other"}, "broadcast"))
     assert "BroadcastHashJoin" in plan(equi_join(left, right, {"key": "other"}, "hint"))
-    monkeypatch.setattr("skewloom.operators.joins.fits_broadcast", lambda df: False)
+    monkeypatch.setattr("skewloom.operators.joins.fits_broadcast", lambda *_: False)
     assert "BroadcastHashJoin" not in plan(equi_join(left, right, {"key": "other"}, "broadcast"))
     assert "BroadcastHashJoin" not in plan(equi_join(left, right, {"key": "other"}, "hint"))
 

@@ -1,12 +1,14 @@
 import datetime as dt
+import json
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from skewloom.plans import mapping
 from skewloom.plans.rides import DAY, RIDE_JOBS
-from skewloom.session import PROFILES
+from skewloom.session import PROFILES, scratch_path
 from skewloom.sources import schemas
 from skewloom.sources.readers import list_files, read_csv, read_json, read_parquet, register_views
 from skewloom.sources.sinks import (
@@ -15,7 +17,6 @@ from skewloom.sources.sinks import (
     fill_clustered_table,
     replace_partitions,
     write_json,
-    write_single_json,
     write_sorted,
     write_table,
     write_tsv,
@@ -126,6 +127,9 @@ def test_clustered_table(spark, totals, tmp_path):
     for file in files(tmp_path / "c", ".parquet"):
         boroughs = [r.borough for r in spark.read.parquet(f"file:{file}").coalesce(1).collect()]
         assert boroughs == sorted(boroughs)
+    create_clustered_table(spark, "clustered_totals", "borough string, n bigint", ["borough"], str(tmp_path / "c"))
+    fill_clustered_table(totals, "clustered_totals", ["borough"], overwrite=True)
+    assert spark.table("clustered_totals").count() == 1_000
     spark.sql("DROP TABLE clustered_totals")
 
 
@@ -137,19 +141,19 @@ def test_sorted_table(spark, totals, tmp_path):
     assert all(a[1] > b[0] for a, b in zip(ranges, ranges[1:]))
 
 
-def test_single_json_file(spark, totals, tmp_path):
-    write_single_json(totals, str(tmp_path / "one"), ["n"])
-    (only,) = files(tmp_path / "one", ".json")
-    assert only.read_text().splitlines()[:2] == ['{"borough":"Bronx","n":0}', '{"borough":"Z1","n":1}']
-
-
-def test_large_metric_table_is_not_squeezed_into_one_task(spark, totals, tmp_path, settings):
+def test_sorted_json_is_in_order_over_all_files(spark, totals, tmp_path, settings):
     settings("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    write_single_json(totals, str(tmp_path / "many"), ["n"], max_rows=999)
+    write_sorted(totals, str(tmp_path / "many"), ["n"], "json")
     parts = files(tmp_path / "many", ".json")
     lines = [line for part in parts for line in part.read_text().splitlines()]
     assert len(parts) > 1 and len(lines) == 1_000
-    assert '"n":0}' in lines[0] and '"n":999}' in lines[-1]
+    assert [json.loads(line)["n"] for line in lines] == list(range(1_000))
+
+
+def test_sorted_json_in_a_number_of_files(spark, totals, tmp_path):
+    write_sorted(totals, str(tmp_path / "one"), ["n"], "json", files=1)
+    (only,) = files(tmp_path / "one", ".json")
+    assert only.read_text().splitlines()[:2] == ['{"borough":"Bronx","n":0}', '{"borough":"Z1","n":1}']
 
 
 def test_tsv(spark, tmp_path):
@@ -175,6 +179,7 @@ def test_convert(spark, tmp_path):
         ("partitioned_overwrite", ["total_trip_time", "hvfhs_license_num"]),
         ("clustered_table", ["cluster/by_borough"]),
         ("narrow_append", ["rides", "total_trip_time", "hvfhs_license_num"]),
+        ("narrow_refresh", ["rides", "total_trip_time", "hvfhs_license_num"]),
         ("sorted_overwrite", ["rides"]),
     ],
 )
@@ -196,3 +201,34 @@ def test_ride_job_writes(spark, folder, tmp_path, name, tables):
 def test_profiles():
     assert PROFILES["fixed_partitions"]["spark.sql.shuffle.partitions"] == "50"
     assert PROFILES["tight_memory"]["spark.sql.adaptive.enabled"] == "false"
+
+
+def test_refreshed_job_keeps_other_days(spark, folder, tmp_path):
+    trips, zones = mapping.trips(spark, folder), mapping.zones(spark, folder)
+    job = RIDE_JOBS["narrow_refresh"]
+    for day in (RUN_DAY, dt.date(2024, 6, 7), RUN_DAY):
+        job.write(spark, trips, zones, str(tmp_path), day)
+    days = spark.read.parquet(str(tmp_path / "total_trip_time")).groupBy(DAY).count().collect()
+    assert len(days) == 2 and len({r["count"] for r in days}) == 1
+
+
+def test_zones_meet_sums_only(spark, folder):
+    """In the plan, no zone is scanned below the first sum."""
+    tables = RIDE_JOBS["narrow_append"].tables(mapping.trips(spark, folder), mapping.zones(spark, folder), RUN_DAY)
+    for name in ("total_trip_time", "hvfhs_license_num"):
+        lines = tables[name]._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+        first = max((d, i) for i, d in enumerate(depth) if lines[i].lstrip(" :+-").startswith("Aggregate"))[1]
+        end = next((i for i in range(first + 1, len(lines)) if depth[i] <= depth[first]), len(lines))
+        assert any("s_nationkey" in line for line in lines[first:end])
+        assert not any("n_name" in line or "r_name" in line for line in lines[first:end])
+        assert any("n_name" in line for line in lines)
+
+
+def test_scratch_without_a_checkpoint_folder_is_below_the_warehouse():
+    conf = {"spark.master": "local[2]", "spark.sql.warehouse.dir": "file:/w/"}
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: conf.get(key, default)))
+    assert scratch_path(session, "x").startswith("file:/w/scratch/x-")
+    conf["spark.master"] = "spark://host:7077"
+    with pytest.raises(ValueError, match="checkpoint"):
+        scratch_path(session, "x")
