@@ -124,6 +124,8 @@ def banded_match(text: np.ndarray, item: np.ndarray, low: int, high: int, window
     `high` (document minus item position), widened by `edits`. None if none is within `edits`. The end is exact, the
     start is the end less the window's length.
     """
+    if not len(text):
+        return None
     low, high = low - edits, high + edits
     width, size = high - low + 1, min(window, len(item))
     starts = np.arange(len(item) - size + 1)[:, None]

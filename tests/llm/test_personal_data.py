@@ -1,0 +1,81 @@
+import hashlib
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from skewloom.llm.personal_data import BASE_KINDS, base_spans, digest_columns, luhn, sanitise
+from skewloom.llm.shared import table
+
+from .conftest import ODD
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def sound(kind, text):
+    digits = re.sub("[^0-9]", "", text)
+    if kind == "ip":
+        return all(int(part) <= 255 for part in text.split("."))
+    if kind == "card":
+        return 12 <= len(digits) <= 19 and luhn(digits)
+    return kind == "email" or 9 <= len(digits) <= 15
+
+
+def plain(text):
+    found = [(m.start(), k, m.end()) for k, (kind, p) in enumerate(PATTERNS.items()) for m in re.finditer(p, text) if sound(kind, m.group())]
+    return sorted(found)
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.text("a1234567890.@-+% (_é\n", max_size=40))
+def test_spans_are_those_of_the_patterns(text):
+    assert base_spans(text) == plain(text)
+
+
+@pytest.mark.parametrize("number, valid", [("4111111111111111", True), ("4111111111111112", False), ("0" * 12, True)])
+def test_luhn(number, valid):
+    assert luhn(number) is valid
+    reverse = [int(d) for d in reversed(number)]
+    assert valid == ((sum(reverse[::2]) + sum(sum(map(int, str(2 * d))) for d in reverse[1::2])) % 10 == 0)
+
+
+def test_given_tables(spark, folder):
+    documents = table(spark, folder, "documents")
+    for r in digest_columns(sanitise(documents)).join(documents.select("doc_id", "text"), "doc_id").collect():
+        spans = plain(r.text)
+        joined = ",".join(f"{BASE_KINDS[k]}:{a}:{b}" for a, k, b in spans)
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == n for _, k, _ in spans) for n in range(4)]
+        assert set(joined.split(",")) - {""} <= set(r.spans.split(","))
+
+
+def test_terms_that_tell_an_entity(docs):
+    """A word that only occurs next to one person's address goes; common words and words seen once stay."""
+    rows = [(n, f"please write to Rumpelstilz the wizard at rumpel@castle.example about gold number{n}") for n in range(5)]
+    rows += [(100 + n, f"please write to the wizard about unrelated gold and number{n} things") for n in range(60)]
+    found = {r.doc_id: r for r in sanitise(docs(*rows)).collect()}
+    for n in range(5):
+        text = dict(rows)[n]
+        told = {text[s.start : s.end] for s in found[n].spans if s.kind in ("term", "hint")}
+        assert told == {"Rumpelstilz"}
+        assert "Rumpelstilz" not in found[n].text and "[email]" in found[n].text and "rumpel@" not in found[n].text
+    assert all(not found[100 + n].spans for n in range(60))
+
+
+def test_odd_rows(docs):
+    rows = sanitise(docs(*ODD)).collect()
+    assert len(rows) == len(ODD)
+    for r in rows:
+        if r.doc_id in (1, 2):
+            assert r.text == "" and r.spans == []
+    first, second = [r for r in rows if r.doc_id == 5]
+    assert first == second
+    assert sanitise(docs((1, "a@b.cd")).limit(0)).count() == 0
+    only = digest_columns(sanitise(docs((1, "a@b.cd")))).first()
+    assert (only.n_email, only.spans) == (1, "email:0:6")
