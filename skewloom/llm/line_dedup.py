@@ -13,32 +13,40 @@ only the part that lies opposite the later document travels. Documents without a
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from itertools import accumulate, chain
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import store
-from .shared import bitmap, in_bitmap, map_batches, row_key
+from .shared import arrow_schema, bitmap_words, map_batches, marked, narrowed, record_batches, row_key
 
-BREAK = re.compile(rb"(?<=[.!?])[\x20\x09-\x0d]+|\n")
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
 CONTEXT = 3
+SALTS = 16
+FLUSH_BYTES = 8_000_000
 SHORT_LINE = 4
 
 
 def line_words(text: str) -> list[list[bytes]]:
-    """The words of each line that has one, in ASCII lower case."""
-    parts = BREAK.split(text.encode("utf-8", "surrogatepass").lower())
-    return [words for part in parts if (words := part.split())]
+    """The words of each line that has one, in ASCII lower case. A line ends at a line feed or with . ! ? and a space."""
+    content = text.encode("utf-8", "surrogatepass").lower()
+    for stop in (b".", b"!", b"?"):
+        content = content.replace(stop + b" ", stop + b"\n")
+    return [words for line in content.split(b"\n") if (words := line.split())]
 
 
 def winnow(hashes: list[int], lengths: list[int], window: int) -> list[int]:
     """Numbers of the lines that are least in some window; of equal ones the last. Short lines come after all others."""
-    keys = [(length < SHORT_LINE, h, -i) for i, (h, length) in enumerate(zip(hashes, lengths))]
-    last = max(1, len(keys) - window + 1)
-    return sorted({min(range(i, min(i + window, len(keys))), key=keys.__getitem__) for i in range(last)}) if keys else []
+    keys = np.array(hashes, np.uint64) >> np.uint64(1)
+    keys |= (np.array(lengths) < SHORT_LINE).astype(np.uint64) << np.uint64(63)
+    window = min(window, len(keys))
+    views = np.lib.stride_tricks.sliding_window_view(keys, window)[:, ::-1]
+    return np.unique(np.arange(window - 1, len(keys)) - views.argmin(axis=1)).tolist()
 
 
 def fingerprints(documents: DataFrame, window: int, min_words: int) -> DataFrame:
@@ -52,26 +60,26 @@ def fingerprints(documents: DataFrame, window: int, min_words: int) -> DataFrame
     def run(batch: pa.RecordBatch) -> dict:
         from xxhash import xxh3_64_intdigest as digest
 
-        def hashed(words: list[bytes]) -> int:
-            return digest(b" ".join(words)) - (1 << 63)
-
         places, lines, positions, counts, before, after, sizes = [], [], [], [], [], [], []
         for place, text in enumerate(batch.column(2).to_pylist()):
             found = line_words(text)
-            words = [w for line in found for w in line]
-            if len(words) < min_words:
+            lengths = list(map(len, found))
+            size = sum(lengths)
+            if size < min_words:
                 continue
-            starts = np.cumsum([0, *map(len, found)]).tolist()
-            hashes = list(map(hashed, found))
-            for i in winnow(hashes, [len(line) for line in found], window):
+            words = list(chain.from_iterable(found))
+            starts = [0, *accumulate(lengths)]
+            hashes = [digest(b" ".join(line)) for line in found]
+            chosen = winnow(hashes, lengths, window)
+            places += [place] * len(chosen)
+            sizes += [size] * len(chosen)
+            for i in chosen:
                 a, b = starts[i], starts[i + 1]
-                places.append(place)
-                lines.append(hashes[i])
+                lines.append(hashes[i] - (1 << 63))
                 positions.append(a)
                 counts.append(b - a)
-                before.append(hashed(words[a - CONTEXT : a]) if a >= CONTEXT else None)
-                after.append(hashed(words[b : b + CONTEXT]) if b + CONTEXT <= len(words) else None)
-                sizes.append(len(words))
+                before.append(crc32(b" ".join(words[a - CONTEXT : a])) if a >= CONTEXT else None)
+                after.append(crc32(b" ".join(words[b : b + CONTEXT])) if b + CONTEXT <= size else None)
         of_rows = pa.array(places, pa.int64())
         return {
             "doc_id": batch.column(0).take(of_rows), "row": batch.column(1).take(of_rows), "line": lines,
@@ -100,32 +108,35 @@ def matches(prints: DataFrame, min_words: int) -> DataFrame:
 
 
 def segments(found: DataFrame, documents: DataFrame) -> DataFrame:
-    """(row, start, words): the words of the first document that lie opposite words `start`, ... of the row's text."""
-
-    def run(batch: pa.RecordBatch) -> dict:
-        rows, shifts, sizes, texts = (batch.column(i).to_pylist() for i in range(4))
-        starts, parts, last, words = [], [], None, []
-        for shift, size, text in zip(shifts, sizes, texts):
-            if text is not last:
-                last, words = text, text.encode("utf-8", "surrogatepass").lower().split()
-            starts.append(max(0, -shift))
-            parts.append(b" ".join(words[max(0, shift) : max(0, shift + size)]))
-        return {"row": rows, "start": starts, "words": parts}
-
-    firsts = documents.select(F.col("row").alias("first_row"), "text").filter(may_be_in(found, "first_row", F.col("first_row")))
-    joined = found.join(firsts.dropDuplicates(["first_row"]), "first_row").select("row", "shift", "size", "text")
-    return map_batches(joined, run, "row long, start int, words binary")
+    """(row, start, words): the words of the first document that lie opposite words `start`, ... of the row's text.
 
-
-def may_be_in(keys: DataFrame, key: str, column: Column) -> Column:
-    """Whether `column` may be one of the keys: only the keys go through Python, the texts beside them do not."""
-    filled = bitmap(keys, key)
-
-    @F.arrow_udf("boolean")
-    def test(values: pa.Array) -> pa.Array:
-        return pa.array(in_bitmap(filled, values.to_numpy(zero_copy_only=False)))
-
-    return test(column)
+    Each text is read once for up to 1/SALTS of its requests, so that a text which many others repeat is not one task's.
+    """
+    schema = "row long, start int, words binary"
+    kinds = arrow_schema(documents.sparkSession, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list] = {"row": [], "start": [], "words": []}
+        size = 0
+        for batch in batches:
+            for i in range(batch.num_rows):
+                words = batch.column(0)[i].as_py().encode("utf-8", "surrogatepass").lower().split()
+                for request in batch.column(1)[i].as_py():
+                    shift = request["shift"]
+                    part = b" ".join(words[max(0, shift) : max(0, shift + request["size"])])
+                    for name, value in zip(held, (request["row"], max(0, -shift), part)):
+                        held[name].append(value)
+                    size += len(part)
+                    if size > FLUSH_BYTES:
+                        yield from record_batches(held, kinds)
+                        held, size = {"row": [], "start": [], "words": []}, 0
+        yield from record_batches(held, kinds)
+
+    salt = F.pmod("row", F.lit(SALTS)).alias("salt")
+    requests = found.groupBy("first_row", salt).agg(F.collect_list(F.struct("row", "shift", "size")).alias("requests"))
+    firsts = narrowed(documents.select(F.col("row").alias("first_row"), "text"), F.col("first_row"), found, "first_row")
+    joined = requests.join(firsts.dropDuplicates(["first_row"]), "first_row").select("text", "requests")
+    return joined.mapInArrow(run, schema)
 
 
 def repeats_within(words: list[bytes], lines: list[list[bytes]], min_words: int) -> list[tuple[int, int]]:
@@ -156,7 +167,7 @@ def equal_runs(equal: np.ndarray, min_words: int) -> list[tuple[int, int]]:
 def without(text: str, others: list[tuple[int, bytes]], min_words: int) -> tuple[str, list[dict]]:
     """The text without repeated runs, and their spans in code points. others: (start, words opposite from there)."""
     lines = line_words(text)
-    words = [w for line in lines for w in line]
+    words = list(chain.from_iterable(lines))
     if len(words) < min_words:
         return text, []
     runs = repeats_within(words, lines, min_words)
@@ -189,13 +200,15 @@ def line_dedup(documents: DataFrame, min_words: int = 50, window: int = 2) -> Da
     `min_words` words stay as they are. Columns named row, opposite or removed may exist; removed is replaced.
     """
     names = [c for c in documents.columns if c != "removed"]
-    body = documents.select(F.struct(*names).alias("body"), "doc_id", "text", row_key(F.col("doc_id"), F.col("text")).alias("row"))
+    rest = [c for c in names if c != "text"]
+    body = documents.select(F.struct(*rest).alias("body"), "doc_id", "text", row_key(F.col("doc_id"), F.col("text")).alias("row"))
     texts = body.filter(F.col("text").isNotNull()).select("doc_id", "row", "text")
-    found = store(matches(fingerprints(texts, window, min_words), min_words), "line-matches")
+    prints = store(fingerprints(texts, window, min_words), "fingerprints")
+    found = store(matches(prints, min_words), "line-matches")
     opposite = segments(found, texts).groupBy("row").agg(F.collect_list(F.struct("start", "words")).alias("opposite"))
-    affected = may_be_in(found, "row", F.col("row"))
-    alone = body.filter(~affected).withColumn("opposite", F.lit(None).cast("array<struct<start: int, words: binary>>"))
-    joined = body.filter(affected).join(opposite, "row", "left").select(*alone.columns)
+    body = marked(body, F.col("row"), bitmap_words(found, "row"), "affected")
+    alone = body.filter("NOT affected").withColumn("opposite", F.lit(None).cast("array<struct<start: int, words: binary>>"))
+    joined = body.filter("affected").join(opposite, "row", "left").select(*alone.columns)
     kind = documents.select(*names).schema
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kind)
 
@@ -207,7 +220,7 @@ def line_dedup(documents: DataFrame, min_words: int = 50, window: int = 2) -> Da
             cleaned.append(text)
             removed.append(spans)
         body = batch.column(2)
-        columns = {name: body.field(name) for name in names}
+        columns = {name: body.field(name) for name in rest}
         return {**columns, "text": cleaned, "removed": removed}
 
     rows = alone.unionByName(joined).select("text", "opposite", "body")

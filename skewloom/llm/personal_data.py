@@ -21,8 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import store
-from .line_dedup import may_be_in
-from .shared import bitmap, in_bitmap, map_batches, row_key
+from .shared import bitmap, bitmap_words, in_bitmap, map_batches, marked, row_key
 
 # The kinds in their order, and their patterns.
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -171,11 +170,11 @@ def sanitise(
     body = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), row_key(F.col("doc_id"), F.col("text")).alias("row"))
     near, told = disclosures(body.select("row", "text"), window, support, generalise_at)
     removed = F.max(F.col("disclosure") >= remove_at).alias("removed")
-    marked = near.join(told, ["entity", "term"]).groupBy("row", "term").agg(removed)
-    marked = store(marked.groupBy("row").agg(F.collect_list(F.struct("term", "removed")).alias("terms")), "marked")
-    affected = may_be_in(marked, "row", F.col("row"))
-    alone = body.filter(~affected).withColumn("terms", F.lit(None).cast("array<struct<term: long, removed: boolean>>"))
-    joined = body.filter(affected).join(marked, "row", "left").select(*alone.columns)
+    telling = near.join(told, ["entity", "term"]).groupBy("row", "term").agg(removed)
+    telling = store(telling.groupBy("row").agg(F.collect_list(F.struct("term", "removed")).alias("terms")), "telling")
+    body = marked(body, F.col("row"), bitmap_words(telling, "row"), "affected")
+    alone = body.filter("NOT affected").withColumn("terms", F.lit(None).cast("array<struct<term: long, removed: boolean>>"))
+    joined = body.filter("affected").join(telling, "row", "left").select(*alone.columns)
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> dict:

@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import store
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -67,20 +69,38 @@ def null_as_empty(values: list) -> list:
 BITMAP_BITS = 23
 
 
-def bitmap(keys: DataFrame, key: str, bits: int = BITMAP_BITS) -> bytes:
-    """A bitmap of 2**bits bits with a bit for each 64-bit key of `keys`: bounded whatever the number of keys.
+def bitmap_words(keys: DataFrame, key: str, bits: int = BITMAP_BITS) -> DataFrame:
+    """(_word, _bit): 2**(bits - 6) rows at most, with a bit for each 64-bit key of `keys`, whatever the number of keys.
 
     A key whose bit is not set does not occur; one whose bit is set may occur. It narrows a scan before an exact join,
     and where so many keys occur that most bits are set, the join does all of the work.
     """
     slot = F.col(key).bitwiseAND((1 << bits) - 1)
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(63).cast("int"))
-    words = keys.select(F.shiftright(slot, 6).alias("word"), bit.alias("bit"))
-    rows = words.groupBy("word").agg(F.bit_or("bit").alias("bit")).toPandas()
+    words = keys.select(F.shiftright(slot, 6).alias("_word"), bit.alias("_bit"))
+    return store(words.groupBy("_word").agg(F.bit_or("_bit").alias("_bit")), "bitmap")
+
+
+def marked(df: DataFrame, column: Column, words: DataFrame, mark: str, bits: int = BITMAP_BITS) -> DataFrame:
+    """`df` with a boolean column `mark`: whether `column` may be one of the keys of the bitmap."""
+    slot = column.bitwiseAND((1 << bits) - 1)
+    joined = df.withColumn("_slot", slot).join(F.broadcast(words), F.shiftright("_slot", 6) == F.col("_word"), "left")
+    found = F.call_function("getbit", F.col("_bit"), F.col("_slot").bitwiseAND(63).cast("int")) == 1
+    return joined.withColumn(mark, F.coalesce(found, F.lit(False))).drop("_slot", "_word", "_bit")
+
+
+def narrowed(df: DataFrame, column: Column, keys: DataFrame, key: str) -> DataFrame:
+    """The rows whose `column` may be a key of `keys`."""
+    return marked(df, column, bitmap_words(keys, key), "_possible").filter("_possible").drop("_possible")
+
+
+def bitmap(keys: DataFrame, key: str, bits: int = BITMAP_BITS) -> bytes:
+    """The bitmap as 2**(bits - 3) bytes, for lookups in Python."""
     import numpy as np
 
+    rows = bitmap_words(keys, key, bits).toPandas()
     filled = np.zeros(1 << (bits - 6), "<i8")
-    filled[rows["word"].to_numpy("int64")] = rows["bit"].to_numpy("int64")
+    filled[rows["_word"].to_numpy("int64")] = rows["_bit"].to_numpy("int64")
     return filled.tobytes()
 
 
