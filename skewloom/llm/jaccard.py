@@ -27,8 +27,7 @@ from pyspark.sql import functions as F
 
 from ..session import store
 from .components import components
-from .line_dedup import may_be_in
-from .shared import arrow_schema, map_batches, record_batches
+from .shared import arrow_schema, map_batches, narrowed, record_batches
 
 COUNTER_BITS = 21
 SLICES = 32
@@ -160,15 +159,15 @@ def verified(pairs: DataFrame, documents: DataFrame, classes: DataFrame, size: i
     pairs = store(pairs.distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct().join(classes, "class")
     keys = wanted.select(F.xxhash64("doc_id").alias("key"))
-    near = documents.select("doc_id", "text").filter(may_be_in(keys, "key", F.xxhash64("doc_id")))
+    near = narrowed(documents.select("doc_id", "text"), F.xxhash64("doc_id"), keys, "key")
 
     def sets(batch: pa.RecordBatch) -> dict:
         known = WordHashes()
         found = [gram_set(text, size, known) for text in batch.column(0).to_pylist()]
         return {"class": list(map(class_key, found)), "grams": [g.tobytes() for g in found]}
 
-    made = map_batches(near.select("text"), sets, "class long, grams binary").join(wanted.select("class"), "class")
-    made = store(made.dropDuplicates(["class"]), "sets")
+    # Some sets that no pair asks for come along, as the bitmap may let them pass; the joins leave them out.
+    made = store(map_batches(near.select("text"), sets, "class long, grams binary"), "sets")
 
     def check(batch: pa.RecordBatch) -> dict:
         rows = zip(*(batch.column(i).to_pylist() for i in range(4)))
@@ -199,7 +198,7 @@ def jaccard_classes(documents: DataFrame, size: int = 3, percent: int = 90) -> D
     entries = first.select("gram", F.struct("position", "n", "class").alias("entry"))
     leaders = entries.groupBy("gram").agg(F.min("entry").alias("leader"), F.count(F.lit(1)).alias("entries"))
     leaders = store(leaders.filter("entries > 1").drop("entries"), "leaders")
-    shared = store(entries.filter(may_be_in(leaders, "gram", F.col("gram"))).join(leaders, "gram"), "shared")
+    shared = store(narrowed(entries, F.col("gram"), leaders, "gram").join(leaders, "gram"), "shared")
     stars = shared.filter("leader.class <> entry.class").filter(may_link(percent, "leader", "entry"))
     pair = [F.least("entry.class", "leader.class").alias("a"), F.greatest("entry.class", "leader.class").alias("b")]
     links = verified(stars.select(*pair), documents, classes, size, percent)
