@@ -39,6 +39,20 @@ def word_class(word: bytes) -> int:
     return digest(word.rstrip(b".,;:!?")[-3:]) % CLASSES
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Unsigned integers, compressed byte plane by byte plane: their high bytes are nearly all alike."""
+    import zstandard
+
+    return zstandard.compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), 3)
+
+
+def unpacked(content: bytes, kind: str) -> np.ndarray:
+    import zstandard
+
+    planes = np.frombuffer(zstandard.decompress(content), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 def chunks(documents: DataFrame) -> DataFrame:
     """(chunk, docs, codes, words, counts, classes) of documents (doc_id, learn, held_out, text).
 
@@ -50,7 +64,6 @@ def chunks(documents: DataFrame) -> DataFrame:
     kinds = arrow_schema(documents.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
         from xxhash import xxh3_64_intdigest as digest
 
         number = TaskContext.get().partitionId() << 32
@@ -64,7 +77,7 @@ def chunks(documents: DataFrame) -> DataFrame:
             row = {
                 "chunk": [number],
                 "docs": [docs],
-                "codes": [zstandard.compress(np.concatenate(codes).astype("<u4").tobytes(), 1)],
+                "codes": [packed(np.concatenate(codes).astype("<u4"))],
                 "words": [[digest(w) - (1 << 63) for w in local]],
                 "counts": [counts],
                 "classes": [[word_class(w) for w in local]],
@@ -137,8 +150,6 @@ def sequences(parts: DataFrame, vocabulary: DataFrame, found: Symbols) -> DataFr
     shared = parts.sparkSession.sparkContext.broadcast(tuple(vars(found).values()))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        import zstandard
-
         model = Symbols(*shared.value)
         rows: dict[str, list] = {"chunk": [], "docs": [], "symbols": []}
         for chunk, docs, codes, hashes, classes in zip(*(left.column(c).to_pylist() for c in ("chunk", "docs", "codes", "words", "classes"))):
@@ -151,12 +162,12 @@ def sequences(parts: DataFrame, vocabulary: DataFrame, found: Symbols) -> DataFr
             base = np.log10((count + 0.5) / (model.tokens + 0.5 * (model.words + 1)))
             shared_by = model.count[symbol] + 0.5 * (model.distinct[symbol] + 1)
             within = np.where(symbol < len(model.own), 0.0, np.log10((count + 0.5) / shared_by))
-            codes = np.frombuffer(zstandard.decompress(codes), "<u4")
+            codes = unpacked(codes, "<u4")
             starts = np.cumsum([0, *(d["tokens"] for d in docs)])[:-1]
             totals = [np.add.reduceat(x[codes], starts) for x in ((count > 0).astype(np.int64), base, within)]
             rows["chunk"].append(chunk)
             rows["docs"].append([{**d, "known": int(k), "base": float(b), "within": float(w)} for d, k, b, w in zip(docs, *totals)])
-            rows["symbols"].append(zstandard.compress(symbol[codes].astype("<u2").tobytes(), 3))
+            rows["symbols"].append(packed(symbol[codes].astype("<u2")))
         return pa.table(rows, schema=kinds)
 
     return parts.groupBy("chunk").cogroup(known.groupBy("of_chunk")).applyInArrow(run, schema)
@@ -248,10 +259,8 @@ def expected_counts(model: Model, pieces: list[np.ndarray]) -> tuple[np.ndarray,
     return starts, moves * model.move, emits, likelihood
 
 
-def _texts(docs: list[dict], packed: bytes) -> list[np.ndarray]:
-    import zstandard
-
-    codes = np.frombuffer(zstandard.decompress(packed), "<u2")
+def _texts(docs: list[dict], symbols: bytes) -> list[np.ndarray]:
+    codes = unpacked(symbols, "<u2")
     return np.split(codes, np.cumsum([d["tokens"] for d in docs])[:-1])
 
 
@@ -265,8 +274,8 @@ def baum_welch(texts: DataFrame, model: Model, found: Symbols) -> tuple[Model, f
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(states + states * states + size * states + 1)
         for batch in batches:
-            for docs, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                learned = [t for d, t in zip(docs, _texts(docs, packed)) if d["learn"]]
+            for docs, codes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                learned = [t for d, t in zip(docs, _texts(docs, codes)) if d["learn"]]
                 pieces = [t[i : i + SEGMENT] for t in learned for i in range(0, len(t), SEGMENT)]
                 if pieces:
                     a, b, c, d = expected_counts(Model(*shared.value), sorted(pieces, key=len, reverse=True))
@@ -314,8 +323,8 @@ def hidden_markov_scores(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for docs, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                likelihood = forward(Model(*shared.value), _texts(docs, packed))
+            for docs, codes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                likelihood = forward(Model(*shared.value), _texts(docs, codes))
                 columns = {
                     "doc_id": [d["doc_id"] for d in docs],
                     "held_out": [d["held_out"] for d in docs],
