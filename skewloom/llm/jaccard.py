@@ -182,7 +182,7 @@ def verified(pairs: DataFrame, documents: DataFrame, classes: DataFrame, size: i
     left = made.select(F.col("class").alias("a"), F.col("grams").alias("x"))
     right = made.select(F.col("class").alias("b"), F.col("grams").alias("y"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return store(map_batches(joined, check, "a long, b long"), "links")
+    return store(map_batches(joined, check, "a long, b long", rows=500), "links")
 
 
 def jaccard_classes(documents: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:

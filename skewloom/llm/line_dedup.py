@@ -87,7 +87,7 @@ def fingerprints(documents: DataFrame, window: int, min_words: int) -> DataFrame
         }
 
     schema = f"doc_id {kind}, row long, line long, position int, words int, before long, after long, size int"
-    return map_batches(documents.select("doc_id", "row", "text"), run, schema)
+    return map_batches(documents.select("doc_id", "row", "text"), run, schema, rows=500)
 
 
 def matches(prints: DataFrame, min_words: int) -> DataFrame:
@@ -224,4 +224,4 @@ def line_dedup(documents: DataFrame, min_words: int = 50, window: int = 2) -> Da
         return {**columns, "text": cleaned, "removed": removed}
 
     rows = alone.unionByName(joined).select("text", "opposite", "body")
-    return map_batches(rows, run, f"{schema}, removed array<struct<start: int, end: int>>")
+    return map_batches(rows, run, f"{schema}, removed array<struct<start: int, end: int>>", rows=500)

@@ -35,13 +35,16 @@ def row_key(*columns: Column) -> Column:
     return F.xxhash64(*columns)
 
 
-def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
-    """`function` makes a dictionary of columns from each Arrow batch; `schema` is DDL."""
+def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str, rows: int = 10_000) -> DataFrame:
+    """`function` makes a dictionary of columns from each Arrow batch of at most `rows` rows; `schema` is DDL.
+
+    Fewer rows bound the memory of functions that make much from each row.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield from record_batches(function(batch), kinds)
+            for start in range(0, batch.num_rows, rows):
+                yield from record_batches(function(batch.slice(start, rows)), kinds)
 
     kinds = arrow_schema(df.sparkSession, schema)
     return df.mapInArrow(run, schema)
@@ -54,7 +57,7 @@ def arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(schema))
 
 
-def record_batches(columns: dict, kinds: pa.Schema, rows: int = 100_000) -> Iterator[pa.RecordBatch]:
+def record_batches(columns: dict, kinds: pa.Schema, rows: int = 50_000) -> Iterator[pa.RecordBatch]:
     """Batches of at most `rows` rows. Columns may be lists, numpy or Arrow arrays."""
     arrays = [x if isinstance(x := columns[f.name], pa.Array) else pa.array(x, f.type) for f in kinds]
     whole = pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(arrays, kinds)], schema=kinds)
