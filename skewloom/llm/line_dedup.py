@@ -49,6 +49,17 @@ def winnow(hashes: list[int], lengths: list[int], window: int) -> list[int]:
     return np.unique(np.arange(window - 1, len(keys)) - views.argmin(axis=1)).tolist()
 
 
+def first_and_last(chosen: list[int], hashes: list[int]) -> list[int]:
+    """Of fingerprints whose line and neighbouring lines the text repeats, only the first and the last.
+
+    All of them would be compared with the same place of the same earlier text.
+    """
+    ends: dict[tuple, list[int]] = {}
+    for i in chosen:
+        ends.setdefault((hashes[i - 1] if i else None, hashes[i], *hashes[i + 1 : i + 2]), [i, i])[1] = i
+    return sorted({i for pair in ends.values() for i in pair})
+
+
 def fingerprints(documents: DataFrame, window: int, min_words: int) -> DataFrame:
     """(doc_id, row, line, position, words, before, after, size) for each fingerprint of each row.
 
@@ -71,6 +82,8 @@ def fingerprints(documents: DataFrame, window: int, min_words: int) -> DataFrame
             starts = [0, *accumulate(lengths)]
             hashes = [digest(b" ".join(line)) for line in found]
             chosen = winnow(hashes, lengths, window)
+            if len(set(hashes)) < len(hashes):
+                chosen = first_and_last(chosen, hashes)
             places += [place] * len(chosen)
             sizes += [size] * len(chosen)
             for i in chosen:
