@@ -1,21 +1,23 @@
-"""Removing repeated passages by winnowing over line hashes.
+"""Removing repeated passages by winnowing over word hashes.
 
-A line is a line or a sentence of the text; its hash is that of its words in lower case. Of every `window` neighbouring
-lines the one with the least hash is a fingerprint, so two texts that share `window` whole lines in a row share a
-fingerprint. Fingerprints are joined with their first occurrence in the order of (doc_id, row key, position); from there
-the match is extended word by word both ways, so it also covers the partial lines at its ends. A run of at least
-`min_words` equal words is deleted from the later document and stays in the earlier one.
+Every run of `min_words` words that a document has and an earlier place of the corpus has too is deleted; places are in
+the order of (doc_id, row key, position). No such run is left out:
 
-Only the first occurrence is a partner, so a passage of a million documents makes a million pairs. Of the partner's text
-only the part that lies opposite the later document travels. Documents without a partner are not shuffled.
+- A gram is a piece of min_words // `window` words. Of the grams that a run of `min_words` words holds, the one with the
+  least hash is the run's fingerprint, so equal runs have equal fingerprints, with or without lines or sentences in them.
+- Neighbouring runs with one fingerprint are one context. Contexts with equal words are joined with the first of them,
+  and all of the later ones go, so a passage of a million documents makes a million rows.
+- Where a fingerprint stands in contexts that differ, as at the ends of a passage, the first holder of each context lists
+  its single runs, and each run has its own first place.
+
+Rows have hashes and no text. Documents without a repeated fingerprint are not shuffled and not read again.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from itertools import accumulate, chain
-from zlib import crc32
+from collections.abc import Iterable
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,13 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import store
-from .shared import arrow_schema, bitmap_words, map_batches, marked, narrowed, record_batches, row_key
+from .shared import bitmap_words, map_batches, marked, narrowed, row_key
 
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
-CONTEXT = 3
-SALTS = 16
-FLUSH_BYTES = 8_000_000
 SHORT_LINE = 4
+BASE = 0x9E3779B97F4A7C15
+MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
 def line_words(text: str) -> list[list[bytes]]:
@@ -40,168 +41,175 @@ def line_words(text: str) -> list[list[bytes]]:
     return [words for line in content.split(b"\n") if (words := line.split())]
 
 
+def least(keys: np.ndarray, window: int) -> np.ndarray:
+    """For each `window` neighbouring keys the place of the least; of equal ones the last."""
+    views = np.lib.stride_tricks.sliding_window_view(keys, window)[:, ::-1]
+    return np.arange(window - 1, len(keys)) - views.argmin(axis=1)
+
+
 def winnow(hashes: list[int], lengths: list[int], window: int) -> list[int]:
     """Numbers of the lines that are least in some window; of equal ones the last. Short lines come after all others."""
     keys = np.array(hashes, np.uint64) >> np.uint64(1)
     keys |= (np.array(lengths) < SHORT_LINE).astype(np.uint64) << np.uint64(63)
-    window = min(window, len(keys))
-    views = np.lib.stride_tricks.sliding_window_view(keys, window)[:, ::-1]
-    return np.unique(np.arange(window - 1, len(keys)) - views.argmin(axis=1)).tolist()
-
-
-def first_and_last(chosen: list[int], hashes: list[int]) -> list[int]:
-    """Of fingerprints whose line and neighbouring lines the text repeats, only the first and the last.
-
-    All of them would be compared with the same place of the same earlier text.
-    """
-    ends: dict[tuple, list[int]] = {}
-    for i in chosen:
-        ends.setdefault((hashes[i - 1] if i else None, hashes[i], *hashes[i + 1 : i + 2]), [i, i])[1] = i
-    return sorted({i for pair in ends.values() for i in pair})
+    return np.unique(least(keys, min(window, len(keys)))).tolist()
+
+
+@lru_cache(maxsize=4)
+def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of BASE and of its inverse modulo 2**64, from 0 to size - 1."""
+    made = []
+    for base in (BASE, pow(BASE, -1, 1 << 64)):
+        values = np.full(size, base, np.uint64)
+        values[0] = 1
+        made.append(np.cumprod(values, dtype=np.uint64))
+    return made[0], made[1]
+
+
+def prefix_sums(text: str, least_words: int) -> np.ndarray | None:
+    """Sums of word hashes times powers, from which `run_hashes` hashes any run; None if there are too few words."""
+    from xxhash import xxh3_64_intdigest as digest
+
+    words = text.encode("utf-8", "surrogatepass").lower().split()
+    if len(words) < least_words:
+        return None
+    up, _ = powers(1 << len(words).bit_length())
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(np.fromiter(map(digest, words), np.uint64, len(words)) * up[: len(words)], out=sums[1:])
+    return sums
+
+
+def run_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the words of each run, wherever it stands."""
+    _, down = powers(1 << (len(sums) - 1).bit_length())
+    values = (sums[ends] - sums[starts]) * down[starts]
+    values ^= values >> np.uint64(32)
+    values *= MIX
+    values ^= values >> np.uint64(29)
+    return values
+
+
+def contexts(sums: np.ndarray, min_words: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(gram, context, start, runs) of a text: runs `start`, ..., start + runs - 1 have the fingerprint `gram`."""
+    size = max(1, min_words // window)
+    at = np.arange(len(sums) - size)
+    grams = run_hashes(sums, at, at + size)
+    chosen = least(grams, min_words - size + 1)
+    starts = np.flatnonzero(np.diff(chosen, prepend=-1))
+    runs = np.diff(starts, append=len(chosen))
+    return grams[chosen[starts]], run_hashes(sums, starts, starts + runs - 1 + min_words), starts, runs
+
+
+def merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans (start, end) in order, with those that touch made one."""
+    found: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if found and a <= found[-1][1]:
+            found[-1] = (found[-1][0], max(b, found[-1][1]))
+        else:
+            found.append((a, b))
+    return found
 
 
-def fingerprints(documents: DataFrame, window: int, min_words: int) -> DataFrame:
-    """(doc_id, row, line, position, words, before, after, size) for each fingerprint of each row.
+def fingerprints(documents: DataFrame, min_words: int, window: int) -> DataFrame:
+    """(doc_id, row, gram, context, start, runs, again) for each context of each row.
 
-    position: words before the line; words: in the line; before, after: hashes of the CONTEXT words next to it; size:
-    words of the text. Texts of fewer than `min_words` words have no fingerprint.
+    Of equal contexts of one text the first has a row; what the others cover are rows with `again`, without hashes. Texts
+    of fewer than `min_words` words have no row.
     """
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> dict:
-        from xxhash import xxh3_64_intdigest as digest
-
-        places, lines, positions, counts, before, after, sizes = [], [], [], [], [], [], []
+        parts: list[list[np.ndarray]] = [[], [], [], [], [], []]
         for place, text in enumerate(batch.column(2).to_pylist()):
-            found = line_words(text)
-            lengths = list(map(len, found))
-            size = sum(lengths)
-            if size < min_words:
+            sums = prefix_sums(text, min_words)
+            if sums is None:
                 continue
-            words = list(chain.from_iterable(found))
-            starts = [0, *accumulate(lengths)]
-            hashes = [digest(b" ".join(line)) for line in found]
-            chosen = winnow(hashes, lengths, window)
-            if len(set(hashes)) < len(hashes):
-                chosen = first_and_last(chosen, hashes)
-            places += [place] * len(chosen)
-            sizes += [size] * len(chosen)
-            for i in chosen:
-                a, b = starts[i], starts[i + 1]
-                lines.append(hashes[i] - (1 << 63))
-                positions.append(a)
-                counts.append(b - a)
-                before.append(crc32(b" ".join(words[a - CONTEXT : a])) if a >= CONTEXT else None)
-                after.append(crc32(b" ".join(words[b : b + CONTEXT])) if b + CONTEXT <= size else None)
-        of_rows = pa.array(places, pa.int64())
+            gram, context, start, runs = contexts(sums, min_words, window)
+            first = np.unique(context, return_index=True)[1]
+            again = np.zeros(len(first), bool)
+            if len(first) < len(context):
+                rest = np.ones(len(context), bool)
+                rest[first] = False
+                ends = start[rest] + runs[rest] - 1 + min_words
+                spans = np.array(merged(zip(start[rest].tolist(), ends.tolist())))
+                none = np.zeros(len(spans), np.uint64)
+                gram, context = np.concatenate([gram[first], none]), np.concatenate([context[first], none])
+                start = np.concatenate([start[first], spans[:, 0]])
+                runs = np.concatenate([runs[first], spans[:, 1] - spans[:, 0] + 1 - min_words])
+                again = np.concatenate([again, np.ones(len(spans), bool)])
+            for held, values in zip(parts, (np.full(len(gram), place), gram, context, start, runs, again)):
+                held.append(values)
+        kinds = (np.int64, np.uint64, np.uint64, np.int64, np.int64, bool)
+        places, gram, context, start, runs, again = (np.concatenate([np.zeros(0, k), *held]) for k, held in zip(kinds, parts))
+        of_rows = pa.array(places)
         return {
-            "doc_id": batch.column(0).take(of_rows), "row": batch.column(1).take(of_rows), "line": lines,
-            "position": positions, "words": counts, "before": before, "after": after, "size": sizes,
+            "doc_id": batch.column(0).take(of_rows), "row": batch.column(1).take(of_rows), "gram": gram.view(np.int64),
+            "context": context.view(np.int64), "start": start, "runs": runs, "again": again,
         }
 
-    schema = f"doc_id {kind}, row long, line long, position int, words int, before long, after long, size int"
+    schema = f"doc_id {kind}, row long, gram long, context long, start int, runs int, again boolean"
     return map_batches(documents.select("doc_id", "row", "text"), run, schema, rows=500)
 
 
-def matches(prints: DataFrame, min_words: int) -> DataFrame:
-    """(row, first_row, shift, size): rows with a fingerprint that `first_row` has, `shift` words further on, before them.
-
-    A line shorter than `min_words` only counts if the words on one side of it agree too: otherwise the run, which must
-    then go on for CONTEXT words on some side, cannot be long enough.
-    """
-    place = F.struct("doc_id", "row", "position", "before", "after")
-    first = prints.groupBy("line").agg(F.min(place).alias("first"), F.max("row").alias("most"), F.min("row").alias("least"))
-    first = first.filter(F.col("most") != F.col("least")).select("line", "first")
-    goes_on = F.coalesce(F.col("before") == F.col("first.before"), F.lit(False)) | F.coalesce(
-        F.col("after") == F.col("first.after"), F.lit(False)
-    )
-    long_enough = F.col("words") > min_words - 2 * CONTEXT
-    later = prints.join(first, "line").filter((F.col("row") != F.col("first.row")) & (long_enough | goes_on))
-    return later.select("row", F.col("first.row").alias("first_row"), (F.col("first.position") - F.col("position")).alias("shift"), "size").distinct()
-
-
-def segments(found: DataFrame, documents: DataFrame) -> DataFrame:
-    """(row, start, words): the words of the first document that lie opposite words `start`, ... of the row's text.
-
-    Each text is read once for up to 1/SALTS of its requests, so that a text which many others repeat is not one task's.
-    """
-    schema = "row long, start int, words binary"
-    kinds = arrow_schema(documents.sparkSession, schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {"row": [], "start": [], "words": []}
-        size = 0
-        for batch in batches:
-            for i in range(batch.num_rows):
-                words = batch.column(0)[i].as_py().encode("utf-8", "surrogatepass").lower().split()
-                for request in batch.column(1)[i].as_py():
-                    shift = request["shift"]
-                    part = b" ".join(words[max(0, shift) : max(0, shift + request["size"])])
-                    for name, value in zip(held, (request["row"], max(0, -shift), part)):
-                        held[name].append(value)
-                    size += len(part)
-                    if size > FLUSH_BYTES:
-                        yield from record_batches(held, kinds)
-                        held, size = {"row": [], "start": [], "words": []}, 0
-        yield from record_batches(held, kinds)
-
-    salt = F.pmod("row", F.lit(SALTS)).alias("salt")
-    requests = found.groupBy("first_row", salt).agg(F.collect_list(F.struct("row", "shift", "size")).alias("requests"))
-    firsts = narrowed(documents.select(F.col("row").alias("first_row"), "text"), F.col("first_row"), found, "first_row")
-    joined = requests.join(firsts.dropDuplicates(["first_row"]), "first_row").select("text", "requests")
-    return joined.mapInArrow(run, schema)
-
-
-def repeats_within(words: list[bytes], lines: list[list[bytes]], min_words: int) -> list[tuple[int, int]]:
-    """Runs (start, end) of words that the same text has before, starting from lines that it has before."""
-    first: dict[bytes, int] = {}
-    found, done, at = [], 0, 0
-    for line in lines:
-        earlier = first.setdefault(b" ".join(line), at)
-        if earlier < at and at >= done:
-            low = at
-            while low > done and earlier - (at - low) > 0 and words[low - 1] == words[earlier - (at - low) - 1]:
-                low -= 1
-            high = at
-            while high < len(words) and words[high] == words[earlier + high - at]:
-                high += 1
-            if high - low >= min_words:
-                found.append((low, high))
-                done = high
-        at += len(line)
-    return found
+def single_runs(firsts: DataFrame, documents: DataFrame, min_words: int) -> DataFrame:
+    """(gram, run, doc_id, row, start): each run of the contexts `firsts` (gram, first, runs), with its hash."""
+    kind = documents.schema["doc_id"].dataType.simpleString()
 
+    def run(batch: pa.RecordBatch) -> dict:
+        places, parts = [], [[np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]]
+        for place, (text, asked) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+            sums = prefix_sums(text, min_words)
+            starts = np.concatenate([np.arange(x["start"], x["start"] + x["runs"]) for x in asked])
+            grams = np.repeat(np.array([x["gram"] for x in asked], np.int64), [x["runs"] for x in asked])
+            for held, values in zip(parts, (grams, run_hashes(sums, starts, starts + min_words), starts)):
+                held.append(values)
+            places += [place] * len(starts)
+        of_rows = pa.array(places, pa.int64())
+        gram, hashes, starts = map(np.concatenate, parts)
+        return {
+            "doc_id": batch.column(0).take(of_rows), "row": batch.column(1).take(of_rows), "gram": gram,
+            "run": hashes.view(np.int64), "start": starts,
+        }
 
-def equal_runs(equal: np.ndarray, min_words: int) -> list[tuple[int, int]]:
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], equal.view(np.int8), [0]])))
-    return [(int(a), int(b)) for a, b in zip(edges[::2], edges[1::2]) if b - a >= min_words]
-
-
-def without(text: str, others: list[tuple[int, bytes]], min_words: int) -> tuple[str, list[dict]]:
-    """The text without repeated runs, and their spans in code points. others: (start, words opposite from there)."""
-    lines = line_words(text)
-    words = list(chain.from_iterable(lines))
-    if len(words) < min_words:
-        return text, []
-    runs = repeats_within(words, lines, min_words)
-    for start, part in others:
-        opposite = part.split()
-        pairs = zip(words[start : start + len(opposite)], opposite)
-        equal = np.fromiter((a == b for a, b in pairs), bool)
-        runs += [(start + a, start + b) for a, b in equal_runs(equal, min_words)]
-    if not runs:
-        return text, []
-    gone = np.zeros(len(words), bool)
-    for a, b in runs:
-        gone[a:b] = True
+    request = F.struct("gram", "first.start", "runs")
+    asked = store(firsts.groupBy("first.row").agg(F.collect_list(request).alias("asked")), "run-requests")
+    texts = narrowed(documents.select("doc_id", "row", "text"), F.col("row"), asked, "row").dropDuplicates(["row"])
+    joined = texts.join(asked, "row").select("doc_id", "row", "text", "asked")
+    return map_batches(joined, run, f"doc_id {kind}, row long, gram long, run long, start int", rows=500)
+
+
+def repeated(prints: DataFrame, documents: DataFrame, min_words: int) -> DataFrame:
+    """(row, spans): the words, as start and end, of each row that an earlier place has in runs of `min_words`."""
+    place = F.struct("doc_id", "row", "start")
+    own = prints.filter("NOT again").drop("again")
+    shared = store(own.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"), "shared-grams")
+    near = store(narrowed(own, F.col("gram"), shared, "gram"), "shared-contexts")
+    held = (F.min("row") != F.max("row")).alias("copied")
+    firsts = near.groupBy("gram", "context").agg(F.min(place).alias("first"), F.first("runs").alias("runs"), held)
+    firsts = store(firsts, "first-contexts")
+    later = (F.col("row") != F.col("first.row")) | (F.col("start") != F.col("first.start"))
+    end = F.col("start") + F.col("runs") - 1 + min_words
+    copies = near.join(firsts.filter("copied").select("gram", "context", "first"), ["gram", "context"]).filter(later)
+    differ = firsts.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    runs = store(single_runs(firsts.join(differ, "gram").select("gram", "first", "runs"), documents, min_words), "runs")
+    first_runs = runs.groupBy("gram", "run").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    others = runs.join(first_runs.drop("n"), ["gram", "run"]).filter(later)
+    found = copies.select("row", "start", end.alias("end"))
+    found = found.union(others.select("row", "start", (F.col("start") + min_words).alias("end")))
+    found = found.union(prints.filter("again").select("row", "start", end.alias("end")))
+    return found.groupBy("row").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+
+
+def without(text: str, spans: list[tuple[int, int]]) -> tuple[str, list[dict]]:
+    """The text without the words in `spans`, and what was deleted in code points."""
     starts = [m.start() for m in WORD.finditer(text)] + [len(text)]
-    spans = [(starts[a], starts[b]) for a, b in equal_runs(gone, 1)]
+    gone = [(starts[a], starts[b]) for a, b in merged(spans)]
     kept, at = [], 0
-    for a, b in spans:
+    for a, b in gone:
         kept.append(text[at:a])
         at = b
     kept.append(text[at:])
-    return "".join(kept), [{"start": a, "end": b} for a, b in spans]
+    return "".join(kept), [{"start": a, "end": b} for a, b in gone]
 
 
 def line_dedup(documents: DataFrame, min_words: int = 50, window: int = 2) -> DataFrame:
@@ -210,31 +218,31 @@ def line_dedup(documents: DataFrame, min_words: int = 50, window: int = 2) -> Da
     removed: start and end in code points of the given text. Earlier means a smaller doc_id; a null id comes first. Rows
     with the same id and text are one document, so they keep the same text; an exact copy under another id loses all of
     it. A repeated run within one text is deleted too. Null texts stay null, with nothing removed; texts of fewer than
-    `min_words` words stay as they are. Columns named row, opposite or removed may exist; removed is replaced.
+    `min_words` words stay as they are. `window` pieces of equal length make a run: it sets the number of fingerprints,
+    not the result. Columns named row, spans or removed may exist; removed is replaced.
     """
     names = [c for c in documents.columns if c != "removed"]
     rest = [c for c in names if c != "text"]
     body = documents.select(F.struct(*rest).alias("body"), "doc_id", "text", row_key(F.col("doc_id"), F.col("text")).alias("row"))
     texts = body.filter(F.col("text").isNotNull()).select("doc_id", "row", "text")
-    prints = store(fingerprints(texts, window, min_words), "fingerprints")
-    found = store(matches(prints, min_words), "line-matches")
-    opposite = segments(found, texts).groupBy("row").agg(F.collect_list(F.struct("start", "words")).alias("opposite"))
+    prints = store(fingerprints(texts, min_words, window), "fingerprints")
+    found = store(repeated(prints, texts, min_words), "repeated")
     body = marked(body, F.col("row"), bitmap_words(found, "row"), "affected")
-    alone = body.filter("NOT affected").withColumn("opposite", F.lit(None).cast("array<struct<start: int, words: binary>>"))
-    joined = body.filter("affected").join(opposite, "row", "left").select(*alone.columns)
     kind = documents.select(*names).schema
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kind)
+    removed = "array<struct<start: int, end: int>>"
+    whole = [F.col("text") if c == "text" else F.col("body").getField(c).alias(c) for c in names]
+    alone = body.filter("NOT affected").select(*whole, F.array().cast(removed).alias("removed"))
 
     def run(batch: pa.RecordBatch) -> dict:
-        given, others = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        cleaned, removed = [], []
-        for text, parts in zip(given, others):
-            text, spans = without(text, [(p["start"], p["words"]) for p in parts or []], min_words) if text else (text, [])
+        cleaned, gone = [], []
+        for text, parts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            text, spans = without(text, [(p["start"], p["end"]) for p in parts]) if parts else (text, [])
             cleaned.append(text)
-            removed.append(spans)
+            gone.append(spans)
         body = batch.column(2)
         columns = {name: body.field(name) for name in rest}
-        return {**columns, "text": cleaned, "removed": removed}
+        return {**columns, "text": cleaned, "removed": gone}
 
-    rows = alone.unionByName(joined).select("text", "opposite", "body")
-    return map_batches(rows, run, f"{schema}, removed array<struct<start: int, end: int>>", rows=500)
+    joined = body.filter("affected").join(found, "row", "left").select("text", "spans", "body")
+    return alone.unionByName(map_batches(joined, run, f"{schema}, removed {removed}", rows=500))

@@ -93,3 +93,42 @@ def test_winnowing_guarantee():
 
 def test_lines():
     assert line_words("One two. Three!\nFour\n\n five?") == [[b"one", b"two."], [b"three!"], [b"four"], [b"five?"]]
+
+
+def expected_words(rows, min_words):
+    """(doc_id, words left) by definition: a word goes if it is in a run of `min_words` that an earlier place has."""
+    seen, left = set(), {}
+    for doc_id, text in sorted(rows):
+        words = text.lower().split()
+        gone = [False] * len(words)
+        for i in range(len(words) - min_words + 1):
+            run = tuple(words[i : i + min_words])
+            if run in seen:
+                gone[i : i + min_words] = [True] * min_words
+            seen.add(run)
+        left[doc_id] = [w for w, g in zip(words, gone) if not g]
+    return left
+
+
+def test_first_holder_has_the_line_in_another_context(docs):
+    """The lines that two later documents share are all held before, by documents that have nothing else of the passage."""
+    rng = random.Random(12)
+    lines = [sentence(rng, 11) for _ in range(7)]
+    passage = " ".join(lines)
+    rows = [(n, f"{sentence(rng, 20)} {line} {sentence(rng, 20)}") for n, line in enumerate(lines)]
+    rows += [(20, " ".join(passage.split()[:40])), (21, " ".join(passage.split()[30:75]))]
+    rows += [(n, f"{sentence(rng, 9)} {passage} {sentence(rng, 9)}") for n in (30, 31, 32)]
+    rows += [(40, " ".join([*lines[:2], sentence(rng, 60), *lines, sentence(rng, 30), *lines]))]
+    found = {r.doc_id: r.text.lower().split() for r in line_dedup(docs(*rows)).collect()}
+    expected = expected_words(rows, 50)
+    assert found == expected
+    assert len(expected[30]) == 95 and len(expected[31]) == 18 and len(expected[40]) == 22 + 60 + 30
+
+
+def test_every_run_goes_that_an_earlier_place_has(spark, folder):
+    documents = table(spark, folder, "documents")
+    given = [(r.doc_id, r.text) for r in documents.collect()]
+    assert len({doc_id for doc_id, _ in given}) == len(given)
+    for window in (1, 2, 3):
+        found = {r.doc_id: r.text.lower().split() for r in line_dedup(documents, window=window).collect()}
+        assert found == expected_words(given, 50)
