@@ -132,3 +132,18 @@ def test_every_run_goes_that_an_earlier_place_has(spark, folder):
     for window in (1, 2, 3):
         found = {r.doc_id: r.text.lower().split() for r in line_dedup(documents, window=window).collect()}
         assert found == expected_words(given, 50)
+
+
+def test_passages_without_whole_lines_go(docs):
+    """Passages of one long line, of a line with parts at its ends, and without any break."""
+    rng = random.Random(13)
+    long_line = sentence(rng, 61)
+    parts = f"{sentence(rng, 30)} {sentence(rng, 9)} {sentence(rng, 30)}".split()
+    unbroken = " ".join(sentence(rng, 3000).rstrip(".").split())
+    rows = [(n, f"{sentence(rng, 15)} {sentence(rng, 8)} {long_line} {sentence(rng, 7)}") for n in range(20)]
+    rows += [(100 + n, f"{sentence(rng, 12)[:-1]} {' '.join(parts[10:62])} {sentence(rng, 12)}") for n in range(20)]
+    rows += [(200 + n, f"{sentence(rng, 40)[:-1]} {' '.join(unbroken.split()[n * 40 : n * 40 + 400])} {sentence(rng, 5)}") for n in range(20)]
+    found = {r.doc_id: r.text.lower().split() for r in line_dedup(docs(*rows)).collect()}
+    expected = expected_words(rows, 50)
+    assert found == expected
+    assert all(len(expected[n]) == 30 for n in range(1, 20)) and all(len(expected[100 + n]) == 24 for n in range(1, 20))
