@@ -6,14 +6,16 @@ documents that hold both, is set against the information of c itself,
 
     disclosure(t, c) = log(N n_ct / (n_c n_t)) / log(N / n_c),
 
-which is 1 if t occurs with c alone. A term at or above `remove_at` is removed from the documents that hold it next to c,
-one at or above `generalise_at` is replaced by its class. Pairs in fewer than `support` documents are no evidence.
+which is 1 if t occurs with c alone. Whole documents are counted, and a term counts wherever it stands outside of
+identifiers. A term at or above `remove_at` is removed from all documents that hold c, one at or above `generalise_at` is
+replaced by its class. Pairs in fewer than `support` documents are no evidence.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,6 @@ DIGITS = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WORD = re.compile(r"[^\W\d_]+")
 LEAST_LETTERS = 3
-REACH = 200
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -99,68 +100,80 @@ def term_hash(word: str) -> int:
     return digest(word.lower().encode()) - (1 << 63)
 
 
-def entity_contexts(text: str, window: int) -> dict[int, set[int]]:
-    """entity -> the terms within `window` words of a mention. Parts of identifiers are no terms."""
+def entities(text: str, spans: list[tuple[int, int, int]]) -> list[int]:
+    """The distinct entities of a text. Card and phone numbers are the same with or without separators."""
     from xxhash import xxh3_64_intdigest as digest
 
-    spans = base_spans(text)
-    found: dict[int, set[int]] = {}
+    found = set()
     for start, kind, end in spans:
         value = text[start:end].lower()
         plain = value if kind < 2 else re.sub(r"[^0-9]", "", value)
-        near: list[str] = []
-        left = [m for m in WORD.finditer(text, max(0, start - REACH), start)]
-        right = [m for m in WORD.finditer(text, end, min(len(text), end + REACH))]
-        if left and left[0].start() == start - REACH:
-            left = left[1:]  # may be cut
-        if right and right[-1].end() == end + REACH:
-            right = right[:-1]
-        for m in left[-window:] + right[:window]:
-            inside = any(a < m.end() and m.start() < b for a, _, b in spans if a < end + REACH and b > start - REACH)
-            if len(m.group()) >= LEAST_LETTERS and not inside:
-                near.append(m.group())
-        found.setdefault(digest(f"{BASE_KINDS[kind]}:{plain}".encode()) - (1 << 63), set()).update(map(term_hash, near))
-    return found
+        found.add(digest(f"{BASE_KINDS[kind]}:{plain}".encode()) - (1 << 63))
+    return sorted(found)
+
+
+def free_words(text: str, spans: list[tuple[int, int, int]]) -> Iterator[re.Match]:
+    """The words of a text. Parts of identifiers are none."""
+    at, far = 0, 0
+    for m in WORD.finditer(text):
+        while at < len(spans) and spans[at][0] < m.end():
+            far = max(far, spans[at][2])
+            at += 1
+        if m.start() >= far:
+            yield m
+
 
+def terms(text: str, spans: list[tuple[int, int, int]]) -> set[str]:
+    """The distinct terms of a text in lower case."""
+    words = (m.group() for m in free_words(text, spans)) if spans else WORD.findall(text)
+    return {w.lower() for w in words if len(w) >= LEAST_LETTERS}
 
-def disclosures(documents: DataFrame, window: int, support: int, generalise_at: float) -> tuple[DataFrame, DataFrame]:
-    """Of documents (row, text): (row, entity, term) next to each other, and (entity, term, disclosure) at or above the limit."""
 
-    def contexts(batch: pa.RecordBatch) -> dict:
-        rows, entities, terms = [], [], []
+def disclosures(documents: DataFrame, support: int, generalise_at: float) -> tuple[DataFrame, DataFrame]:
+    """Of documents (row, text): the entities (row, entity) and (entity, term, disclosure) at or above the limit.
+
+    Entities in fewer than `support` documents are in neither.
+    """
+
+    def held(batch: pa.RecordBatch) -> dict:
+        rows, of_row, words = [], [], []
         for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for entity, near in entity_contexts(text, window).items():
+            if spans := base_spans(text):
                 rows.append(row)
-                entities.append(entity)
-                terms.append(sorted(near))
-        return {"row": rows, "entity": entities, "terms": terms}
-
-    mentions = store(map_batches(documents, contexts, "row long, entity long, terms array<long>"), "mentions")
-    near = mentions.select("row", "entity", F.explode("terms").alias("term"))
-    pairs = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_ct")).filter(F.col("n_ct") >= support)
+                of_row.append(entities(text, spans))
+                words.append(sorted(map(term_hash, terms(text, spans))))
+        return {"row": rows, "entities": of_row, "terms": words}
+
+    found = map_batches(documents, held, "row long, entities array<long>, terms array<long>", rows=500)
+    found = store(found.groupBy("row").agg(F.count(F.lit(1)).alias("times"), F.first("entities").alias("entities"), F.first("terms").alias("terms")), "mentions")
+    every = found.select("row", "times", F.explode("entities").alias("entity"))
+    of_entities = every.groupBy("entity").agg(F.sum("times").alias("n_c")).filter(F.col("n_c") >= support)
+    of_entities = store(of_entities, "entities")
+    mentions = store(every.join(of_entities.select("entity"), "entity").select("row", "entity"), "entity-rows")
+    of_rows = mentions.groupBy("row").agg(F.collect_list("entity").alias("entities"))
+    both = found.select("row", "times", "terms").join(of_rows, "row").select("times", "entities", F.explode("terms").alias("term"))
+    both = both.select("times", F.explode("entities").alias("entity"), "term")
+    pairs = both.groupBy("entity", "term").agg(F.sum("times").alias("n_ct")).filter(F.col("n_ct") >= support)
     pairs = store(pairs, "entity-terms")
     filled = documents.sparkSession.sparkContext.broadcast(bitmap(pairs, "term"))
 
     def frequencies(batch: pa.RecordBatch) -> dict:
         counts: Counter = Counter()
         for text in batch.column(0).to_pylist():
-            counts.update({w.lower() for w in WORD.findall(text) if len(w) >= LEAST_LETTERS})
-        terms = np.fromiter(map(term_hash, counts), np.int64, len(counts))
-        wanted = in_bitmap(filled.value, terms)
-        return {"term": terms[wanted], "n_t": np.fromiter(counts.values(), np.int64, len(counts))[wanted]}
+            counts.update(terms(text, base_spans(text)))
+        hashes = np.fromiter(map(term_hash, counts), np.int64, len(counts))
+        wanted = in_bitmap(filled.value, hashes)
+        return {"term": hashes[wanted], "n_t": np.fromiter(counts.values(), np.int64, len(counts))[wanted]}
 
     of_terms = map_batches(documents.select("text"), frequencies, "term long, n_t long").groupBy("term").agg(F.sum("n_t").alias("n_t"))
-    of_entities = mentions.groupBy("entity").agg(F.count(F.lit(1)).alias("n_c"))
     n = F.lit(documents.count()).cast("double")
     joined = pairs.join(of_terms, "term").join(of_entities, "entity").filter(F.col("n_c") < n)
     value = F.log2(n * F.col("n_ct") / (F.col("n_c") * F.col("n_t"))) / F.log2(n / F.col("n_c"))
     told = joined.select("entity", "term", value.alias("disclosure")).filter(F.col("disclosure") >= generalise_at)
-    return near, store(told, "disclosures")
+    return mentions, store(told, "disclosures")
 
 
-def sanitise(
-    documents: DataFrame, window: int = 10, support: int = 2, generalise_at: float = 0.7, remove_at: float = 0.85
-) -> DataFrame:
+def sanitise(documents: DataFrame, support: int = 2, generalise_at: float = 0.7, remove_at: float = 0.85) -> DataFrame:
     """doc_id, text, spans of each row of `documents` (doc_id, text).
 
     spans: kind, start, end (code points of the given text) by start and then kind: the identifiers, and as `term` and
@@ -168,9 +181,9 @@ def sanitise(
     [Word] or [word]. A null text is empty. Rows that repeat count as documents each and have equal results.
     """
     body = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), row_key(F.col("doc_id"), F.col("text")).alias("row"))
-    near, told = disclosures(body.select("row", "text"), window, support, generalise_at)
+    mentions, told = disclosures(body.select("row", "text"), support, generalise_at)
     removed = F.max(F.col("disclosure") >= remove_at).alias("removed")
-    telling = near.join(told, ["entity", "term"]).groupBy("row", "term").agg(removed)
+    telling = mentions.join(told, "entity").groupBy("row", "term").agg(removed)
     telling = store(telling.groupBy("row").agg(F.collect_list(F.struct("term", "removed")).alias("terms")), "telling")
     body = marked(body, F.col("row"), bitmap_words(telling, "row"), "affected")
     alone = body.filter("NOT affected").withColumn("terms", F.lit(None).cast("array<struct<term: long, removed: boolean>>"))
@@ -194,16 +207,12 @@ def all_spans(text: str, terms: dict[int, bool]) -> list[tuple[int, int, int]]:
     spans = base_spans(text)
     if not terms:
         return spans
-    taken = sorted((a, b) for a, _, b in spans)
-    at, far = 0, 0
-    for m in WORD.finditer(text):
-        while at < len(taken) and taken[at][0] < m.end():
-            far = max(far, taken[at][1])
-            at += 1
+    told = []
+    for m in free_words(text, spans):
         removed = terms.get(term_hash(m.group()))
-        if removed is not None and m.start() >= far:
-            spans.append((m.start(), KINDS.index("term" if removed else "hint"), m.end()))
-    return sorted(spans)
+        if removed is not None:
+            told.append((m.start(), KINDS.index("term" if removed else "hint"), m.end()))
+    return sorted(spans + told)
 
 
 def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:

@@ -79,3 +79,18 @@ def test_odd_rows(docs):
     assert sanitise(docs((1, "a@b.cd")).limit(0)).count() == 0
     only = digest_columns(sanitise(docs((1, "a@b.cd")))).first()
     assert (only.n_email, only.spans) == (1, "email:0:6")
+
+
+def test_terms_far_from_the_address(docs):
+    """A name at the top of a letter tells the address in its footer, and goes wherever the two stand in a document."""
+    filler = " ".join(f"common words of every letter {'abcdefghij'[n % 10] * 3}" for n in range(60))
+    rows = [(n, f"Rumpelstilz greets you. {filler} Regards, rumpel@castle.example") for n in range(4)]
+    rows += [(10, f"rumpel@castle.example is near Rumpelstilz. {filler} Yours, RUMPELSTILZ")]
+    rows += [(100 + n, f"Someone greets you near. {filler} Regards, is yours") for n in range(60)]
+    found = {r.doc_id: r for r in sanitise(docs(*rows)).collect()}
+    for n in (0, 1, 2, 3, 10):
+        text = dict(rows)[n]
+        told = [text[s.start : s.end].lower() for s in found[n].spans if s.kind in ("term", "hint")]
+        assert told == ["rumpelstilz"] * (2 if n == 10 else 1)
+        assert "rumpel" not in found[n].text.lower()
+    assert all(not found[100 + n].spans for n in range(60))
