@@ -3,7 +3,7 @@ from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from skewloom.llm.rules import quality_rules, repeated_words, text_statistics
+from skewloom.llm.rules import clean_lines, quality_rules, repeated_words, text_statistics
 from skewloom.llm.shared import table
 
 from .conftest import ODD
@@ -63,3 +63,17 @@ def test_odd_rows(docs):
     assert len(rows) == len(ODD)
     assert all(r.base_failed and not r.kept for r in rows)
     assert quality_rules(docs((1, "x")).filter(F.lit(False))).count() == 0
+
+
+def test_frequent_lines_are_removed_from_the_text(docs):
+    own = {n: " ".join(f"own{n}x{k}".translate(str.maketrans("0123456789", "abcdefghij")) for k in range(60)) for n in range(30)}
+    rows = [(n, f"Share this 1 page\n{own[n]}\n\nshare  THIS 2 page\nend of {own[n]}") for n in range(30)]
+    repeated = "\n".join(f"{own[0]} again {word}" for word in ("one", "two"))
+    rows += [(500, repeated)] * 40
+    found = clean_lines(docs(*rows), line_share=0.0).collect()
+    assert len(found) == 70
+    for r in found:
+        if r.doc_id == 500:
+            assert (r.text, r.removed_words) == (repeated, 0)
+        else:
+            assert (r.text, r.removed_words, r.kept) == (f"{own[r.doc_id]}\n\nend of {own[r.doc_id]}", 8, False if r.base_failed else True)
