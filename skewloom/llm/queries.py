@@ -10,6 +10,8 @@ from .jaccard import jaccard_components
 from .kneser_ney import kneser_ney_quality
 from .language import language_id
 from .line_dedup import line_dedup
+from .merkle import merkle_manifest
+from .oracles import MERKLE
 from .packing import pack
 from .personal_data import digest_columns, sanitise
 from .rules import quality_rules
@@ -57,6 +59,10 @@ def language_quality(spark: SparkSession, folder: str) -> DataFrame:
     return kneser_ney_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def document_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle_manifest(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_multiple_instance_toxicity": toxic_documents,
     "op2_winnowed_line_dedup": deduplicated_lines,
@@ -68,6 +74,9 @@ QUERIES = {
     "op9_jaccard_components": similar_documents,
     "op7_line_frequency_rules": ruled_documents,
     "op6_sum_of_squares_packing": packed_windows,
+    "op13_merkle_manifest": document_manifest,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op13_merkle_manifest": MERKLE,
+}

@@ -1,0 +1,114 @@
+from hashlib import sha256
+from zlib import crc32
+
+import pytest
+
+from skewloom.llm.merkle import folded, merkle_manifest, reduced, siblings
+from skewloom.llm.queries import QUERIES
+from skewloom.llm.ranking import numbered
+
+from .conftest import ODD
+
+
+def digest(text):
+    return sha256(text.encode()).hexdigest()
+
+
+def field(value):
+    return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+
+def leaf(row, text):
+    return digest("".join(field(v) for v in (row["doc_id"], row["source"], row["lang"], row["n_chars"], text)))
+
+
+def tree(nodes):
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        levels.append([digest("".join(levels[-1][i : i + 8])) for i in range(0, len(levels[-1]), 8)])
+    return levels
+
+
+def steps(levels, i):
+    found = []
+    for nodes in levels[:-1]:
+        start = i // 8 * 8
+        run = nodes[start : start + 8]
+        found.append((i - start, run[: i - start] + run[i - start + 1 :]))
+        i //= 8
+    return found
+
+
+def expected(rows):
+    groups = {}
+    for row in rows:
+        own, id_, text = leaf(row, row["text"]), row["doc_id"], row["text"]
+        lower = None if text is None else "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+        tampered = id_ is not None and crc32(str(id_).encode()) % 3 == 0
+        groups.setdefault(row["lang"], []).append((id_ is not None, id_ or 0, own, leaf(row, lower) if tampered else own))
+    langs = sorted(groups, key=lambda lang: (lang is not None, (lang or "").encode()))
+    trees = {lang: tree([x[2] for x in sorted(groups[lang])]) for lang in langs}
+    top = tree([trees[lang][-1][0] for lang in langs])
+    found = []
+    for place, lang in enumerate(langs):
+        for i, (has_id, id_, own, presented) in enumerate(sorted(groups[lang])):
+            path = steps(trees[lang], i) + steps(top, place)
+            for at, others in path:
+                presented = digest("".join([*others[:at], presented, *others[at:]]))
+            proof = digest("".join("".join(others) for _, others in path))
+            root = top[-1][0]
+            found.append((id_ if has_id else None, own, trees[lang][-1][0], root, proof, presented, presented == root))
+    return sorted(map(str, found))
+
+
+@pytest.mark.parametrize("levels", [1, 2, 4])
+def test_odd_rows_in_small_and_large_superblocks(docs, levels):
+    """Rows that repeat, nulls, empty and long texts, one hot language, one of a single document, one without a name."""
+    rows = [(i, f"Text {i}", "en" if i % 5 else None, None if i % 7 else "s") for i in range(200)]
+    rows += [(1000, "Alone", "ab:cd"), (1001, "é", "é"), (7, "Text 7", "en", "s")]
+    made = docs(*[(r + (None,) * 4)[:4] for r in rows], *ODD)
+    got = merkle_manifest(made, levels=levels).collect()
+    assert sorted(str(tuple(r)) for r in got) == expected(made.collect())
+    assert {r.verified for r in got} == {True, False}
+
+
+def test_one_document_is_its_own_root(docs):
+    made = docs((1, "x"))
+    row = merkle_manifest(made).first()
+    assert row.leaf == row.subroot == row.root == leaf(made.first(), "x") and row.verified
+    assert row.proof_sha256 == digest("")
+
+
+def test_empty_table_and_many_languages(docs):
+    assert merkle_manifest(docs((1, "x")).limit(0)).count() == 0
+    made = docs(*[(i, "x", f"lang{i}", "s") for i in range(20)])
+    assert sorted(str(tuple(r)) for r in merkle_manifest(made, levels=1).collect()) == expected(made.collect())
+
+
+def test_query_on_given_tables(spark, folder):
+    rows = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    assert sorted(str(tuple(r)) for r in QUERIES["op13_merkle_manifest"](spark, folder).collect()) == expected(rows)
+
+
+@pytest.mark.parametrize("n", [1, 2, 8, 9, 64, 65, 100])
+def test_every_leaf_folds_to_the_root(n):
+    leaves = [digest(str(i)).encode() for i in range(n)]
+    levels = tree([x.decode() for x in leaves])
+    inner = reduced(leaves, len(levels) - 1, 8)
+    assert inner[-1][0].decode() == levels[-1][0]
+    found = siblings(inner, 8)
+    for i, x in enumerate(leaves):
+        assert folded(x, [(i // 8**k % 8, others[i // 8**k]) for k, others in enumerate(found)]) == inner[-1][0]
+
+
+def test_positions_in_a_hot_group_and_of_equal_rows(spark):
+    made = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('g', id % 50) END AS g", "id % 11 AS k")
+    got = numbered(made.repartition(7), "g", ["k"], "numbered").collect()
+    groups = {}
+    for row in got:
+        groups.setdefault(row.g, []).append((row.position, row.k, row.size))
+    for rows in groups.values():
+        rows.sort()
+        assert [p for p, _, _ in rows] == list(range(len(rows)))
+        assert [k for _, k, _ in rows] == sorted(k for _, k, _ in rows)
+        assert {n for _, _, n in rows} == {len(rows)}
