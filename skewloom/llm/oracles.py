@@ -88,3 +88,31 @@ done AS (
 )
 SELECT *, folded_root = root AS verified FROM done
 """
+
+_TERMS = f"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+SEARCH = f"""
+WITH occurrences AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM occurrences GROUP BY ALL),
+sizes AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+corpus AS (SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS length FROM sizes),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+wanted AS (SELECT item_id, term, count(*) AS repeats FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+weights AS (
+    SELECT item_id, term, repeats, CAST(floor(1000 * ln((2 * documents + 2) / (2 * df + 1))) AS BIGINT) AS weight
+    FROM wanted JOIN df USING (term) CROSS JOIN corpus
+),
+shares AS (
+    SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * documents) // length)) AS share
+    FROM tf JOIN sizes USING (doc_id) CROSS JOIN corpus
+),
+scores AS (
+    SELECT item_id, doc_id, CAST(sum(repeats * weight * share) AS BIGINT) AS score
+    FROM weights JOIN shares USING (term) GROUP BY ALL
+),
+ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM scores WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""

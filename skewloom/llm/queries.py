@@ -11,10 +11,11 @@ from .kneser_ney import kneser_ney_quality
 from .language import language_id
 from .line_dedup import line_dedup
 from .merkle import merkle_manifest
-from .oracles import MERKLE
+from .oracles import MERKLE, SEARCH
 from .packing import pack
 from .personal_data import digest_columns, sanitise
 from .rules import quality_rules
+from .search import ranked_search
 from .shared import table
 from .toxicity import toxicity
 
@@ -63,6 +64,10 @@ def document_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle_manifest(table(spark, folder, "documents"))
 
 
+def ranked_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_multiple_instance_toxicity": toxic_documents,
     "op2_winnowed_line_dedup": deduplicated_lines,
@@ -74,9 +79,11 @@ QUERIES = {
     "op9_jaccard_components": similar_documents,
     "op7_line_frequency_rules": ruled_documents,
     "op6_sum_of_squares_packing": packed_windows,
+    "op11_bit_sliced_search": ranked_documents,
     "op13_merkle_manifest": document_manifest,
 }
 
 ORACLES: dict[str, str] = {
+    "op11_bit_sliced_search": SEARCH,
     "op13_merkle_manifest": MERKLE,
 }
