@@ -116,3 +116,23 @@ ranked AS (
 )
 SELECT * FROM ranked WHERE rank <= 10
 """
+
+# One backslash more behind the first character of a control string, for each role the marks around a text.
+CHAT = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+sized AS (
+    SELECT *, regexp_replace(text, '([<\[])(\\*(?:s>|/s>|<SYS>>|</SYS>>|INST\]|/INST\]|ROLE\]|/ROLE\]|/TURN\]))', '\1\\\2', 'g') AS safe,
+           CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 6 WHEN 'system' THEN 18 ELSE 24 + length(role) END AS marks
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(3 + sum(length(safe) + marks) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""

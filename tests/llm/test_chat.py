@@ -1,0 +1,110 @@
+from hashlib import sha256
+
+import pytest
+from hypothesis import given, settings as checks
+from hypothesis import strategies as st
+
+from skewloom.llm.chat import CONTROLS, chosen_paths, escaped, format_conversations, format_reply_trees, read, read_back, unescaped, written
+from skewloom.llm.queries import QUERIES
+
+PIECES = st.lists(st.one_of(st.sampled_from([*CONTROLS, "\\", "<", "[", " ", "\n", "S>>", "é🙂"]), st.text(max_size=3)), max_size=8).map("".join)
+ROLES = st.one_of(st.sampled_from(["user", "assistant", "system", ""]), PIECES)
+
+
+@checks(max_examples=500, deadline=None)
+@given(PIECES)
+def test_escape_is_reversible_and_leaves_no_control_string(text):
+    assert unescaped(escaped(text)) == text
+    assert not any(control in escaped(text) for control in CONTROLS)
+
+
+@checks(max_examples=500, deadline=None)
+@given(st.lists(st.tuples(ROLES, PIECES), max_size=6))
+def test_turns_are_read_back_and_the_mask_covers_assistant_texts(turns):
+    formatted, mask = written(turns)
+    assert read(formatted) == turns
+    assert [unescaped(formatted[a:b]) for a, b in mask] == [text for role, text in turns if role == "assistant"]
+
+
+def digest(text):
+    return sha256(text.encode()).hexdigest()
+
+
+def expected(rows):
+    talks = {}
+    for i, (conv, turn, role, text) in enumerate(rows):
+        talks.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
+    found = []
+    for conv, turns in talks.items():
+        turns = [t[2:] for t in sorted(turns)]
+        loss = "".join(text for role, text in turns if role == "assistant")
+        told = "".join(f"{role}\n{text}\n" for role, text in turns)
+        found.append((conv, len(turns), digest(told), len(loss), digest(loss), len(written(turns)[0])))
+    return sorted(map(str, found))
+
+
+def conversations(spark, rows):
+    made = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    return made.selectExpr("*", "'x' AS node", "'x' AS tree", "1 AS rank", "'x' AS mask", "0 AS position")
+
+
+def test_odd_conversations(spark):
+    rows = [(1, t, "user" if t % 2 else "assistant", f"said {t} [/INST] </s>") for t in range(300)]
+    rows += [(2, 5, "user", None), (2, 9, "assistant", ""), (2, None, "system", "first"), (3, 0, None, "[ROLE] x")]
+    rows += [(4, 0, "user", "again")] * 3 + [(4, 1, "assistant", "x" * 200_000), (5, 0, "tool [/ROLE] ", "\\<s>")]
+    rows += [(None, 0, "user", "nobody"), (None, 1, "assistant", "nowhere"), (6, None, None, None)]
+    got = read_back(format_conversations(conversations(spark, rows))).collect()
+    assert sorted(str(tuple(r)) for r in got) == expected(rows)
+
+
+def test_empty_table(spark):
+    assert read_back(format_conversations(conversations(spark, [(1, 0, "user", "x")]).limit(0))).count() == 0
+
+
+def test_query_on_given_tables(spark, folder):
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    rows += [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+    assert sorted(str(tuple(r)) for r in QUERIES["op12_reply_tree_chat"](spark, folder).collect()) == expected(rows)
+
+
+def every_path(parents, scores, branches):
+    """Root-to-leaf paths of one tree by following parents, best first."""
+    leaves = [n for n in parents if n not in parents.values()]
+    paths = []
+    for leaf in leaves:
+        path, at = [], leaf
+        while at in parents and len(path) <= len(parents):
+            path.append(at)
+            at = parents[at]
+        if len(path) <= len(parents):
+            paths.append((-sum(scores[n] for n in path) / len(path), -len(path), leaf, path))
+    return [p[3][::-1] for p in sorted(paths)[:branches]]
+
+
+@pytest.mark.parametrize("branches", [1, 3, 100])
+def test_best_paths_of_random_trees(spark, branches):
+    import random
+
+    draw = random.Random(7)
+    trees = {}
+    for tree in range(6):
+        size = [1, 2, 30, 60, 90, 40][tree]
+        # A bushy tree, a star, a chain: each message answers one of those before it.
+        nearest = {2: 0, 3: 10**6, 4: 1}.get(tree, 3)
+        parents = {n: (None if n == 0 else draw.randrange(max(0, n - nearest), n) if nearest else 0) for n in range(size)}
+        trees[tree] = (parents, {n: draw.randrange(8) / 8 for n in range(size)})
+    trees[6] = ({1: 2, 2: 1, 3: 2, 4: None, 5: 4, 6: 99}, dict.fromkeys(range(1, 7), 0.5))  # a circle, and a parent that is missing
+    rows = [(t, n, p, scores[n], "user", f"{t}-{n}") for t, (parents, scores) in trees.items() for n, p in parents.items()]
+    messages = spark.createDataFrame(rows, "conv_id long, node long, parent long, score double, role string, text string")
+    made = format_reply_trees(messages, branches).collect()
+    got = {}
+    for row in sorted(made, key=lambda r: (r.conv_id, r.rank)):
+        got.setdefault(row.conv_id, []).append([int(text.split("-")[1]) for _, text in read(row.formatted)])
+    assert got == {t: every_path(*tree, branches) for t, tree in trees.items()}
+
+
+def test_null_scores_and_repeated_links(spark):
+    rows = [("=1", 1, None, None), ("=1", 2, 1, None), ("=1", 2, 1, None), ("=1", 3, 1, 0.5)]
+    links = spark.createDataFrame(rows, "tree string, node long, parent long, score double")
+    got = sorted(tuple(r) for r in chosen_paths(links, 2).select("rank", "leaf", "node", "height").collect())
+    assert got == [(1, 3, 1, 1), (1, 3, 3, 0), (2, 2, 1, 1), (2, 2, 2, 0)]
