@@ -9,7 +9,7 @@ are written with a template. Self-joins find the paths:
 3. The chosen leaves are expanded by the joins of step 1 in reverse: each round doubles the known part of the paths, and
    each message of a path is met once. Paths that are not chosen are never made.
 
-Only ids and scores take part in that. Texts are moved once: they and the paths are dealt out by tree, joined and grouped.
+Only ids and scores take part in that. Texts are moved once: they and the paths are dealt out by tree, and grouped there.
 
 Template: `[INST] ... [/INST]` for user, ` ... </s>` for assistant, `<<SYS>> ... <</SYS>>` for system, and
 `[ROLE] name [/ROLE] ... [/TURN]` for all other roles, after one `<s>`. A control string inside a text or a name gets a
@@ -19,6 +19,7 @@ backslash behind its first character, and one more if it has some already, so no
 from __future__ import annotations
 
 import re
+from functools import reduce
 from hashlib import sha256
 
 import pyarrow as pa
@@ -85,22 +86,25 @@ def read(formatted: str) -> list[tuple[str, str]]:
 def jumps(links: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """(tree, node, depth, total) of each message that a root is above, and tables (tree, node, up) of 2**k-th ancestors.
 
-    A message whose parent does not exist is a root. Messages on a circle, or below one, have no root and are left out.
+    links: (tree, node, up, total) of single messages. A message whose parent does not exist is a root. Messages on a
+    circle, or below one, have no root and are left out. A message that has reached its root takes part in no further
+    round, so the work follows the messages times the logarithm of their own depths.
     """
     bound = links.count()
-    ends = links.select("tree", F.col("node").alias("up"), F.col("up").alias("next"), "depth", "total")
-    states, tables = links, []
-    while True:
-        tables.append(store(states.filter("up IS NOT NULL").select("tree", "node", "up"), "ancestors"))
-        if not tables[-1].limit(1).take(1):
-            return states.filter("up IS NULL").select("tree", "node", "depth", "total"), tables[:-1]
-        if 1 << (len(tables) - 1) > bound:
-            return states.filter("up IS NULL").select("tree", "node", "depth", "total"), tables
-        ends = ends.select("tree", "up", "next", F.col("depth").alias("more"), F.col("total").alias("add"))
-        joined = states.join(ends, ["tree", "up"], "left")
-        depth, total = (F.col(a) + F.coalesce(b, F.lit(0)) for a, b in (("depth", "more"), ("total", "add")))
-        states = store(joined.select("tree", "node", F.col("next").alias("up"), depth.alias("depth"), total.alias("total")), "ancestors")
-        ends = states.select("tree", F.col("node").alias("up"), F.col("up").alias("next"), "depth", "total")
+    there = links.select("tree", F.col("node").alias("up"), F.lit(True).alias("there"))
+    known = links.join(there, ["tree", "up"], "left").withColumn("up", F.when(F.col("there"), F.col("up")))
+    known = store(known.select("tree", "node", "up", F.lit(1).cast("long").alias("depth"), "total"), "ancestors")
+    done, rising, tables = [known.filter("up IS NULL")], known.filter("up IS NOT NULL"), []
+    while rising.limit(1).take(1) and 1 << len(tables) <= 2 * bound:
+        tables.append(rising.select("tree", "node", "up"))
+        reached = reduce(DataFrame.unionByName, [*done, rising])
+        reached = reached.select("tree", F.col("node").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("total").alias("add"))
+        risen = rising.join(reached, ["tree", "up"])
+        risen = risen.select("tree", "node", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("total") + F.col("add")).alias("total"))
+        risen = store(risen, "ancestors")
+        done.append(risen.filter("up IS NULL"))
+        rising = risen.filter("up IS NOT NULL")
+    return reduce(DataFrame.unionByName, done).drop("up"), tables
 
 
 def chosen_paths(links: DataFrame, branches: int = 1) -> DataFrame:
@@ -111,18 +115,18 @@ def chosen_paths(links: DataFrame, branches: int = 1) -> DataFrame:
     the leaf.
     """
     nodes = links.groupBy("tree", "node").agg(F.min("parent").alias("up"), F.coalesce(F.max("score"), F.lit(0.0)).alias("total"))
-    nodes = store(nodes.select("tree", "node", "up", F.lit(1).cast("long").alias("depth"), "total"), "links")
+    nodes = store(nodes, "links")
     summed, tables = jumps(nodes)
     leaves = summed.join(nodes.select("tree", F.col("up").alias("node")), ["tree", "node"], "left_anti")
     order = [(F.col("total") / F.col("depth")).desc(), F.col("depth").desc(), F.col("node")]
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(*order))
     best = leaves.withColumn("rank", rank).filter(F.col("rank") <= branches)
-    paths = store(best.select("tree", F.col("node").alias("leaf"), "rank", "node", F.lit(0).cast("long").alias("height")), "paths")
+    parts = [store(best.select("tree", F.col("node").alias("leaf"), "rank", "node", F.lit(0).cast("long").alias("height")), "paths")]
     for k, table in reversed(list(enumerate(tables))):
-        above = paths.join(table, ["tree", "node"])
+        above = reduce(DataFrame.unionByName, parts).join(table, ["tree", "node"])
         above = above.select("tree", "leaf", "rank", F.col("up").alias("node"), (F.col("height") + (1 << k)).alias("height"))
-        paths = store(paths.unionByName(above), "paths")
-    return paths
+        parts.append(store(above, "paths"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def formatted_paths(paths: DataFrame, texts: DataFrame) -> DataFrame:
@@ -131,10 +135,18 @@ def formatted_paths(paths: DataFrame, texts: DataFrame) -> DataFrame:
     A null role or text is empty. Messages with one node follow one another, by role and text. A path is one value, made
     in one task; everything before it is spread out.
     """
-    turn = F.struct((-F.col("height")).alias("place"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    texts, paths = (df.repartition("tree") for df in (texts.select("tree", "node", "role", "text"), paths))
-    joined = texts.join(paths.hint("merge"), ["tree", "node"])
-    grouped = joined.groupBy("tree", "leaf", "rank").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    of = f"struct<leaf: {paths.schema['leaf'].dataType.simpleString()}, rank: int, height: bigint>"
+    text = F.when(F.col("of").isNull(), F.struct(F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")))
+    nothing = {c: F.lit(None).cast(kind).alias(c) for c, kind in (("role", "string"), ("text", "string"), ("of", of))}
+    ours = texts.select("tree", "node", "role", "text", nothing["of"])
+    theirs = paths.select("tree", "node", nothing["role"], nothing["text"], F.struct("leaf", "rank", "height").cast(of).alias("of"))
+    # Dealt out by tree once; both groupings find the rows where they need them.
+    rows = ours.unionByName(theirs).repartition("tree")
+    met = rows.groupBy("tree", "node").agg(F.collect_list("of").alias("ofs"), F.collect_list(text).alias("said"))
+    turns = met.select("tree", "said", F.explode("ofs").alias("of")).select("tree", "of", F.explode("said").alias("said"))
+    turn = F.struct((-F.col("of.height")).alias("place"), "said.role", "said.text")
+    turns = turns.select("tree", F.col("of.leaf").alias("leaf"), F.col("of.rank").alias("rank"), turn.alias("turn"))
+    grouped = turns.groupBy("tree", "leaf", "rank").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
     kind = paths.schema["leaf"].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> dict:
