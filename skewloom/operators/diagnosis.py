@@ -76,6 +76,24 @@ SUMMARY = {
 }
 
 
+def skewed_stages(
+    sketches: DataFrame, share: float = 0.95, limit: float = 3.0, least_time: int = 1_000, least_bytes: int = 16 * 1024 * 1024
+) -> DataFrame:
+    """Which stages are skewed, from the sketches of `event_log.task_sketches` or `merge_sketches`.
+
+    A stage is skewed in time or in bytes if the quantile `share` of its tasks is more than `limit` times their median, and
+    reaches `least_time` milliseconds or `least_bytes`. This is the spread of the tasks themselves; the flag `is_skew` of
+    `diagnose_stages` compares two sums.
+    """
+    names = {"times": ("median_time", "high_time", "is_time_skew", least_time), "bytes": ("median_bytes", "high_bytes", "is_byte_skew", least_bytes)}
+    found = sketches
+    for sketch, (median, high, flag, least) in names.items():
+        found = found.withColumn(median, F.kll_sketch_get_quantile_bigint(sketch, F.lit(0.5)))
+        found = found.withColumn(high, F.kll_sketch_get_quantile_bigint(sketch, F.lit(share)))
+        found = found.withColumn(flag, (F.col(high) > limit * F.col(median)) & (F.col(high) >= least))
+    return found.drop(*names)
+
+
 def _flag(measures: tuple[str, ...], limit: float, of: str | None) -> Column:
     """measures / of > limit, written as a product: of = 0 counts as exceeded unless the measures are 0 too."""
     amount = sum((F.col(m) for m in measures[1:]), F.col(measures[0]))

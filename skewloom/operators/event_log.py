@@ -6,6 +6,7 @@ Times are in milliseconds, sizes in bytes.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
@@ -44,6 +45,7 @@ TASK_FIELDS = {
 }
 NANOSECONDS = ("executorCpuTime", "executorDeserializeCpuTime", "shuffleWriteTime")
 PEAK = "peakExecutionMemory"
+SKETCH_SIZE = 4096
 MEASURES = (*TASK_FIELDS, "shuffleTotalBytesRead")
 
 
@@ -94,6 +96,34 @@ def task_metrics(lines: DataFrame, since: int | None = None, until: int | None =
     return tasks.join(jobs, ["app_id", "stageId"], "left")
 
 
+def task_sketches(lines: DataFrame, size: int = SKETCH_SIZE) -> DataFrame:
+    """(app_id, stageId, tasks, times, bytes): of each stage the quantile sketches of its tasks' times and shuffle bytes read.
+
+    A sketch takes a few kilobytes however many tasks it has seen, and is exact up to `size` of them. Sketches can be stored,
+    and those of many applications merged later; see `merge_sketches`.
+    """
+    tasks = parse_events(lines, TASK_END).select(
+        "app_id",
+        F.col("Stage ID").alias("stageId"),
+        (F.col("Task Info.Finish Time") - F.col("Task Info.Launch Time")).alias("duration"),
+        F.coalesce(_measures()["shuffleTotalBytesRead"], F.lit(0)).alias("bytes"),
+    )
+    return tasks.groupBy("app_id", "stageId").agg(
+        F.count("duration").alias("tasks"),
+        F.kll_sketch_agg_bigint("duration", F.lit(size)).alias("times"),
+        F.kll_sketch_agg_bigint("bytes", F.lit(size)).alias("bytes"),
+    )
+
+
+def merge_sketches(sketches: DataFrame, *by: str, size: int = SKETCH_SIZE) -> DataFrame:
+    """`task_sketches` merged per `by`, such as the stage alone over all applications that ran it."""
+    return sketches.groupBy(*by).agg(
+        F.sum("tasks").alias("tasks"),
+        F.kll_merge_agg_bigint("times", size).alias("times"),
+        F.kll_merge_agg_bigint("bytes", size).alias("bytes"),
+    )
+
+
 def _between(rows: DataFrame, time: str, since: int | None, until: int | None) -> DataFrame:
     if since is not None:
         rows = rows.filter(F.col(time) >= since)
@@ -102,10 +132,11 @@ def _between(rows: DataFrame, time: str, since: int | None, until: int | None) -
     return rows
 
 
-def stage_metrics(lines: DataFrame, since: int | None = None, until: int | None = None) -> DataFrame:
+def stage_metrics(lines: DataFrame, since: int | None = None, until: int | None = None, tags: bool = False) -> DataFrame:
     """One row per completed stage attempt, with its tasks' sums and the highest peak memory of a task.
 
-    `since` and `until` (epoch milliseconds) keep the stages submitted in between, to measure one part of a program.
+    `since` and `until` (epoch milliseconds) keep the stages submitted in between, to measure one part of a program. With
+    `tags`, `tags` is an array of the tags of the job that ran the stage; see `session.measured`.
     """
     events = parse_events(lines, TASK_END, STAGE_COMPLETED, JOB_START)
     # Tasks, stage ends and job starts meet in one grouping, so the log is read and parsed once. A job start stands
@@ -113,7 +144,7 @@ def stage_metrics(lines: DataFrame, since: int | None = None, until: int | None
     rows = events.select(
         "app_id",
         F.when(F.col("Event") == TASK_END, 1).alias("task"),
-        F.when(F.col("Event") == JOB_START, F.col("Job ID")).alias("job"),
+        F.when(F.col("Event") == JOB_START, F.struct("Job ID", F.col("Properties.`spark.job.tags`").alias("tags"))).alias("job"),
         F.col("Stage Info.Submission Time").alias("submitted"),
         F.col("Stage Info.Completion Time").alias("completed"),
         F.coalesce("Stage Attempt ID", "Stage Info.Stage Attempt ID").alias("stageAttempt"),
@@ -130,13 +161,17 @@ def stage_metrics(lines: DataFrame, since: int | None = None, until: int | None
     )
     # The few rows of one stage: its attempts and the row of its jobs, of which the first ran it.
     same_stage = Window.partitionBy("app_id", "stageId")
-    stages = stages.withColumn("jobId", F.min("job").over(same_stage)).drop("job")
+    stages = stages.withColumn("job", F.min("job").over(same_stage)).withColumn("jobId", F.col("job.`Job ID`"))
+    if tags:
+        named = F.filter(F.split(F.coalesce("job.tags", F.lit("")), ","), lambda tag: tag != "")
+        stages = stages.withColumn("tags", F.array_distinct(named))
+    stages = stages.drop("job")
     return _between(stages.filter(F.col("completionTime").isNotNull()), "submissionTime", since, until)
 
 
-def app_metrics(stages: DataFrame) -> DataFrame:
+def app_metrics(stages: DataFrame, by: Sequence[str] = ("app_id",)) -> DataFrame:
     """One row per application: counts, first submission to last completion, sums, highest peak memory."""
-    return stages.groupBy("app_id").agg(
+    return stages.groupBy(*by).agg(
         F.count(F.lit(1)).alias("numStages"),
         F.sum("numTasks").alias("numTasks"),
         (F.max("completionTime") - F.min("submissionTime")).alias("elapsedTime"),
@@ -145,6 +180,15 @@ def app_metrics(stages: DataFrame) -> DataFrame:
     )
 
 
+def tag_metrics(lines: DataFrame, since: int | None = None, until: int | None = None) -> DataFrame:
+    """`app_metrics` per application and tag: what a part of a program took, whatever else ran at the same time.
+
+    A stage counts for each tag of the job that ran it; stages of jobs without a tag are left out.
+    """
+    stages = stage_metrics(lines, since, until, tags=True)
+    return app_metrics(stages.withColumn("tag", F.explode("tags")), ("app_id", "tag"))
+
+
 def app_task_metrics(tasks: DataFrame) -> DataFrame:
     """One row per application from its tasks."""
     return tasks.groupBy("app_id").agg(

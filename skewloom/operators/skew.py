@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -133,6 +133,94 @@ def salted_join(
     return left.join(right, [*keys, "_salt"], "inner").drop("_salt")
 
 
+def grid_sides(left: DataFrame, right: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Add `_row` and `_column` to both sides of a join on `keys`.
+
+    A hot key has a grid of `_rows` x `_columns` cells. A left row draws a row of the grid and appears in each of its cells, a
+    right row draws a column and appears in each of its cells, so each pair meets in exactly one cell. All other keys have
+    one cell. `hot` has a bounded number of rows and is broadcast.
+    """
+
+    def dealt(df: DataFrame, own: str, other: str, drawn: str, repeated: str) -> DataFrame:
+        columns = df.columns
+        marked = with_keys(df, keys).join(F.broadcast(hot), list(keys), "left")
+        cells = F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)
+        marked = marked.withColumn(drawn, F.coalesce(row_salt(F.col(own), columns), F.lit(0)))
+        return marked.withColumn(repeated, F.explode(cells)).drop("_rows", "_columns")
+
+    return dealt(left, "_rows", "_columns", "_row", "_column"), dealt(right, "_columns", "_rows", "_column", "_row")
+
+
+def hot_grid(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], edge: int, salt_factor: int = SALT_FACTOR
+) -> DataFrame:
+    """(keys, _rows, _columns) of the keys that hold more than 1/salt_factor of a side's rows; no edge beyond `edge`.
+
+    The sides' sketches are made apart: rows follow the key's share of the left side, columns its share of the right.
+    """
+    found = [small_frame(hot_keys(side, keys, salt_factor), salt_factor) for side in (left, right)]
+    sides = [df.withColumnRenamed("_salts", name) for df, name in zip(found, ("_rows", "_columns"))]
+    edges = [F.least(F.coalesce(name, F.lit(1)), F.lit(edge)).alias(name) for name in ("_rows", "_columns")]
+    return small_frame(sides[0].join(sides[1], list(keys), "full").select(*keys, *edges), 2 * salt_factor)
+
+
+def grid_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: Mapping[str, str],
+    edge: int = 20,
+    hot: DataFrame | None = None,
+    salt_factor: int = SALT_FACTOR,
+    prefix: str = "right_",
+) -> DataFrame:
+    """Inner join for keys that are hot on both sides; the same rows as the plain join.
+
+    `salted_join` repeats a hot key's right rows once for each of up to `salt_factor` salts, which is dear where they are
+    many. Here a row is repeated `edge` times at most, on either side, and a hot key is still spread over up to edge x edge
+    tasks. Without `hot` (see `hot_grid`) two first jobs look for the hot keys, reading the key columns only.
+    """
+    keys = list(on)
+    right = align(left, right, on, prefix)
+    hot = hot_grid(left, right, keys, edge, salt_factor) if hot is None else hot
+    if hot.isEmpty():
+        return left.join(right, keys, "inner")
+    left, right = grid_sides(left, right, keys, hot)
+    return left.join(right, [*keys, "_row", "_column"], "inner").drop("_row", "_column")
+
+
+def bucketed_sides(
+    left: DataFrame,
+    right: DataFrame,
+    on: Mapping[str, str],
+    tables: tuple[str, str],
+    buckets: int,
+    hot: DataFrame | None = None,
+    salt_factor: int = SALT_FACTOR,
+    prefix: str = "right_",
+    paths: tuple[str, str] | None = None,
+) -> None:
+    """Store both sides of a join as tables bucketed and sorted by the keys and a salt.
+
+    `bucketed_join` then joins them as often as is wanted without a shuffle; its tasks only sort rows that are in order.
+    A hot key's left rows are spread over
+    its salts, and with them over buckets; its right rows are stored once for each. One task writes one bucket, so that a
+    bucket is one sorted file. `paths` makes the tables external.
+    """
+    keys = list(on)
+    right = align(left, right, on, prefix)
+    hot = small_frame(hot_keys(left, keys, salt_factor), salt_factor) if hot is None else hot
+    for number, side in enumerate(salt_sides(left, right, keys, hot)):
+        writer = side.repartition(buckets, *keys, "_salt").write.format("parquet").mode("overwrite")
+        writer = writer.bucketBy(buckets, *keys, "_salt").sortBy(*keys, "_salt")
+        (writer.option("path", paths[number]) if paths else writer).saveAsTable(tables[number])
+
+
+def bucketed_join(spark: SparkSession, tables: tuple[str, str], keys: Sequence[str]) -> DataFrame:
+    """The join of two tables that `bucketed_sides` stored."""
+    left, right = (spark.table(name) for name in tables)
+    return left.join(right.hint("merge"), [*keys, "_salt"], "inner").drop("_salt")
+
+
 def copartitioned_join(
     left: DataFrame,
     right: DataFrame,

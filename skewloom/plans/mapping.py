@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+import os
+import sys
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.event_log import JOB_START, STAGE_COMPLETED, TASK_END
 from ..sources.schemas import STAGE_COUNTS, STAGE_SIZES, STAGE_TIMES
+from ..sources.tail import open_store
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Order priorities stand for license codes; two of the five are left out so that unlisted codes occur.
 PRIORITY_NAMES = {"1-URGENT": "Urgent", "2-HIGH": "High", "3-MEDIUM": "Medium"}
@@ -105,6 +114,35 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select(F.when(F.col("event_type") == "view", noise).otherwise(line).alias("value"))
 
 
+def write_log_files(lines: DataFrame, folder: str, share: float, parts: int = 8) -> int:
+    """Write the first `share` of the lines of each of `parts` applications to a file of its own, and return their number.
+
+    A larger share later adds lines to the files as they are, as applications do. A task that runs again cuts its file
+    to what it held before. `folder` must be mounted on all executors.
+    """
+    _, path = open_store(folder)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lines = [v for batch in batches for v in batch.column(0).to_pylist()]
+        whole = [f"{line}\n".encode() for line in lines[: round(share * len(lines))]]
+        os.makedirs(path, exist_ok=True)
+        name = f"{path}/app-{TaskContext.get().partitionId()}.log"
+        held = os.path.getsize(name) if os.path.exists(name) else 0
+        size, kept = 0, 0
+        while kept < len(whole) and size + len(whole[kept]) <= held:
+            size += len(whole[kept])
+            kept += 1
+        if whole:
+            with open(name, "r+b" if held else "wb") as file:
+                file.seek(size)
+                file.truncate()
+                file.writelines(whole[kept:])
+        yield pa.record_batch({"lines": [len(whole)]})
+
+    dealt = lines.select("value").repartition(parts, "value").sortWithinPartitions("value")
+    return dealt.mapInArrow(write, "lines long").agg(F.sum("lines")).first()[0] or 0
+
+
 def stage_table(spark: SparkSession, folder: str) -> DataFrame:
     """Line items in the shape of a stage metric table, with zero denominators and missing values among them."""
     price = F.floor("l_extendedprice")
@@ -142,10 +180,11 @@ def stage_table(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def event_lines(spark: SparkSession, folder: str) -> DataFrame:
+def event_lines(spark: SparkSession, folder: str, tags: bool = False) -> DataFrame:
     """Spark event-log lines (app_id, value): orders as jobs with their stages, line items as the stages' tasks.
 
-    Sixteen applications. Each job names its own stage and the next one, as a job does that reuses shuffle output.
+    Sixteen applications. Each job names its own stage and the next one, as a job does that reuses shuffle output. With
+    `tags`, every second job has one and every third another, all over the same time.
     """
     orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_totalprice"), "o_orderdate")
     items = table(spark, folder, "lineitem")
@@ -154,6 +193,8 @@ def event_lines(spark: SparkSession, folder: str) -> DataFrame:
         return F.concat(F.lit("app-"), F.pmod(F.floor(key / 100), F.lit(16)))
 
     started = F.unix_timestamp("o_orderdate") * 1000
+    marks = F.concat_ws(",", F.when(F.col("key") % 2 == 0, "extract"), F.when(F.col("key") % 3 == 0, "load"))
+    properties = [F.struct(marks.alias("spark.job.tags")).alias("Properties")] if tags else []
     jobs = orders.select(
         app(F.col("key")).alias("app_id"),
         F.to_json(
@@ -162,6 +203,7 @@ def event_lines(spark: SparkSession, folder: str) -> DataFrame:
                 F.col("key").alias("Job ID"),
                 started.alias("Submission Time"),
                 F.array(F.col("key"), F.col("key") + 1).alias("Stage IDs"),
+                *properties,
             )
         ).alias("value"),
     )

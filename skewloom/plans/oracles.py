@@ -105,6 +105,24 @@ HOT_JOIN = f"""WITH {REVIEWS}, hot AS (
     UNION ALL SELECT p_partkey, p_name, 'online' FROM part
 ) SELECT review_id, user_id, date, name, city FROM hot JOIN listed ON business_id = p_partkey"""
 
+GRID_JOIN = f"""WITH {REVIEWS}, hot AS (
+    SELECT review_id, CASE WHEN user_id % 3 = 0 THEN 0 ELSE business_id END AS business_id FROM reviews
+), offers AS (
+    SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 0 ELSE s_suppkey END AS business FROM supplier
+)
+SELECT business_id, count(*) AS pairs, count(DISTINCT review_id) AS reviews, CAST(sum(s_suppkey) AS BIGINT) AS offers
+FROM hot JOIN offers ON business_id = business GROUP BY business_id"""
+BUCKETED_JOIN = f"""WITH {REVIEWS}, hot AS (
+    SELECT review_id, business_id, date, CASE WHEN business_id % 3 = 0 THEN 1 ELSE user_id END AS user_id FROM reviews
+)
+SELECT hot.*, c_name AS name, c_mktsegment AS segment FROM hot JOIN customer ON user_id = c_custkey"""
+
+
+def _clustered(column: str, line: bool) -> str:
+    return f"""SELECT '{column}' AS "column", count(*) AS rows, TRUE AS curve_skips, {line} AS line_skips FROM lineitem
+        WHERE {column} BETWEEN (SELECT max({column}) // 2 FROM lineitem) AND (SELECT max({column}) // 2 + max({column}) // 64 FROM lineitem)"""
+
+
 ORDERS = "SELECT * FROM orders"
 
 LOG = """
@@ -292,6 +310,23 @@ EVENT_APPS = f"""{EVENT_STAGES}, apps AS (
            {EVENT_SUMS}
     FROM stages GROUP BY app_id
 )"""
+TASK_SKEW = f"""WITH {EVENTS}, kinds AS (
+    SELECT stageId % 100 AS kind, count(*) AS tasks,
+           quantile_disc(duration, 0.5) AS median_time, quantile_disc(duration, 0.95) AS high_time,
+           quantile_disc(shuffleTotalBytesRead, 0.5) AS median_bytes, quantile_disc(shuffleTotalBytesRead, 0.95) AS high_bytes
+    FROM tasks GROUP BY stageId % 100
+)
+SELECT *, high_time > 1.9 * median_time AND high_time >= 40 AS is_time_skew,
+       high_bytes > 1.9 * median_bytes AND high_bytes >= 4000000 AS is_byte_skew
+FROM kinds"""
+EVENT_TAGS = f"""WITH {EVENT_STAGES}, tagged AS (
+    SELECT *, unnest(list_filter(['extract', 'load'], lambda t: jobId % (CASE t WHEN 'extract' THEN 2 ELSE 3 END) = 0)) AS tag
+    FROM stages
+)
+SELECT app_id, tag, count(*) AS numStages, CAST(sum(numTasks) AS BIGINT) AS numTasks,
+       max(completionTime) - min(submissionTime) AS elapsedTime, CAST(sum(stageDuration) AS BIGINT) AS stageDuration,
+       {EVENT_SUMS}
+FROM tagged GROUP BY app_id, tag"""
 APP_METRIC_NAMES = ("numStages", "numTasks", "elapsedTime", "stageDuration", *EVENT_MEASURES)
 
 COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -334,6 +369,9 @@ ORACLES: dict[str, str] = {
     "salted_join_coalesced": SKEW_JOIN,
     "salted_join_month": MONTH_JOIN,
     "salted_join_hot_business": HOT_JOIN,
+    "grid_join_both_hot": GRID_JOIN,
+    "selective_join_filtered": f"{REVIEWS_BUSINESS} WHERE p_brand = 'Brand#12'",
+    "bucketed_join_users": BUCKETED_JOIN,
     "salt_columns": """SELECT l_returnflag, count(*) AS rows, count(*) AS sound, count(*) > 1 AS spread
         FROM lineitem GROUP BY l_returnflag""",
     "json_roundtrip": ORDERS,
@@ -342,6 +380,12 @@ ORACLES: dict[str, str] = {
     "partitioned_append": f"{TIMED} SELECT * FROM timed UNION ALL SELECT * FROM timed",
     "partitioned_overwrite": ROUTE_TOTALS,
     "partition_refresh": COMPANY_TOTALS_DATED,
+    "clustered_by_several": f"{_clustered('l_partkey', True)} UNION ALL {_clustered('l_suppkey', False)}",
+    "incremental_route_totals": ROUTE_TOTALS,
+    "incremental_daily_totals": f"""{_rides(WIDE, "hvfhs_license_num")}
+        SELECT CAST(pickup_datetime AS DATE) AS trip_day, hvfhs_license_num, {SUMS} FROM rides GROUP BY ALL""",
+    "rides_pruned": f"""{_rides(NARROW)} SELECT * FROM rides
+        WHERE PU_Borough IN (SELECT Borough FROM zones WHERE Zone LIKE '%3')""",
     "ride_job_append": COMPANY_TOTALS_DATED.replace(KEEP, "hvfhs_license_num"),
     "ride_job_rides": f"{CODED} SELECT * FROM timed",
     "ride_job_routes": ROUTE_TOTALS_DATED,
@@ -360,6 +404,8 @@ ORACLES: dict[str, str] = {
     "partition_profile": "SELECT count(*) AS rows, TRUE AS listed_once FROM lineitem",
     "log_parse": LOG,
     "log_parse_stream": LOG,
+    "log_tail_stream": LOG,
+    "log_delivered_twice": f"SELECT DISTINCT * FROM ({LOG})",
     "stage_diagnosis": f"WITH {STAGES} SELECT {DIAGNOSIS} FROM stages",
     "slow_stages": SLOW,
     "app_summary": APP_SUMMARY,
@@ -373,6 +419,8 @@ ORACLES: dict[str, str] = {
     "event_log_app_task_metrics": f"""WITH {EVENTS} SELECT app_id, count(*) AS numTasks,
         max(launchTime + duration) - min(launchTime) AS elapsedTime, CAST(sum(duration) AS BIGINT) AS duration,
         {EVENT_SUMS} FROM tasks GROUP BY app_id""",
+    "event_log_task_skew": TASK_SKEW,
+    "event_log_tag_metrics": EVENT_TAGS,
     "event_log_app_report": f"WITH {EVENT_APPS} " + " UNION ALL ".join(
         f"SELECT app_id, '{name}' AS metric, {name} AS value FROM apps" for name in APP_METRIC_NAMES
     ),

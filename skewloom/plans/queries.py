@@ -11,25 +11,29 @@ from pyspark.sql import functions as F
 
 from ..functions.code_map import UNKNOWN, register_names, row_names, vectorised_names, with_names
 from ..functions.salt import row_salt, salted_text
-from ..operators.diagnosis import diagnose_stages, slow_stages, summarize_app
+from ..operators.bloom import selective_join
+from ..operators.diagnosis import diagnose_stages, skewed_stages, slow_stages, summarize_app
 from ..operators.event_log import (
     app_metrics,
     app_report,
     app_task_metrics,
     memory_report,
+    merge_sketches,
     stage_metrics,
+    tag_metrics,
     task_metrics,
+    task_sketches,
 )
 from ..operators.layout import newest_first, partition_profile
 from ..operators.logs import parse_logs
-from ..operators.skew import SALT_FACTOR, make_skew, skew_report
+from ..operators.skew import SALT_FACTOR, bucketed_join, bucketed_sides, grid_join, make_skew, skew_report
 from ..operators.totals import row_counts, totals
-from ..session import scratch_path
+from ..session import scratch_path, store
 from ..sources.readers import read_csv, read_json, read_parquet, register_views
 from ..sources.schemas import STAGE_METRICS
-from ..sources.sinks import convert, replace_partitions, write_json, write_sorted, write_table
-from ..streaming.logs import stream_logs
-from . import mapping, rides
+from ..sources.sinks import convert, files_to_open, replace_partitions, write_clustered, write_json, write_sorted, write_table
+from ..streaming.logs import DAILY, LATE, UNMATCHED, read_once, stream_lines, stream_logs, write_once
+from . import incremental, mapping, rides
 from .measured import STAGE_ORDER, write_report
 from .reviews import salted_skew_query, skew_query, with_business, with_users, with_users_copartitioned
 
@@ -219,6 +223,35 @@ def salted_join_hot_business(spark, folder):
     return salted_skew_query(reviews, listed, DAY, salt_factor=64)
 
 
+def grid_join_both_hot(spark, folder):
+    """Reviews and offers that both have a third of their rows on one business: pairs per business."""
+    hot = lambda key, of: F.when(F.pmod(of, F.lit(3)) == 0, F.lit(0)).otherwise(key).cast("bigint")
+    reviews = mapping.reviews(spark, folder).withColumn("business_id", hot(F.col("business_id"), F.col("user_id")))
+    offers = mapping.table(spark, folder, "supplier").select("s_suppkey", hot(F.col("s_suppkey"), F.col("s_suppkey")).alias("business"))
+    pairs = grid_join(reviews, offers, {"business_id": "business"}, edge=4, salt_factor=64)
+    return pairs.groupBy("business_id").agg(
+        F.count(F.lit(1)).alias("pairs"),
+        F.countDistinct("review_id").alias("reviews"),
+        F.sum("s_suppkey").alias("offers"),
+    )
+
+
+def selective_join_filtered(spark, folder):
+    """Reviews of the businesses of one city, which thin out the reviews before these are shuffled."""
+    chosen = mapping.business(spark, folder).filter("city = 'Brand#12'")
+    return selective_join(mapping.reviews(spark, folder), chosen, {"business_id": "business_id"})
+
+
+def bucketed_join_users(spark, folder):
+    tables = tuple(f"skewloom_{name}_{uuid.uuid4().hex}" for name in ("reviews", "users"))
+    paths = tuple(scratch_path(spark, name) for name in ("bucketed-reviews", "bucketed-users"))
+    reviews = mapping.reviews(spark, folder)
+    third = F.when(F.pmod("business_id", F.lit(3)) == 0, F.lit(1)).otherwise(F.col("user_id"))
+    reviews = reviews.withColumn("user_id", third.cast("bigint"))
+    bucketed_sides(reviews, mapping.users(spark, folder), {"user_id": "user_id"}, tables, 16, salt_factor=64, paths=paths)
+    return bucketed_join(spark, tables, ["user_id"])
+
+
 def salt_columns(spark, folder):
     """Per return flag: rows, rows whose salted key is `key_salt` with a salt in range, and whether salts differ."""
     items = mapping.table(spark, folder, "lineitem").select("l_returnflag", "l_partkey", "l_shipdate", "l_orderkey")
@@ -336,6 +369,58 @@ def clustered_write(spark, folder):
     return _cents(spark.table(table))
 
 
+def clustered_by_several(spark, folder):
+    """Line items clustered by part and supplier along a curve, and sorted by part alone, in 64 files each.
+
+    Per column: the rows of a range, whether the curve opens half of the files or fewer for it, and whether the sort does.
+    """
+    columns = ("l_partkey", "l_suppkey")
+    items = store(mapping.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", *columns), "items")
+    curve, line = scratch_path(spark, "curve"), scratch_path(spark, "line")
+    write_clustered(items, curve, columns, files=64)
+    write_sorted(items, line, ("l_partkey", "l_orderkey", "l_linenumber"), files=64)
+    results = []
+    for column in columns:
+        most = items.agg(F.max(column)).first()[0]
+        low, high = most // 2, most // 2 + most // 64
+        rows = spark.read.parquet(curve).filter(F.col(column).between(low, high)).agg(F.count(F.lit(1)).alias("rows"))
+        few = [
+            files_to_open(spark.read.parquet(path), column, low, high).select((2 * F.col("opened") <= F.col("files")).alias(name))
+            for path, name in ((curve, "curve_skips"), (line, "line_skips"))
+        ]
+        results.append(rows.join(few[0]).join(few[1]).select(F.lit(column).alias("column"), "rows", "curve_skips", "line_skips"))
+    return results[0].unionByName(results[1])
+
+
+def incremental_route_totals(spark, folder):
+    """Trips in three files, taken in one after the other, one of them twice: totals from the stored sums."""
+    source, state = scratch_path(spark, "trip-files"), scratch_path(spark, "ride-state")
+    trips = mapping.trips(spark, folder).withColumn("part", F.pmod(F.xxhash64("PULocationID", "DOLocationID", "trip_time"), F.lit(3)))
+    write_table(trips, source, by=["part"])
+    for part in (0, 1, 1, 2):
+        incremental.take_in(spark, f"{source}/part={part}/*.parquet", state)
+    return _cents(incremental.route_totals(spark, state, mapping.zones(spark, folder)))
+
+
+def incremental_daily_totals(spark, folder):
+    """The same by day and company, all files offered at each step, and the state compacted in between."""
+    source, state, anew = (scratch_path(spark, name) for name in ("trip-files", "ride-state", "ride-state"))
+    trips = mapping.trips(spark, folder).withColumn("part", F.pmod("PULocationID", F.lit(2)))
+    for part in (0, 1):
+        write_table(trips.filter(F.col("part") == part), source, mode="append", by=["part"])
+        incremental.take_in(spark, f"{source}/part=*/*.parquet", state)
+        incremental.compact(spark, state, anew)
+        state, anew = anew, scratch_path(spark, "ride-state")
+    return _cents(incremental.daily_company_totals(spark, state, mapping.zones(spark, folder)))
+
+
+def rides_pruned(spark, folder):
+    path = scratch_path(spark, "rides-by-borough")
+    write_table(_rides(spark, folder, wide=False), path, by=["PU_Borough"])
+    zones = mapping.zones(spark, folder)
+    return rides.rides_of_boroughs(spark.read.parquet(path), zones, F.col("Zone").endswith("3"))
+
+
 def single_file_sorted(spark, folder):
     path = scratch_path(spark, "stagemetrics")
     write_sorted(mapping.stage_table(spark, folder), path, STAGE_ORDER, "json")
@@ -374,6 +459,27 @@ def log_parse_stream(spark, folder):
     return spark.read.option("mergeSchema", False).parquet(target).withColumn("day", F.col("day").cast("string"))
 
 
+def log_tail_stream(spark, folder):
+    """Log files that grow between two runs of one stream, and a third run that finds nothing new."""
+    source, target, progress = scratch_path(spark, "live"), scratch_path(spark, "daily"), scratch_path(spark, "log-progress")
+    lines = mapping.log_lines(spark, folder)
+    for share in (0.4, 1.0, 1.0):
+        mapping.write_log_files(lines, source, share)
+        stream_logs(spark, source, target, progress, follow=True).awaitTermination()
+    return spark.read.parquet(target).drop("file", "offset").withColumn("day", F.col("day").cast("string"))
+
+
+def log_delivered_twice(spark, folder):
+    """Two deliveries that overlap: each line once, from the daily, the late and the unmatched table."""
+    source, target, progress = scratch_path(spark, "delivered"), scratch_path(spark, "sorted-out"), scratch_path(spark, "log-progress")
+    lines = mapping.log_lines(spark, folder).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(10)))
+    for part in ("part < 7", "part >= 4"):
+        lines.filter(part).select("value").write.mode("append").text(source)
+        write_once(stream_lines(spark, source), target, progress).awaitTermination()
+    daily, late, unmatched = (read_once(spark, target, sink) for sink in (DAILY, LATE, UNMATCHED))
+    return daily.unionByName(late).unionByName(unmatched).drop("batch", "arrived")
+
+
 def stage_diagnosis(spark, folder):
     return diagnose_stages(mapping.stage_table(spark, folder))
 
@@ -414,6 +520,17 @@ def event_log_app_task_metrics(spark, folder):
     return app_task_metrics(task_metrics(mapping.event_lines(spark, folder)))
 
 
+def event_log_task_skew(spark, folder):
+    """Sketches of each application's stages, merged over all applications into a hundred kinds of stages."""
+    sketches = store(task_sketches(mapping.event_lines(spark, folder)), "task-sketches")
+    kinds = sketches.withColumn("kind", F.pmod("stageId", F.lit(100)))
+    return skewed_stages(merge_sketches(kinds, "kind", size=16384), limit=1.9, least_time=40, least_bytes=4_000_000)
+
+
+def event_log_tag_metrics(spark, folder):
+    return tag_metrics(mapping.event_lines(spark, folder, tags=True))
+
+
 def event_log_app_report(spark, folder):
     return app_report(app_metrics(stage_metrics(mapping.event_lines(spark, folder))))
 
@@ -473,6 +590,9 @@ QUERIES: dict[str, Query] = {
     "salted_join_coalesced": salted_join_coalesced,
     "salted_join_month": salted_join_month,
     "salted_join_hot_business": salted_join_hot_business,
+    "grid_join_both_hot": grid_join_both_hot,
+    "selective_join_filtered": selective_join_filtered,
+    "bucketed_join_users": bucketed_join_users,
     "salt_columns": salt_columns,
     "json_roundtrip": json_roundtrip,
     "json_to_parquet": json_to_parquet,
@@ -493,11 +613,17 @@ QUERIES: dict[str, Query] = {
     "ride_job_native": _job_companies("native"),
     "sorted_overwrite": sorted_overwrite,
     "clustered_write": clustered_write,
+    "clustered_by_several": clustered_by_several,
+    "incremental_route_totals": incremental_route_totals,
+    "incremental_daily_totals": incremental_daily_totals,
+    "rides_pruned": rides_pruned,
     "single_file_sorted": single_file_sorted,
     "sorted_files": sorted_files,
     "partition_profile": profile,
     "log_parse": log_parse,
     "log_parse_stream": log_parse_stream,
+    "log_tail_stream": log_tail_stream,
+    "log_delivered_twice": log_delivered_twice,
     "stage_diagnosis": stage_diagnosis,
     "slow_stages": slow_stage_causes,
     "app_summary": app_summary,
@@ -507,6 +633,8 @@ QUERIES: dict[str, Query] = {
     "event_log_stage_metrics_window": event_log_stage_metrics_window,
     "event_log_app_metrics": event_log_app_metrics,
     "event_log_app_task_metrics": event_log_app_task_metrics,
+    "event_log_task_skew": event_log_task_skew,
+    "event_log_tag_metrics": event_log_tag_metrics,
     "event_log_app_report": event_log_app_report,
     "event_log_memory_report": event_log_memory_report,
     "metrics_report_summary": metrics_report_summary,

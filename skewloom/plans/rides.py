@@ -66,6 +66,15 @@ def timed_rides(rides: DataFrame, day: dt.date | None = None) -> DataFrame:
     return with_elapsed(with_day(rides, DAY, day), "pickup_datetime", "dropoff_datetime")
 
 
+def rides_of_boroughs(stored: DataFrame, zones: DataFrame, condition: Column) -> DataFrame:
+    """Rides picked up in the boroughs that have a zone with `condition`, from a table partitioned by PU_Borough.
+
+    The filter is on the zones; Spark finds the boroughs first and then reads the partitions of these only.
+    """
+    wanted = zones.filter(condition).select(F.col("Borough").alias("PU_Borough")).distinct()
+    return stored.join(wanted, "PU_Borough", "left_semi")
+
+
 def ride_sums(timed: bool = False, null_as_zero: bool = False) -> dict[str, Column]:
     """What the totals add up. A ride with a null fare part does not count in total_fare unless `null_as_zero`."""
     sums = {

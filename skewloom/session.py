@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,6 +74,23 @@ def build_session(
     return builder.getOrCreate()
 
 
+@contextlib.contextmanager
+def measured(spark: SparkSession, tag: str) -> Iterator[None]:
+    """Mark a part of a program: the jobs that this thread starts inside carry `tag` in the event log.
+
+    Parts may nest, and parts of several threads may overlap in time; `event_log.tag_metrics` tells them apart. A tag holds
+    no comma.
+    """
+    context = spark.sparkContext
+    outer = tag in context.getJobTags()
+    context.addJobTag(tag)
+    try:
+        yield
+    finally:
+        if not outer:
+            context.removeJobTag(tag)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path for a written table, in the shared folder named by spark.checkpoint.dir.
 

@@ -57,6 +57,7 @@ EVENT_LOG = """
     `Event` string,
     `Job ID` bigint,
     `Stage IDs` array<bigint>,
+    `Properties` struct<`spark.job.tags`: string>,
     `Stage ID` bigint,
     `Stage Attempt ID` bigint,
     `Stage Info` struct<

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.layout import CURVE_BITS, curve_position
 from .readers import read_json
 
 
@@ -51,11 +52,50 @@ def create_clustered_table(
 def fill_clustered_table(df: DataFrame, name: str, by: Sequence[str], overwrite: bool = False) -> None:
     """Append to a clustered table, or replace its rows, so that equal keys lie together.
 
-    Plain Spark only records the clustering columns. Rebalancing brings equal keys together (and splits a hot key),
-    sorting inside each task makes the row-group statistics narrow, so that filters on `by` skip most of the data.
+    Plain Spark only records the clustering columns. With one column, rebalancing brings equal keys together (and splits a
+    hot key), and sorting inside each task makes the row-group statistics narrow, so that filters on it skip most of the
+    data. With several, rows lie along a curve; see `write_clustered`.
     """
     columns = df.sparkSession.table(name).columns
-    df.select(*columns).hint("rebalance", *by).sortWithinPartitions(*by).write.insertInto(name, overwrite)
+    rows = df.select(*columns)
+    if len(by) > 1:
+        along_curve(rows, by).write.insertInto(name, overwrite)
+    else:
+        rows.hint("rebalance", *by).sortWithinPartitions(*by).write.insertInto(name, overwrite)
+
+
+def along_curve(df: DataFrame, by: Sequence[str], files: int | None = None, bits: int = CURVE_BITS) -> DataFrame:
+    """`df` in range partitions of the curve over the columns `by`, sorted along it: one shuffle.
+
+    A range of the curve is a box in most columns at once, so files have narrow bounds in each of them. Rows of one place are
+    told apart by their hash, so that a hot combination of values can be cut too. `df` is read twice more for its ranks and
+    ranges; it should be a scan or a stored table.
+    """
+    keys = [curve_position(df, by, bits).alias("_curve"), F.xxhash64(*df.columns).alias("_hash")]
+    placed = df.select("*", *keys)
+    layout = [*([files] if files else []), "_curve", "_hash"]
+    return placed.repartitionByRange(*layout).sortWithinPartitions("_curve", "_hash").drop("_curve", "_hash")
+
+
+def write_clustered(
+    df: DataFrame, path: str, by: Sequence[str], files: int | None = None, fmt: str = "parquet", mode: str = "overwrite"
+) -> None:
+    """Write `df` clustered by several columns alike: a filter on any of them opens few files.
+
+    Sorting by the columns one after the other serves the first only. Spark chooses the number of files by the size of the
+    data, or `files` gives it.
+    """
+    along_curve(df, by, files).write.format(fmt).mode(mode).save(path)
+
+
+def files_to_open(df: DataFrame, column: str, low, high) -> DataFrame:
+    """(files, opened): how many files a table read from files has, and how many may hold values from `low` to `high`.
+
+    By the least and the greatest value of each file, which is what Parquet's statistics tell a scan.
+    """
+    bounds = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min(column).alias("least"), F.max(column).alias("most"))
+    touched = (F.col("most") >= low) & (F.col("least") <= high)
+    return bounds.agg(F.count(F.lit(1)).alias("files"), F.count_if(touched).alias("opened"))
 
 
 def write_sorted(df: DataFrame, path: str, order: Sequence, fmt: str = "parquet", files: int | None = None) -> None:

@@ -1,0 +1,63 @@
+"""Totals that take in new files only."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from skewloom.plans import incremental, mapping, rides
+from skewloom.sources.sinks import write_table
+
+
+def cents(df):
+    return sorted(tuple(round(v, 2) if isinstance(v, float) else v for v in row) for row in df.collect())
+
+
+@pytest.fixture
+def parts(spark, folder, tmp_path):
+    """Trips in three folders, their zones, and an empty state."""
+    trips = mapping.trips(spark, folder).withColumn("part", F.pmod(F.xxhash64("trip_miles", "pickup_datetime"), F.lit(3)))
+    write_table(trips, str(tmp_path / "trips"), by=["part"])
+    return (lambda n: f"{tmp_path}/trips/part={n}/*.parquet"), spark.read.parquet(str(tmp_path / "trips")), mapping.zones(spark, folder), str(tmp_path / "state")
+
+
+def test_increments_a_file_twice_and_all_at_once(spark, parts, tmp_path):
+    glob, trips, zones, state = parts
+    assert incremental.taken_in(spark, state).count() == 0
+    assert incremental.take_in(spark, glob(0), state) > 0
+    assert cents(incremental.route_totals(spark, state, zones)) == cents(rides.route_totals_from_trips(trips.filter("part = 0"), zones))
+    assert incremental.take_in(spark, glob(0), state) == 0
+    assert incremental.take_in(spark, glob("*"), state) > 0  # the two that are new
+    assert incremental.take_in(spark, glob("*"), state) == 0
+    whole = cents(rides.route_totals_from_trips(trips, zones))
+    assert cents(incremental.route_totals(spark, state, zones)) == whole
+    anew = str(tmp_path / "anew")
+    incremental.compact(spark, state, anew)
+    assert incremental.take_in(spark, glob("*"), anew) == 0
+    assert cents(incremental.route_totals(spark, anew, zones)) == whole
+    assert incremental.taken_in(spark, anew).select("increment").distinct().count() == 1
+
+
+def test_a_run_that_fails_leaves_no_trace(spark, parts, monkeypatch):
+    glob, trips, zones, state = parts
+    incremental.take_in(spark, glob(0), state)
+    written = incremental.replace_partitions
+
+    def fails(df, path, by, **options):
+        if path.endswith("/files"):
+            raise OSError("lost")
+        written(df, path, by, **options)
+
+    monkeypatch.setattr(incremental, "replace_partitions", fails)
+    with pytest.raises(OSError):
+        incremental.take_in(spark, glob(1), state)
+    monkeypatch.setattr(incremental, "replace_partitions", written)
+    assert cents(incremental.route_totals(spark, state, zones)) == cents(rides.route_totals_from_trips(trips.filter("part = 0"), zones))
+    assert incremental.take_in(spark, glob(2), state) > 0  # the number of the failed increment is used again
+    expected = trips.filter("part IN (0, 2)")
+    assert cents(incremental.route_totals(spark, state, zones)) == cents(rides.route_totals_from_trips(expected, zones))
+
+
+def test_totals_read_no_trips(spark, parts, plan):
+    glob, _, zones, state = parts
+    incremental.take_in(spark, glob("*"), state)
+    text = plan(incremental.daily_company_totals(spark, state, zones))
+    assert "/trips" not in text and "state/sums" in text

@@ -1,11 +1,12 @@
 import datetime as dt
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from skewloom.operators.logs import parse_logs
 from skewloom.sources.readers import read_lines
-from skewloom.streaming.logs import stream_logs
+from skewloom.streaming.logs import DAILY, LATE, UNMATCHED, read_once, stream_lines, stream_logs, write_once
 
 LAUNCH = "2024-06-06T12:00:00,123 [main] INFO  a.b.C [] - Asked to launch executor app-1/0 for elt-rides"
 ERROR = "2024-06-06T12:00:01,000 [main] ERROR a.b.C [] - boom"
@@ -122,3 +123,54 @@ def test_stream_equals_batch(spark, tmp_path, same_rows):
     }
     (source / "c.log").write_text(f"{LAUNCH}\n")
     same_rows(run(), parse_logs(read_lines(spark, str(source))))
+
+
+def line(hour, message, second=0):
+    return f"2024-06-06T{hour:02}:00:{second:02},000 [main] INFO  a.b.C [] - {message}"
+
+
+@pytest.fixture
+def deliver(spark, tmp_path):
+    """Write lines as a new file, run the stream once, and return the messages of each sink so far."""
+    source, target = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+
+    def run(*lines, name=None):
+        (source / f"{name or len(list(source.iterdir()))}.log").write_text("".join(f"{x}\n" for x in lines))
+        write_once(stream_lines(spark, str(source)), str(target), str(tmp_path / "progress")).awaitTermination()
+        found = {}
+        for sink in (DAILY, LATE, UNMATCHED):
+            rows = read_once(spark, str(target), sink).collect()
+            found[sink] = sorted(r.value if sink == UNMATCHED else r.log_message for r in rows)
+        return found
+
+    return run
+
+
+def test_lines_delivered_again_late_and_unmatched(deliver):
+    assert deliver(line(12, "a"), line(12, "a"), line(9, "b"), NOISE) == {DAILY: ["a", "b"], LATE: [], UNMATCHED: [NOISE]}
+    # Again; within the hour before the newest time; earlier than that.
+    found = deliver(line(12, "a"), line(11, "c", 1), line(10, "d"), line(13, "e"), NOISE, "other")
+    assert found == {DAILY: ["a", "b", "c", "e"], LATE: ["d"], UNMATCHED: [NOISE, "other"]}
+    assert deliver(line(11, "f"), line(10, "d"))[LATE] == ["d", "f"]
+
+
+def test_a_batch_that_runs_again_replaces_its_rows(spark, tmp_path, deliver):
+    deliver(line(12, "a"), NOISE)
+    newest = max((tmp_path / "progress" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    for path in (newest, newest.with_name(f".{newest.name}.crc")):
+        path.unlink(missing_ok=True)  # as if the driver had died before the batch was marked as done
+    found = deliver(line(14, "b"))
+    assert found == {DAILY: ["a", "b"], LATE: [], UNMATCHED: [NOISE]}
+
+
+def test_followed_log_equals_batch(spark, tmp_path, same_rows):
+    source, target = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    live = source / "live.log"
+    for text in (f"{LAUNCH}\n{NOISE}\n{ERROR}", "\n", f"{ERROR}\n{LAUNCH}\n"):
+        with open(live, "a") as file:
+            file.write(text)
+        stream_logs(spark, str(source), str(target), str(tmp_path / "progress"), follow=True).awaitTermination()
+    stored = spark.read.parquet(str(target)).withColumn("day", F.col("day").cast("string")).drop("file", "offset")
+    same_rows(stored, parse_logs(read_lines(spark, str(source))))
