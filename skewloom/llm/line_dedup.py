@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -54,14 +53,20 @@ def winnow(hashes: list[int], lengths: list[int], window: int) -> list[int]:
     return np.unique(least(keys, min(window, len(keys)))).tolist()
 
 
-@lru_cache(maxsize=4)
+POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The powers of BASE and of its inverse modulo 2**64, from 0 to size - 1."""
+    """The powers of BASE and of its inverse modulo 2**64, from 0 to size - 1. Those of usual sizes are kept in the worker."""
+    if size in POWERS:
+        return POWERS[size]
     made = []
     for base in (BASE, pow(BASE, -1, 1 << 64)):
         values = np.full(size, base, np.uint64)
         values[0] = 1
         made.append(np.cumprod(values, dtype=np.uint64))
+    if size <= 1 << 14:
+        POWERS[size] = made[0], made[1]
     return made[0], made[1]
 
 

@@ -32,22 +32,66 @@ def out_of_fold(doc_id: Column, parts: int, part: int) -> Column:
 
 def row_key(*columns: Column) -> Column:
     """A key made of a row's content: equal rows have equal keys and equal results, whatever their number."""
-    return F.xxhash64(*columns)
+    return F.xxhash64(*columns, *(c.isNull() for c in columns))
 
 
-def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str, rows: int = 10_000) -> DataFrame:
-    """`function` makes a dictionary of columns from each Arrow batch of at most `rows` rows; `schema` is DDL.
+SLICE_BYTES = 8 << 20
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
 
-    Fewer rows bound the memory of functions that make much from each row.
+
+def in_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """mapInArrow over batches of BATCH_BYTES, unless the session has a limit of its own.
+
+    Spark's 64 MB are held several times over, by each task's writer, its worker and the buffers both keep for later.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_LIMIT, None) is None:
+        conf.set(BATCH_LIMIT, BATCH_BYTES)
+    return df.mapInArrow(function, schema)
+
+
+def slices(batch: pa.RecordBatch, rows: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of at most `rows` rows and `size` bytes; a row that is larger is a part of its own."""
+    if batch.num_rows > 1 and (batch.num_rows > rows or batch.nbytes > size):
+        half = batch.num_rows // 2
+        yield from slices(batch.slice(0, half), rows, size)
+        yield from slices(batch.slice(half), rows, size)
+    elif batch.num_rows:
+        yield batch
+
+
+def release() -> None:
+    """Give memory that is no longer used back to the system: a Python worker lives on and would keep its highest use."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def map_batches(
+    df: DataFrame, function: Callable[..., dict], schema: str, rows: int = 10_000, setup: Callable | None = None
+) -> DataFrame:
+    """`function` makes a dictionary of columns from each part of an Arrow batch; `schema` is DDL.
+
+    A part has at most `rows` rows, fewer for functions that make much from each row, and a bounded number of bytes. What
+    `setup` returns, once for each task, is passed to `function` too.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = (setup(),) if setup else ()
         for batch in batches:
-            for start in range(0, batch.num_rows, rows):
-                yield from record_batches(function(batch.slice(start, rows)), kinds)
+            for part in slices(batch, rows):
+                yield from record_batches(function(part, *state), kinds)
+            batch = part = None
+        state = None
+        release()
 
     kinds = arrow_schema(df.sparkSession, schema)
-    return df.mapInArrow(run, schema)
+    return in_arrow(df, run, schema)
 
 
 def arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:

@@ -40,6 +40,12 @@ def test_base_columns_of_odd_texts():
     assert repeated_words("a a a a".split()) == 4 and repeated_words("a b c x a b c".split()) == 6 and repeated_words(["a"]) == 0
 
 
+def test_rows_whose_columns_change_places(docs):
+    """A null text does not take the counts of a row whose text is the other's source."""
+    found = {r.text: r.n_words for r in clean_lines(docs((1, None, "en", "x y z"), (1, "x y z", "en", None))).collect()}
+    assert found == {None: 0, "x y z": 3}
+
+
 def test_line_frequency_against_brute_force(spark, docs):
     boiler = " ".join(f"boiler{n}" for n in range(60))
     rows = [(n, f"{boiler.upper() if n % 2 else boiler}\nown {n} words", "en", "hot" if n % 3 else "cold") for n in range(90)]
