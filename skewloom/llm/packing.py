@@ -3,9 +3,11 @@
 A document is its token ids and one end id. Whole windows are cut off its front; what is left, less than a window, is
 placed online: into an open window of that fill level for which the sum over all levels of (number of open windows at
 this level) squared becomes least. The level array holds, for each fill level, the open windows with that fill. A full
-window leaves the array. When a task ends, or its array holds `max_open` windows, the open windows are settled: windows
-filled to a power of two need no padding and stay, the pieces of the others are cut anew along one line of windows, and
-the last, partly filled one is split into powers of two. So nothing is padded.
+window leaves the array. Only some windows may be open, one and one more for every PIECES_PER_OPEN pieces, up to `max_open`;
+while that many are, a piece may also fill up a window that is too full for it, and its end opens another, if that makes the
+sum least. When a task ends, the few open windows are settled: windows filled to a power of two need no padding and stay, the
+pieces of the others are cut anew along one line of windows, and the last, partly filled one is split into powers of two. So
+nothing is padded, and nearly all pieces lie where the rule put them, however few a task has.
 
 Each task packs what it reads, without a shuffle, in memory bounded by `max_open` windows; a task that runs again makes
 the same windows. Sequence ids are the task's number and a running number.
@@ -21,11 +23,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .shared import arrow_schema, record_batches
+from .shared import arrow_schema, in_arrow, record_batches, release, slices
 
 WINDOW = 1024
 END_ID = 0
 MAX_OPEN = 4096
+PIECES_PER_OPEN = 64
 PIECES = "piece long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -71,37 +74,54 @@ def _byte_letters() -> dict[str, int]:
 class SquaresPacker:
     """Online sum-of-squares packing of pieces shorter than `window`; pieces are any objects with a length."""
 
-    def __init__(self, window: int = WINDOW, max_open: int = MAX_OPEN):
-        self.window, self.max_open = window, max_open
+    def __init__(self, window: int = WINDOW, max_open: int = MAX_OPEN, pieces_per_open: int | None = None):
+        self.window, self.max_open, self.pieces_per_open = window, max_open, pieces_per_open
         self.levels: list[list[list[tuple[int, int, int]]]] = [[] for _ in range(window)]
         self.counts = np.zeros(window + 1, np.int64)
-        self.open = 0
+        self.open = self.placed = 0
+
+    def bound(self) -> int:
+        """How many windows may be open: `max_open`, or with `pieces_per_open` fewer while few pieces were placed."""
+        return min(self.max_open, 1 + self.placed // self.pieces_per_open) if self.pieces_per_open else self.max_open
 
     def place(self, piece: int, start: int, size: int) -> list[tuple[int, int, int]] | None:
-        """Place `size` tokens of document `piece` from `start` on; returns the window's pieces if it is full now."""
+        """Place `size` tokens of document `piece` from `start` on; returns the window's pieces if one is full now."""
         counts, window = self.counts, self.window
+        never = np.iinfo(np.int64).max
         # Moving a window from level h to h + s changes the sum by 2(N[h+s] - N[h]) + 2; a new window by 2 N[s] + 1.
-        change = np.full(window + 1, np.iinfo(np.int64).max)
+        change = np.full(window + 1, never)
         last = window - size
         there = counts[1 : last + 1]
-        reached = counts[size + 1 : window + 1].copy()
-        change[1 : last + 1] = np.where(there > 0, 2 * (reached - there) + 2, np.iinfo(np.int64).max)
+        reached = counts[size + 1 : window + 1]
+        change[1 : last + 1] = np.where(there > 0, 2 * (reached - there) + 2, never)
         if counts[last] > 0:  # a full window leaves the array: its level only loses one
             change[last] = 1 - 2 * counts[last]
-        change[0] = 2 * counts[size] + 1
+        if self.open < self.bound():
+            change[0] = 2 * counts[size] + 1
+        else:  # a window that is too full for the piece may be filled with its beginning; its end then opens another
+            there, ends = counts[last + 1 : window], counts[1:size]
+            change[last + 1 : window] = np.where(there > 0, 2 * (ends - there) + 2, never)
         level = int(change.argmin())
-        held = self.levels[level].pop() if level else []
+        held = []
         if level:
+            held = self.levels[level].pop()
             counts[level] -= 1
             self.open -= 1
-        held.append((piece, start, size))
-        if level + size == window:
+        self.placed += 1
+        taken = min(size, window - level)
+        held.append((piece, start, taken))
+        if taken < size:
+            self._open([(piece, start + taken, size - taken)], size - taken)
+        if level + taken == window:
             return held
-        self.levels[level + size].append(held)
-        counts[level + size] += 1
-        self.open += 1
+        self._open(held, level + taken)
         return None
 
+    def _open(self, held: list[tuple[int, int, int]], level: int) -> None:
+        self.levels[level].append(held)
+        self.counts[level] += 1
+        self.open += 1
+
     def settle(self) -> Iterator[list[tuple[int, int, int]]]:
         """Close all open windows without padding."""
         rest = []
@@ -147,7 +167,7 @@ def pack(documents: DataFrame, window: int = WINDOW, max_open: int = MAX_OPEN, t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = byte_bpe(tokenizer)
-        packer = SquaresPacker(window, max_open)
+        packer = SquaresPacker(window, max_open, PIECES_PER_OPEN)
         number = TaskContext.get().partitionId() << 40
         docs: dict[int, list] = {}  # of documents in open windows: id, held ids, start of these, tokens in all, held
         rows: dict[str, list] = {name: [] for name in kinds.names}
@@ -167,7 +187,7 @@ def pack(documents: DataFrame, window: int = WINDOW, max_open: int = MAX_OPEN, t
                     del docs[piece]
             number += 1
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1000)):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = np.array([*encode(text or ""), END_ID], "<u4").tobytes()
                 total = len(ids) // 4
@@ -180,13 +200,11 @@ def pack(documents: DataFrame, window: int = WINDOW, max_open: int = MAX_OPEN, t
                 if whole < total and (full := packer.place(seen, whole, total - whole)):
                     emit(full)
                 seen += 1
-                if packer.open >= max_open:
-                    for held in packer.settle():
-                        emit(held)
             yield from record_batches(rows, kinds)
             rows = {name: [] for name in kinds.names}
         for held in packer.settle():
             emit(held)
         yield from record_batches(rows, kinds)
+        release()
 
-    return documents.select("doc_id", "text").mapInArrow(run, schema)
+    return in_arrow(documents.select("doc_id", "text"), run, schema)

@@ -81,3 +81,39 @@ def test_level_of_least_squares():
         packer.place(number, 0, size)
         assert (packer.counts[1:16] ** 2).sum() == min(options)
         assert [len(x) for x in packer.levels[1:]] == packer.counts[1:16].tolist()
+
+
+def test_level_of_least_squares_when_no_more_windows_may_open():
+    """At the bound a piece may also fill up a window that is too full for it; again no other choice has a smaller sum."""
+    rng = np.random.default_rng(4)
+    packer, most = SquaresPacker(window=16, max_open=64, pieces_per_open=40), 0
+    for size in rng.integers(1, 16, 600).tolist():
+        before, at_bound = packer.counts.copy(), packer.open >= packer.bound()
+        options = []
+        for level in range(16):
+            if level and not before[level] or not level and at_bound or level + size > 16 and not at_bound:
+                continue
+            after = before.copy()
+            after[level] -= level > 0
+            if level + size < 16:
+                after[level + size] += 1
+            elif level + size > 16:
+                after[level + size - 16] += 1
+            options.append((after[1:16] ** 2).sum())
+        packer.place(0, 0, size)
+        assert (packer.counts[1:16] ** 2).sum() == min(options)
+        most = max(most, packer.open)
+        assert packer.open <= packer.bound()
+    assert most > 5
+
+
+@pytest.mark.parametrize("n", [31, 300, 1600])
+def test_nearly_all_pieces_lie_where_the_rule_put_them(spark, folder, n):
+    """Pieces below a window of `n` documents in one task, without padding."""
+    sizes = [len(ids_of(r.text)) % 1024 for r in spark.read.parquet(f"{folder}/documents.parquet").select("text").collect()]
+    sizes = ([s for s in sizes if s] * 20)[:n]
+    packer = SquaresPacker(pieces_per_open=64)
+    placed = sum(len(full) for i, s in enumerate(sizes) if (full := packer.place(i, 0, s)))
+    settled = [held for held in packer.settle()]
+    assert all((total := sum(x[2] for x in held)) & (total - 1) == 0 for held in settled)
+    assert placed >= 0.9 * (placed + sum(map(len, settled)))
