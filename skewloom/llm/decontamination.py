@@ -12,13 +12,18 @@ Items are a query set: they are taken in blocks of bounded size, each of which m
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import map_batches
+from ..session import store
+from .shared import map_batches, row_key
 
+WORD = re.compile(r"\w+(?:[^\w\s]+\w+)*")
 FILTER_BITS = 20
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -144,7 +149,19 @@ def banded_match(text: np.ndarray, item: np.ndarray, low: int, high: int, window
         starts, cost = starts[keep], new[keep]
     first, d = np.unravel_index(int(cost.argmin()), cost.shape)
     end = min(len(text), int(starts[first, 0]) + size + low + int(d))
-    return max(0, end - size), end, int(cost[first, d])
+    begin = int(starts[first, 0])
+    return aligned_start(text[:end], item[begin : begin + size], edits), end, int(cost[first, d])
+
+
+def aligned_start(text: np.ndarray, item: np.ndarray, edits: int) -> int:
+    """Where the best alignment of the whole item with the end of the text begins; of equal ones the shortest."""
+    backward = text[max(0, len(text) - len(item) - edits) :][::-1]
+    steps = np.arange(len(backward) + 1)
+    cost = steps.copy()
+    for row, code in enumerate(item[::-1], 1):
+        new = np.append(row, np.minimum(cost[1:] + 1, cost[:-1] + (backward != code)))
+        cost = np.minimum.accumulate(new - steps) + steps
+    return len(text) - int(cost.argmin())
 
 
 def leaks(text: str | None, index: ItemIndex, window: int, q: int, edits: int) -> list[tuple[int, int, int, int]]:
@@ -170,6 +187,26 @@ def leaks(text: str | None, index: ItemIndex, window: int, q: int, edits: int) -
     return [(number, *match) for number, match in sorted(best.items())]
 
 
+def plain_words(text: str) -> list[tuple[str, int]]:
+    """The words of a normalised text without signs around them, and where they start."""
+    return [(m.group(), m.start()) for m in WORD.finditer(text)]
+
+
+def exact_words(text: str, items: dict[tuple[str, ...], list]) -> list[tuple]:
+    """(item, start, end) of the first place of each item whose words follow one another in the text."""
+    if not items:
+        return []
+    words = plain_words(normal(text))
+    found: dict[tuple[str, ...], tuple[int, int]] = {}
+    for size in {len(key) for key in items}:
+        for at in range(len(words) - size + 1):
+            key = tuple(word for word, _ in words[at : at + size])
+            if key in items and key not in found:
+                last, start = words[at + size - 1]
+                found[key] = words[at][1], start + len(last)
+    return [(number, *place) for key, place in sorted(found.items()) for number in items[key]]
+
+
 def decontaminate(
     documents: DataFrame,
     benchmark: DataFrame,
@@ -182,20 +219,27 @@ def decontaminate(
 
     Texts are compared in lower case with white space collapsed; start and end are code points of that form. A passage
     is a window of `window` characters of an item, within `edits` edits. An item shorter than the window counts as a
-    whole, if it has q-grams enough for the bound at its own share of the edits, and otherwise only exactly; items
-    shorter than q are left out. Null texts hold nothing, null items are left out, repeated rows have equal results.
-    Items are gathered in blocks of at most `block_chars` characters (or one item); each block costs one scan.
+    whole, if it has q-grams enough for the bound at its own share of the edits, and otherwise only exactly; an item
+    shorter than q counts where its words follow one another in the text. Null texts hold nothing, null and empty items
+    are left out, repeated rows have equal results. Items are gathered in blocks of at most `block_chars` characters (or
+    one item); each block costs one scan, and what the blocks find in a row is then put together.
     """
     kind = documents.schema["doc_id"].dataType.simpleString()
     item_kind = benchmark.schema["item_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, leaks array<struct<item_id: {item_kind}, start: int, end: int, edits: int>>"
-    result = None
-    for block in _blocks(benchmark, block_chars):
-        found = _scan(documents, block, window, q, edits, schema)
-        result = found if result is None else result.unionByName(found)
-    if result is None:
-        return documents.sparkSession.createDataFrame([], schema)
-    return result
+    leaked = f"leaks array<struct<item_id: {item_kind}, start: int, end: int, edits: int>>"
+    scans = [_scan(documents, block, window, q, edits, f"row long, doc_id {kind}, {leaked}") for block in _blocks(benchmark, block_chars)]
+    if not scans:
+        return documents.sparkSession.createDataFrame([], f"doc_id {kind}, {leaked}")
+    if len(scans) == 1:
+        return scans[0].drop("row")
+    each = [store(scan.withColumn("block", F.lit(number)), "leaks") for number, scan in enumerate(scans)]
+    # Rows that repeat have one key, and are found by a block as often as they repeat.
+    rows = reduce(DataFrame.unionByName, each).groupBy("row", "block")
+    rows = rows.agg(F.first("doc_id").alias("doc_id"), F.first("leaks").alias("leaks"), F.count(F.lit(1)).alias("times"))
+    rows = rows.groupBy("row").agg(
+        F.first("doc_id").alias("doc_id"), F.array_sort(F.flatten(F.collect_list("leaks"))).alias("leaks"), F.max("times").alias("times")
+    )
+    return rows.select("doc_id", "leaks", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).drop("col")
 
 
 def _blocks(benchmark: DataFrame, block_chars: int):
@@ -215,6 +259,7 @@ def _blocks(benchmark: DataFrame, block_chars: int):
 def _scan(documents: DataFrame, block: list, window: int, q: int, edits: int, schema: str) -> DataFrame:
     """One scan of the documents for a block: items by length class, as short ones have a smaller window."""
     groups: dict[tuple[int, int], list] = {}
+    short: dict[tuple[str, ...], list] = {}
     for number, text in block:
         if len(text) >= window:
             groups.setdefault((window, edits), []).append((number, text))
@@ -222,20 +267,31 @@ def _scan(documents: DataFrame, block: list, window: int, q: int, edits: int, sc
             size = len(text)
             allowed = max(k for k in range(edits * size // window + 1) if k == 0 or size + 1 - q * (k + 1) >= q)
             groups.setdefault((size, allowed), []).append((number, text))
-    shared = documents.sparkSession.sparkContext.broadcast(groups)
-
-    def run(batch: pa.RecordBatch) -> dict:
-        indexes = [(key, [n for n, _ in items], ItemIndex([t for _, t in items], q)) for key, items in shared.value.items()]
-        ids, found = [], []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            rows = [
+        elif words := tuple(word for word, _ in plain_words(text)):
+            short.setdefault(words, []).append(number)
+    shared = documents.sparkSession.sparkContext.broadcast((groups, short))
+
+    def indexed() -> tuple:
+        groups, short = shared.value
+        indexes = [(key, [n for n, _ in items], ItemIndex([t for _, t in items], q)) for key, items in groups.items()]
+        return indexes, short
+
+    def run(batch: pa.RecordBatch, held: tuple) -> dict:
+        indexes, short = held
+        keys, ids, found = [], [], []
+        for key, doc_id, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            rows = [{"item_id": number, "start": start, "end": end, "edits": 0} for number, start, end in exact_words(text, short)]
+            rows += [
                 {"item_id": names[number], "start": start, "end": end, "edits": cost}
                 for (size, allowed), names, index in indexes
                 for number, start, end, cost in leaks(text, index, size, q, allowed)
             ]
             if rows:
+                keys.append(key)
                 ids.append(doc_id)
                 found.append(rows)
-        return {"doc_id": ids, "leaks": found}
+        return {"row": keys, "doc_id": ids, "leaks": found}
 
-    return map_batches(documents.select("doc_id", "text").filter(F.col("text").isNotNull()), run, schema)
+    rows = documents.filter(F.col("text").isNotNull())
+    rows = rows.select(row_key(F.col("doc_id"), F.col("text")).alias("row"), "doc_id", "text")
+    return map_batches(rows, run, schema, setup=indexed)

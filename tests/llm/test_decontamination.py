@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from skewloom.llm.decontamination import ItemIndex, banded_match, characters, decontaminate, gram_hashes, leaks, normal
+from skewloom.llm.decontamination import ItemIndex, aligned_start, banded_match, characters, decontaminate, gram_hashes, leaks, normal
 from skewloom.llm.shared import table
 
 from .conftest import ODD
@@ -99,6 +99,35 @@ def test_blocks_and_empty_tables(docs, items):
     benchmark = items((1, LONG), (2, LONG[::-1]))
     found = decontaminate(documents, benchmark, block_chars=10).collect()
     assert sorted((r.doc_id, r.leaks[0].item_id) for r in found) == [(1, 1), (2, 2)]
+    documents = docs((1, f"{LONG} and {LONG[::-1]}"), (1, f"{LONG} and {LONG[::-1]}"), (2, LONG), (None, LONG), (3, "none"))
+    one, many = (decontaminate(documents, benchmark, block_chars=size).collect() for size in (10**6, 10))
+    assert sorted(map(str, one)) == sorted(map(str, many))
+    assert sorted(((r.doc_id, [x.item_id for x in r.leaks]) for r in many), key=str) == [(1, [1, 2]), (1, [1, 2]), (2, [1]), (None, [1])]
+
+
+def test_items_shorter_than_a_gram(docs, items):
+    documents = docs((1, "a tiny  ITEM here"), (2, "tinyitem"), (3, "itemtiny item"), (4, "(tiny item)"), (5, "漢字"), (6, "漢字 x"))
+    found = decontaminate(documents, items((1, "Tiny item"), (2, "漢字"), (3, "?!"))).collect()
+    assert {r.doc_id: [tuple(x) for x in r.leaks] for r in found} == {1: [(1, 2, 11, 0)], 4: [(1, 1, 10, 0)], 5: [(2, 0, 2, 0)], 6: [(2, 0, 2, 0)]}
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text("ab", min_size=1, max_size=12), st.text("ab", max_size=30))
+def test_aligned_start(item, text):
+    edits = len(item)
+    cost = lambda part: whole_distance(item, part)
+    starts = {a: cost(text[a:]) for a in range(max(0, len(text) - len(item) - edits), len(text) + 1)}
+    assert aligned_start(characters(text), characters(item), edits) == max(starts, key=lambda a: (-starts[a], a))
+
+
+def whole_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j - 1] + (x != y), row[j] + 1, new[-1] + 1))
+        row = new
+    return row[-1]
     assert decontaminate(documents, items((1, "x")).limit(0)).count() == 0
     assert decontaminate(documents.limit(0), benchmark).count() == 0
 
