@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..session import store
 from .components import components
-from .shared import arrow_schema, map_batches, narrowed, record_batches
+from .shared import arrow_schema, in_arrow, map_batches, narrowed, record_batches, release, slices
 
 COUNTER_BITS = 21
 SLICES = 32
@@ -85,7 +85,7 @@ def frequencies(documents: DataFrame, size: int) -> bytes:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, total = WordHashes(), np.zeros(1 << COUNTER_BITS, np.int32)
         held, n = [], 0
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1000)):
             for text in batch.column(0).to_pylist():
                 grams = gram_set(text, size, known)
                 held.append((grams >> np.uint64(64 - COUNTER_BITS)).astype(np.int32))
@@ -98,13 +98,15 @@ def frequencies(documents: DataFrame, size: int) -> bytes:
         part = TaskContext.get().partitionId() % 64
         parts = np.split(np.minimum(total, 0xFFFF).astype("<u2"), SLICES)
         yield from record_batches({"slice": list(range(SLICES)), "part": [part] * SLICES, "counts": [p.tobytes() for p in parts]}, kinds)
+        known = None
+        release()
 
     def add(table: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(c, "<u2").astype(np.int64) for c in table.column("counts").to_pylist())
         counts = np.minimum(total, 0xFFFF).astype("<u2").tobytes()
         return pa.table({"slice": table.column("slice")[:1], "part": table.column("part")[:1], "counts": [counts]}, schema=kinds)
 
-    counted = documents.select("text").mapInArrow(count, schema)
+    counted = in_arrow(documents.select("text"), count, schema)
     for keys in (["slice", "part"], ["slice"]):
         counted = counted.groupBy(*keys).applyInArrow(add, schema)
     rows = {row["slice"]: bytes(row["counts"]) for row in counted.collect()}
@@ -190,11 +192,13 @@ def jaccard_classes(documents: DataFrame, size: int = 3, percent: int = 90) -> D
 
     class: rows with equal sets have equal keys; null for an empty set. component: the least class key that links reach.
     Null and empty texts have no class and link with nothing; a text of fewer than `size` words is one n-gram. Rows that
-    repeat are one class.
+    repeat are one class. Rows without a doc_id link like all others.
     """
     rows = store(prefixes(documents, size, percent), "prefixes")
     classes = store(rows.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("doc_id")), "classes")
-    first = rows.join(classes, ["class", "doc_id"]).select("class", "n", F.posexplode("prefix").alias("position", "gram"))
+    least = classes.select(F.col("class").alias("of"), F.col("doc_id").alias("least"))  # null if no row of the class has an id
+    first = rows.join(least, (F.col("class") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("least")))
+    first = first.select("class", "n", F.posexplode("prefix").alias("position", "gram"))
     entries = first.select("gram", F.struct("position", "n", "class").alias("entry"))
     leaders = entries.groupBy("gram").agg(F.min("entry").alias("leader"), F.count(F.lit(1)).alias("entries"))
     leaders = store(leaders.filter("entries > 1").drop("entries"), "leaders")
@@ -221,7 +225,10 @@ def jaccard_classes(documents: DataFrame, size: int = 3, percent: int = 90) -> D
 
 
 def jaccard_components(documents: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
-    """doc_id, n_shingles, component_id of each row: the smallest doc_id that links reach, the row's own included."""
+    """doc_id, n_shingles, component_id of each row: the smallest doc_id that links reach, the row's own included.
+
+    Null ids are passed over; where links reach no other, component_id is null.
+    """
     rows = jaccard_classes(documents, size, percent)
     least = rows.filter("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return rows.join(least, "component", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -69,6 +69,15 @@ def test_odd_rows(docs):
     assert jaccard_components(docs((1, "x")).limit(0)).count() == 0
 
 
+def test_rows_without_an_id_link_like_all_others(docs):
+    words = [f"w{n}" for n in range(60)]
+    copy, near = " ".join(words), " ".join([*words[:-1], "other"])
+    rows = jaccard_components(docs((7, copy), (None, near), (5, " ".join(["first", *words[1:]]))), 3, 90).collect()
+    assert [r.component_id for r in rows] == [5, 5, 5]
+    rows = jaccard_components(docs((None, copy), (None, near), (None, copy), (9, "else")), 3, 90).collect()
+    assert sorted(str(r.component_id) for r in rows) == ["9", "None", "None", "None"]
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(n, n + 1) for n in range(100, 160)] + [(500, n) for n in range(501, 700)] + [(rng.randint(800, 900), rng.randint(800, 900)) for _ in range(60)]
