@@ -55,17 +55,17 @@ def classify(documents: DataFrame, learned: dict[str, bytes], level: int = 6, ma
     lang_pred: the language of the smallest encoding; the first in alphabetical order among equals; "und" if the text
     is null or has no letter, or nothing was learned. score: the share of the winner when each language weighs
     2^-(its bytes / 2); 0 for "und". rejected: the second smallest encoding is within `margin` of the smallest, or
-    "und". Whole texts are encoded, in pieces of 4 KB each of which meets the whole dictionary.
+    "und". Whole texts are encoded, in pieces of 4 KB each of which meets the whole dictionary. Columns of these names
+    are replaced.
     """
     names = sorted(learned)
-    kept = [c for c in documents.columns if c != "text"]
+    kept = [c for c in documents.columns if c not in ("text", "lang_pred", "score", "rejected")]
     schema = ", ".join(
         [f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in kept]
         + ["lang_pred string", "score double", "rejected boolean"]
     )
 
-    def run(batch: pa.RecordBatch) -> dict:
-        encoders = _encoders([learned[name] for name in names], level)
+    def run(batch: pa.RecordBatch, encoders: list) -> dict:
         languages, scores, rejected = [], [], []
         for text in batch.column(len(kept)).to_pylist():
             content = letters(text) if text else b""
@@ -87,7 +87,7 @@ def classify(documents: DataFrame, learned: dict[str, bytes], level: int = 6, ma
         columns = {c: batch.column(i) for i, c in enumerate(kept)}
         return {**columns, "lang_pred": languages, "score": scores, "rejected": rejected}
 
-    return map_batches(documents.select(*kept, "text"), run, schema)
+    return map_batches(documents.select(*kept, "text"), run, schema, setup=lambda: _encoders([learned[name] for name in names], level))
 
 
 def _encoders(contents: list[bytes], level: int) -> list:

@@ -9,13 +9,14 @@ the sentence probabilities then show the offending sentences.
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import in_fold, map_batches, out_of_fold
+from .shared import in_fold, map_batches, out_of_fold, release
 
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 WORD = re.compile(r"[^\W\d_]+")
@@ -42,6 +43,11 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in found if WORD.search(text, a, b)]
 
 
+def sentence_words(text: str, start: int, end: int) -> set[str]:
+    """The distinct words of a sentence in lower case. Each word is lowered by itself, so that offsets stay those of the text."""
+    return {w.lower() for w in set(WORD.findall(text, start, end))}
+
+
 def sample(documents: DataFrame, labels: DataFrame, limit: int) -> list[tuple[str, int]]:
     """(text, toxic) of at most `limit` labelled documents, those whose ids hash smallest.
 
@@ -65,14 +71,13 @@ def fit(rows: list[tuple[str, int]], steps: int = 120, rate: float = 0.1, sparsi
     Without rows, or with one kind of label only, the weights are zero and the bias gives the share of toxic rows.
     """
     vocabulary: dict[str, int] = {}
-    words, sentence_of, document_of = [], [], []
+    words, sentence_of, document_of = array("i"), array("i"), array("i")
     labels = np.array([label for _, label in rows], float)
     for number, (text, _) in enumerate(rows):
-        lower = text.lower()
-        for start, end in sentences(lower):
-            found = {vocabulary.setdefault(w, len(vocabulary)) for w in WORD.findall(lower, start, end)}
-            words += found
-            sentence_of += [len(document_of)] * len(found)
+        for start, end in sentences(text):
+            found = {vocabulary.setdefault(w, len(vocabulary)) for w in sorted(sentence_words(text, start, end))}
+            words.extend(found)
+            sentence_of.extend([len(document_of)] * len(found))
             document_of.append(number)
     weights, bias = np.zeros(BUCKETS, np.float32), -3.0
     if not document_of or labels.min() == labels.max():
@@ -107,7 +112,10 @@ def fit(rows: list[tuple[str, int]], steps: int = 120, rate: float = 0.1, sparsi
         shrunk = np.maximum(np.abs(theta[:-1]) - np.minimum(pace[:-1] * sparsity, rate), 0)
         theta[:-1] = np.sign(theta[:-1]) * shrunk
     weights[used] = theta[:-1]
-    return weights, float(theta[-1])
+    bias = float(theta[-1])
+    del words, sentence_of, document_of, pairs, owner, flat, g, p, z, of_word, per_document, clean, toxic
+    release()
+    return weights, bias
 
 
 class SentenceScorer:
@@ -126,24 +134,28 @@ class SentenceScorer:
 
     def score(self, text: str) -> tuple[float, list[tuple[int, int, float]]]:
         """The document's probability and (start, end, probability) of its sentences."""
-        lower = text.lower()
-        plain = lower if len(lower) == len(text) else text  # offsets are those of the text
         clean, found = 0.0, []
-        for start, end in sentences(plain):
-            z = self.bias + sum(map(self.word, set(WORD.findall(plain, start, end))))
+        for start, end in sentences(text):
+            z = self.bias + sum(map(self.word, sentence_words(text, start, end)))
             p = 1 / (1 + np.exp(-min(max(z, -30.0), 30.0)))
             clean += np.log1p(-min(p, 1 - 1e-12))
             found.append((start, end, float(p)))
         return float(-np.expm1(clean)), found
 
 
-def score(documents: DataFrame, weights: np.ndarray, bias: float, threshold: float = 0.5, sentence_threshold: float = 0.5) -> DataFrame:
-    """All columns of `documents` but text, with score, predicted and the spans of the offending sentences.
+def score(
+    documents: DataFrame, weights: np.ndarray, bias: float, threshold: float = 0.5, sentence_threshold: float = 0.5, keep_text: bool = False
+) -> DataFrame:
+    """All columns of `documents`, text only if `keep_text`, with score, predicted and the spans of the offending sentences.
 
     score: the noisy-or of the sentences, 0 for a text without a word or null. predicted: 1 from `threshold` on. spans:
-    start and end (code points) of the sentences whose own probability reaches `sentence_threshold`.
+    start and end (code points) of the sentences whose own probability reaches `sentence_threshold`. Columns of these
+    names are replaced.
     """
-    kept = [c for c in documents.columns if c != "text"]
+    results = ("score", "predicted", "spans") if keep_text else ("text", "score", "predicted", "spans")
+    kept = [c for c in documents.columns if c not in results]
+    sent = kept if keep_text else [*kept, "text"]
+    at = sent.index("text")
     schema = ", ".join(
         [f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in kept]
         + ["score double", "predicted int", "spans array<struct<start: int, end: int, score: double>>"]
@@ -151,21 +163,20 @@ def score(documents: DataFrame, weights: np.ndarray, bias: float, threshold: flo
     packed = (weights.astype(np.float32).tobytes(), bias)  # 1 MB, whatever the input
     shared = documents.sparkSession.sparkContext.broadcast(packed)
 
-    def run(batch: pa.RecordBatch) -> dict:
-        scorer = _scorer(shared.value)
+    def run(batch: pa.RecordBatch, scorer: SentenceScorer) -> dict:
         scores, spans = [], []
-        for text in batch.column(len(kept)).to_pylist():
+        for text in batch.column(at).to_pylist():
             total, found = scorer.score(text) if text else (0.0, [])
             scores.append(total)
             spans.append([{"start": a, "end": b, "score": p} for a, b, p in found if p >= sentence_threshold])
         columns = {c: batch.column(i) for i, c in enumerate(kept)}
         return {**columns, "score": scores, "predicted": [int(s >= threshold) for s in scores], "spans": spans}
 
-    return map_batches(documents.select(*kept, "text"), run, schema)
-
+    def scorer() -> SentenceScorer:
+        weights, bias = shared.value
+        return SentenceScorer(np.frombuffer(weights, np.float32), bias)
 
-def _scorer(packed: tuple[bytes, float]) -> SentenceScorer:
-    return SentenceScorer(np.frombuffer(packed[0], np.float32), packed[1])
+    return map_batches(documents.select(*sent), run, schema, setup=scorer)
 
 
 def toxicity(documents: DataFrame, labels: DataFrame, parts: int = 5, part: int = 0, limit: int = 6000) -> DataFrame:

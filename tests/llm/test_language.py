@@ -58,3 +58,29 @@ def test_nothing_learned(docs, spark):
     row = language_id(docs((1, "word", None, None))).first()
     assert (row.lang_pred, row.score) == ("und", 0.0)
     assert language_id(docs((1, "x")).filter(F.lit(False))).count() == 0
+
+
+def test_columns_with_the_names_of_results_are_replaced(docs):
+    frame = docs((1, "some words")).selectExpr("doc_id", "text", "'x' AS score", "'y' AS lang_pred", "'z' AS rejected", "'kept' AS other")
+    row = classify(frame, {"en": b"some words of english", "de": b"einige deutsche"}).first()
+    assert (row.other, row.lang_pred) == ("kept", "en") and 0 <= row.score <= 1
+
+
+def test_sizes_are_those_of_the_plain_interface(docs):
+    """The smallest of zstandard's own encodings wins, with all words in one piece."""
+    import zstandard
+
+    from skewloom.llm.language import TAIL, letters
+
+    learned = {"a": b"lorem ipsum dolor sit amet " * 20, "b": b"the quick brown fox jumps " * 20, "c": b"der schnelle braune fuchs " * 20}
+    texts = ["Lorem dolor quick", "quick fox, brown!", "schnelle fuchs ipsum der", "nothing alike at all", "der the sit"]
+    for row in classify(docs(*enumerate(texts)), learned).collect():
+        sizes = []
+        for name in sorted(learned):
+            content = zstandard.ZstdCompressionDict(learned[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            parameters = zstandard.ZstdCompressionParameters.from_level(
+                6, source_size=4096, dict_size=len(learned[name]), min_match=4, write_content_size=False, write_dict_id=False
+            )
+            encoder = zstandard.ZstdCompressor(compression_params=parameters, dict_data=content)
+            sizes.append((len(encoder.compress(letters(texts[row.doc_id]) + TAIL)), name))
+        assert row.lang_pred == min(sizes)[1]

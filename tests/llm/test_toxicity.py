@@ -1,7 +1,7 @@
 import numpy as np
 
 from skewloom.llm.shared import table
-from skewloom.llm.toxicity import BUCKETS, SentenceScorer, fit, score, sentences, toxicity
+from skewloom.llm.toxicity import BUCKETS, SentenceScorer, features, fit, score, sentence_words, sentences, toxicity
 
 from .conftest import ODD
 
@@ -64,3 +64,43 @@ def test_columns_stay(docs):
 def test_sentences():
     text = "One. Two!\n\n  ... three"
     assert [text[a:b].strip() for a, b in sentences(text)] == ["One.", "Two!", "three"]
+
+
+def test_a_letter_that_grows_in_lower_case_changes_nothing_else():
+    scorer = SentenceScorer(*fit(taught()))
+    plain, longer = scorer.score("A NASTY one. Bari muka."), scorer.score("A NASTY one. Bari muka. \u0130")
+    assert plain[0] > 0.5 and abs(plain[0] - longer[0]) < 0.1
+    assert [(a, b) for a, b, _ in longer[1][:2]] == [(a, b) for a, b, _ in plain[1]]
+
+
+def test_columns_with_the_names_of_results_are_replaced(docs):
+    weights, bias = fit(taught())
+    frame = docs((1, "nasty")).selectExpr("doc_id", "text", "'x' AS score", "'y' AS spans", "'z' AS predicted", "'kept' AS other")
+    row = score(frame, weights, bias).first()
+    assert row.other == "kept" and row.predicted in (0, 1) and 0 <= row.score <= 1
+
+
+def likelihood(theta, bias, rows):
+    """The noisy-or log likelihood of labelled texts, one document after the other."""
+    total = 0.0
+    for text, label in rows:
+        clean = 1.0
+        for a, b in sentences(text):
+            z = bias + sum(theta[features(w)].sum() for w in sentence_words(text, a, b))
+            clean *= 1 - 1 / (1 + np.exp(-z))
+        total += np.log(max(1e-12, 1 - clean if label else clean))
+    return total / len(rows)
+
+
+def test_fitting_raises_the_likelihood_to_a_flat_place():
+    rows = taught()
+    steps = [fit(rows, steps=n, sparsity=0.0) for n in (1, 40, 300)]
+    values = [likelihood(w, b, rows) for w, b in steps]
+    assert values[0] < values[1] < values[2] <= 0
+    weights, bias = steps[-1]
+    used = np.flatnonzero(weights)[:5]
+    for bucket in used:  # no small change of a weight helps much
+        for by in (-1e-2, 1e-2):
+            changed = weights.copy()
+            changed[bucket] += by
+            assert likelihood(changed, bias, rows) < values[2] + 1e-3
