@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..session import store
 from .jaccard import WordHashes
-from .shared import arrow_schema, bitmap_words, map_batches, marked, record_batches, row_key
+from .shared import arrow_schema, bitmap_words, in_arrow, map_batches, marked, record_batches, release, row_key
 
 # What ends a term becomes a space, A-Z lower case; every byte of a character beyond ASCII belongs to a term.
 TERM_BYTES = bytes(c if c >= 128 or bytes([c]).isalnum() else 32 for c in range(256)).lower()
@@ -129,9 +129,11 @@ def build_index(documents: DataFrame) -> DataFrame:
             yield from block(width, docs)
         if held:
             yield from counted(held)
+        blocks = held = known = None
+        release()
 
     texts = documents.filter("text IS NOT NULL").select("doc_id", F.md5("text").alias("content"), "text")
-    return store(texts.mapInArrow(run, schema), "signatures")
+    return store(in_arrow(texts, run, schema), "signatures")
 
 
 @dataclass
@@ -236,7 +238,7 @@ def bounded(index: DataFrame, plan, kind: str, limit: int, probes: int = 0, leas
                     columns = {"item": of, "bound": bound[of, doc], "doc_id": [ids[d] for d in doc], "content": [contents[d] for d in doc]}
                     yield from record_batches(columns, kinds)
 
-    return index.filter("width IS NOT NULL").select("width", "doc_id", "content", "n", "slices").mapInArrow(run, schema)
+    return in_arrow(index.filter("width IS NOT NULL").select("width", "doc_id", "content", "n", "slices"), run, schema)
 
 
 def first_rows(rows: DataFrame, groups: list[str], order: list, limit: int, name: str = "rank") -> DataFrame:
