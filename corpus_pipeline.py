@@ -14,7 +14,7 @@ from skewloom.llm.decontamination import decontaminate
 from skewloom.llm.jaccard import jaccard_classes
 from skewloom.llm.line_dedup import line_dedup
 from skewloom.llm.packing import pack
-from skewloom.llm.shared import out_of_fold, row_key
+from skewloom.llm.shared import bitmap_words, marked, out_of_fold, row_key
 from skewloom.llm.toxicity import fit, sample, score
 from skewloom.session import scratch_path, store
 
@@ -23,11 +23,13 @@ HELD_OUT = (5, 0)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a noisy-or toxicity below one half. The labels of held-out rows are not learned from."""
+    """Documents with a noisy-or toxicity below one half. The labels of held-out rows are not learned from.
+
+    Null and empty texts stay; rows that repeat stay or go together.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(out_of_fold(F.col("doc_id"), *HELD_OUT))
     weights, bias = fit(sample(docs, labels, 6000))
-    body = docs.select("text", F.struct(*COLUMNS).alias("body"))
-    return score(body, weights, bias).filter("predicted = 0").select("body.*")
+    return score(docs.select(*COLUMNS), weights, bias, keep_text=True).filter("predicted = 0").select(*COLUMNS)
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,26 +48,34 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group that links of five-word n-gram similarity 0.8 connect: the one with the least doc_id
     (a null id comes first).
 
-    Empty texts link with nothing and stay. Of rows that repeat, one stays.
+    Empty texts link with nothing and stay. Of rows that repeat, one stays. Whole rows are only shuffled where the ids
+    leave a doubt: those that do not stay, and those that repeat.
     """
     keyed = docs.select(*COLUMNS, F.struct("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("row")).alias("key"))
     rows = jaccard_classes(keyed.select(F.col("key").alias("doc_id"), "text"), size=5, percent=80)
     chosen = rows.filter("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("chosen")).select("chosen.row")
     chosen = store(chosen.union(rows.filter("component IS NULL").select("doc_id.row")).distinct(), "chosen")
-    kept = keyed.select(*COLUMNS, "key.row").join(chosen, "row", "left_semi")
-    return kept.dropDuplicates(["row"]).select(*COLUMNS)
+    counts = rows.groupBy(F.col("doc_id.row").alias("row")).agg(F.count(F.lit(1)).alias("n"))
+    alone = counts.filter("n = 1").join(chosen, "row", "left_semi")
+    doubtful = store(counts.join(alone.select("row"), "row", "left_anti").select("row"), "doubtful")
+    whole = marked(keyed.select(*COLUMNS, "key.row"), F.col("row"), bitmap_words(doubtful, "row"), "doubt")
+    kept = whole.filter("doubt").join(chosen, "row", "left_semi").dropDuplicates(["row"])
+    return whole.filter("NOT doubt").unionByName(kept).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of a benchmark item."""
+    """Documents without a passage of a benchmark item. Null and empty texts stay; rows that repeat stay or go together."""
     keyed = docs.select(*COLUMNS, row_key(F.col("doc_id"), F.col("text")).alias("row"))
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     leaky = decontaminate(keyed.select(F.col("row").alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("row"))
-    return keyed.join(store(leaky.distinct(), "leaky"), "row", "left_anti").select(*COLUMNS)
+    leaky = store(leaky.distinct(), "leaky")
+    whole = marked(keyed, F.col("row"), bitmap_words(leaky, "row"), "doubt")
+    kept = whole.filter("doubt").join(leaky, "row", "left_anti")
+    return whole.filter("NOT doubt").unionByName(kept).select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The last stage: pieces of windows of 1024 tokens instead of documents."""
+    """The last stage: pieces of windows of 1024 tokens instead of documents. A null text is empty; rows that repeat are packed each."""
     return pack(docs)
 
 
