@@ -19,6 +19,7 @@ UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 HAS_LETTER = r"\p{L}"
 CHUNK_BYTES = 4096
+PARTS = 64
 TAIL = b"\n" * 64  # so compressible that zstandard encodes even a short text by matches instead of storing it
 
 
@@ -27,25 +28,42 @@ def letters(text: str) -> bytes:
     return " ".join(dict.fromkeys(LETTERS.findall(text.lower()))).encode()
 
 
-def dictionaries(labelled: DataFrame, texts: int = 64, size: int = 64 * 1024) -> dict[str, bytes]:
+def spread(words: list[bytes], size: int) -> bytes:
+    """Words from all over a text, at even distances, of about `size` bytes in all."""
+    total = sum(map(len, words)) + len(words)
+    step = max(1.0, total / size)
+    return b" ".join(words[int(n * step)] for n in range(int(len(words) / step)))
+
+
+def dictionaries(
+    labelled: DataFrame, texts: int = 64, size: int = 64 * 1024, text_bytes: int = CHUNK_BYTES, pieces: int = 16
+) -> dict[str, bytes]:
     """A raw-content dictionary of at most `size` bytes for each non-null lang of `labelled` (text, lang).
 
     The sample: of each language, the `texts` distinct texts with the smallest hash, so that copies count once. Only
-    hashes are ranked, and the few chosen texts are then read. Rows without a letter or language teach nothing.
+    hashes are ranked, and the few chosen texts are then read. A text longer than `size` characters gives `pieces` pieces
+    of equal length and distance, `size` characters in all, and of its words those at even distances, about `text_bytes`
+    of them: its end teaches as much as its beginning. Rows without a letter or language teach nothing.
     """
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(HAS_LETTER))
     rows = rows.select("lang", "text", F.xxhash64("text").alias("hash"))
-    hashes = rows.select("lang", "hash").distinct()
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
-    chosen = hashes.withColumn("rank", rank).filter(F.col("rank") <= texts).drop("rank")
+    hashes = rows.select("lang", "hash").distinct().withColumn("part", F.pmod("hash", F.lit(PARTS)))
+    chosen = hashes
+    for keys in (["lang", "part"], ["lang"]):  # the smallest of the smallest of each part
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("hash"))
+        chosen = chosen.withColumn("rank", rank).filter(F.col("rank") <= texts).drop("rank")
+    chosen = chosen.drop("part")
     # At most `texts` short rows for each language, whatever the input.
     sample = rows.join(F.broadcast(chosen), ["lang", "hash"]).dropDuplicates(["lang", "hash"])
-    cut = sample.select("lang", "hash", F.substring("text", 1, size).alias("text"))
+    length, piece = F.length("text"), size // pieces
+    starts = [(length * n / pieces).cast("int") + 1 for n in range(pieces)]
+    some = F.concat_ws(" ", *[F.substring(F.col("text"), start, F.lit(piece)) for start in starts])
+    cut = sample.select("lang", "hash", F.when(length <= size, F.col("text")).otherwise(some).alias("text"))
     found: dict[str, bytes] = {}
     for row in sorted(cut.toLocalIterator(), key=lambda r: (r["lang"], r["hash"])):
         kept = found.get(row["lang"], b"")
         if len(kept) < size:
-            found[row["lang"]] = (kept + letters(row["text"])[:CHUNK_BYTES] + b" ")[:size]
+            found[row["lang"]] = (kept + spread(letters(row["text"]).split(), text_bytes) + b" ")[:size]
     return found
 
 

@@ -3,7 +3,7 @@ import zlib
 
 from pyspark.sql import functions as F
 
-from skewloom.llm.language import classify, dictionaries, language_id
+from skewloom.llm.language import classify, dictionaries, language_id, spread
 from skewloom.llm.shared import table
 
 from .conftest import ODD
@@ -84,3 +84,12 @@ def test_sizes_are_those_of_the_plain_interface(docs):
             encoder = zstandard.ZstdCompressor(compression_params=parameters, dict_data=content)
             sizes.append((len(encoder.compress(letters(texts[row.doc_id]) + TAIL)), name))
         assert row.lang_pred == min(sizes)[1]
+
+
+def test_the_end_of_a_long_text_teaches_too(docs):
+    text = "the head of it " * 20_000 + " ".join(f"{a}{b}ende" for a in "bcdfg" for b in "aeiou") * 400
+    found = dictionaries(docs((1, text, "de", "s"), (2, "x", "fr", "s")))
+    assert b"ende" in found["de"] and b"head" in found["de"] and len(found["de"]) <= 64 * 1024 and found["fr"] == b"x "
+    words = [b"%05d" % n for n in range(4000)]
+    taken = spread(words, 1200).split()
+    assert taken[0] == words[0] and taken[-1] > b"03900" and 150 < len(taken) <= 200
