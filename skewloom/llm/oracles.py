@@ -136,3 +136,83 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(3 + sum(length(safe) + marks) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
 """
+
+_WORD = r"[^\x20\x09-\x0D]+"
+
+JACCARD = rf"""
+WITH RECURSIVE worded AS (
+    SELECT row_number() OVER () AS row, doc_id, coalesce(regexp_extract_all({_LOWER}, '{_WORD}'), []) AS words FROM documents
+),
+sets AS (
+    SELECT row, doc_id, CASE
+        WHEN len(words) = 0 THEN []
+        WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]))
+    END AS shingles
+    FROM worded
+),
+entries AS (SELECT row, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+links AS (
+    SELECT a.row AS a, b.row AS b
+    FROM entries a JOIN entries b ON a.shingle = b.shingle AND a.row <> b.row
+    GROUP BY a.row, b.row, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+),
+reached AS (
+    SELECT row, row AS other FROM sets
+    UNION
+    SELECT r.row, l.b FROM reached r JOIN links l ON r.other = l.a
+)
+SELECT s.doc_id, CAST(len(any_value(s.shingles)) AS BIGINT) AS n_shingles, min(o.doc_id) AS component_id
+FROM sets s JOIN reached r ON s.row = r.row JOIN sets o ON r.other = o.row
+GROUP BY s.row, s.doc_id
+"""
+
+RULES = rf"""
+WITH given AS (
+    SELECT row_number() OVER () AS row, doc_id, source AS host, coalesce(text, '') AS text,
+           coalesce(regexp_extract_all(text, '{_WORD}'), []) AS words
+    FROM documents
+),
+lines AS (
+    SELECT row, doc_id, host, line, regexp_extract_all(line, '{_WORD}') AS words
+    FROM (SELECT row, doc_id, host, unnest(string_split(text, chr(10))) AS line FROM given)
+    WHERE regexp_matches(line, '{_WORD}')
+),
+normal AS (
+    SELECT row, host, coalesce(CAST(doc_id AS VARCHAR), 'row ' || row) AS document, len(words) AS n,
+           translate(array_to_string(words, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000') AS line
+    FROM lines
+),
+hosts AS (SELECT host, count(DISTINCT coalesce(CAST(doc_id AS VARCHAR), 'row ' || row)) AS docs FROM given GROUP BY host),
+frequent AS (
+    SELECT n.host, n.line FROM normal n JOIN hosts h ON n.host IS NOT DISTINCT FROM h.host
+    GROUP BY n.host, n.line, h.docs HAVING count(DISTINCT document) > 20 AND count(DISTINCT document) > 0.01 * h.docs
+),
+removed AS (
+    SELECT n.row, sum(n.n) AS words FROM normal n JOIN frequent f ON n.host IS NOT DISTINCT FROM f.host AND n.line = f.line
+    GROUP BY n.row
+),
+repeats AS (SELECT row, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY row),
+windows AS (
+    SELECT row, place, words[place] || ' ' || words[place + 1] || ' ' || words[place + 2] AS three
+    FROM (SELECT row, words, unnest(range(1, len(words) - 1)) AS place FROM given WHERE len(words) > 2)
+),
+again AS (
+    SELECT row, count(DISTINCT place + step) AS n
+    FROM (SELECT row, place, count(*) OVER (PARTITION BY row, three) AS times FROM windows), range(3) AS steps(step)
+    WHERE times > 1 GROUP BY row
+),
+counted AS (
+    SELECT g.row, g.doc_id, CAST(len(g.words) AS BIGINT) AS n_words,
+           CAST(coalesce(list_sum(list_transform(g.words, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
+           CAST(length(regexp_replace(g.text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+           CAST(coalesce(r.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(a.n, 0) AS BIGINT) AS n_repeat_words,
+           CAST(coalesce(x.words, 0) AS BIGINT) AS removed_words
+    FROM given g LEFT JOIN repeats r ON g.row = r.row LEFT JOIN again a ON g.row = a.row LEFT JOIN removed x ON g.row = x.row
+),
+failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)
+SELECT * EXCLUDE (row), NOT base_failed AND NOT (
+    removed_words > 0 AND (n_words - removed_words < 20 OR n_words - removed_words < 0.3 * n_words)
+) AS kept
+FROM failed
+"""

@@ -12,7 +12,7 @@ from .kneser_ney import kneser_ney_quality
 from .language import language_id
 from .line_dedup import line_dedup
 from .merkle import merkle_manifest
-from .oracles import CHAT, MERKLE, SEARCH
+from .oracles import CHAT, JACCARD, MERKLE, RULES, SEARCH
 from .packing import pack
 from .personal_data import digest_columns, sanitise
 from .rules import quality_rules
@@ -94,6 +94,8 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op7_line_frequency_rules": RULES,
+    "op9_jaccard_components": JACCARD,
     "op11_bit_sliced_search": SEARCH,
     "op12_reply_tree_chat": CHAT,
     "op13_merkle_manifest": MERKLE,
