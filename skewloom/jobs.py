@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import contextlib
 import datetime as dt
 import os
 import sys
@@ -15,13 +16,15 @@ from pyspark.sql import functions as F
 
 from skewloom.operators.logs import parse_logs
 from skewloom.operators.skew import SALT_FACTOR, SKEW_FACTOR, make_skew, skew_report
+from skewloom.plans import incremental
 from skewloom.plans import reviews as review_plans
 from skewloom.plans.measured import write_metrics
 from skewloom.plans.rides import RIDE_JOBS, TRIP_COLUMNS, WIDE_COLUMNS
-from skewloom.session import PROFILES, build_session
+from skewloom.session import PROFILES, build_session, measured
 from skewloom.sources.readers import list_files, read_csv, read_lines, read_parquet
 from skewloom.sources.sinks import convert, write_table
-from skewloom.streaming.logs import stream_logs
+from skewloom.sources.tail import tail_lines
+from skewloom.streaming.logs import stream_lines, stream_logs, write_once
 
 # Entities of the review data.
 ENTITIES = ("business", "checkin", "review", "tip", "user")
@@ -49,6 +52,12 @@ def run_rides(spark: SparkSession, args: argparse.Namespace) -> None:
             _look(tables[name], args)
 
 
+def run_totals(spark: SparkSession, args: argparse.Namespace) -> None:
+    print(f"files: {incremental.take_in(spark, args.trips, args.state)}")
+    zones = read_csv(spark, args.zones)
+    _look(incremental.daily_company_totals(spark, args.state, zones) if args.daily else incremental.route_totals(spark, args.state, zones), args)
+
+
 def run_reviews(spark: SparkSession, args: argparse.Namespace) -> None:
     reviews = read_parquet(spark, args.reviews)
     joined = review_plans.with_business(reviews, read_parquet(spark, args.business), args.strategy)
@@ -87,13 +96,16 @@ def run_convert(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_metrics(spark: SparkSession, args: argparse.Namespace) -> None:
-    for path in write_metrics(spark, args.log, args.out, args.tasks, args.since, args.until):
+    for path in write_metrics(spark, args.log, args.out, args.tasks, args.since, args.until, args.parts):
         print(path)
 
 
 def run_logs(spark: SparkSession, args: argparse.Namespace) -> None:
-    if args.progress:
-        stream_logs(spark, args.source, args.out, args.progress, args.interval).awaitTermination()
+    if args.progress and args.once:
+        lines = (tail_lines if args.follow else stream_lines)(spark, args.source)
+        write_once(lines, args.out, args.progress, interval=args.interval).awaitTermination()
+    elif args.progress:
+        stream_logs(spark, args.source, args.out, args.progress, args.interval, follow=args.follow).awaitTermination()
     else:
         write_table(parse_logs(read_lines(spark, args.source)), args.out, by=["day"])
 
@@ -106,6 +118,7 @@ def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="skewloom")
     top.add_argument("--profile", choices=PROFILES, default="adaptive")
     top.add_argument("--event-log", help="folder for the event log of this run")
+    top.add_argument("--tag", help="mark this run's jobs in the event log")
     top.add_argument("--delta", action="store_true", help="enable Delta tables; needs its jars")
     top.add_argument("--conf", action="append", default=[], metavar="KEY=VALUE")
     jobs = top.add_subparsers(dest="command", required=True)
@@ -128,6 +141,9 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--day", type=day)
     sub.add_argument("--format", default="parquet")
 
+    sub = job("totals", run_totals, "--trips", "--zones", "--state", look=True)
+    sub.add_argument("--daily", action="store_true", help="by day and company instead of by route")
+
     sub = job("reviews", run_reviews, "--reviews", "--business", look=True)
     sub.add_argument("--users")
     sub.add_argument("--strategy", choices=("planner", "broadcast", "hint"), default="planner")
@@ -153,20 +169,29 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--tasks", action="store_true")
     sub.add_argument("--since", type=int, help="epoch milliseconds; measure what starts from then on")
     sub.add_argument("--until", type=int, help="epoch milliseconds; measure what starts until then")
+    sub.add_argument("--parts", action="store_true", help="also the parts that were tagged, and skewed stages")
 
     sub = job("logs", run_logs, "--source", "--out")
     sub.add_argument("--progress", help="checkpoint folder; makes the job a stream")
+    sub.add_argument("--follow", action="store_true", help="also take in lines that are added to files")
+    sub.add_argument("--once", action="store_true", help="drop lines that come again; late and unmatched lines apart")
     sub.add_argument("--interval", help='time between batches, such as "1 minute"; once over all files if left out')
 
     job("files", run_files, "--source")
     return top
 
 
+def run_job(spark: SparkSession, args: argparse.Namespace) -> None:
+    """The job that `args` names, with its jobs tagged if `--tag` asks for it."""
+    with measured(spark, args.tag) if args.tag else contextlib.nullcontext():
+        args.run(spark, args)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     conf = dict(pair.split("=", 1) for pair in args.conf)
     spark = build_session(f"skewloom-{args.command}", args.profile, conf, args.delta, event_log=args.event_log)
-    args.run(spark, args)
+    run_job(spark, args)
 
 
 if __name__ == "__main__":

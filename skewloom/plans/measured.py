@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.diagnosis import diagnose_stages, stage_report, summarize_app, summary_report
-from ..operators.event_log import app_metrics, app_task_metrics, stage_metrics, task_metrics
+from ..operators.diagnosis import diagnose_stages, skewed_stages, stage_report, summarize_app, summary_report
+from ..operators.event_log import app_metrics, app_task_metrics, stage_metrics, tag_metrics, task_metrics, task_sketches
 from ..sources.readers import read_event_log
 from ..sources.sinks import write_json, write_sorted, write_tsv
 
@@ -23,11 +23,18 @@ def write_report(stages: DataFrame, apps: DataFrame, target: str) -> dict[str, s
 
 
 def write_metrics(
-    spark: SparkSession, log: str, target: str, tasks: bool = False, since: int | None = None, until: int | None = None
+    spark: SparkSession,
+    log: str,
+    target: str,
+    tasks: bool = False,
+    since: int | None = None,
+    until: int | None = None,
+    parts: bool = False,
 ) -> list[str]:
     """Everything the metric job writes for the applications whose logs match `log`; returns the paths.
 
     `since` and `until` (epoch milliseconds) measure one part of a program: stages submitted and tasks launched in between.
+    `parts` adds the totals of each part that `session.measured` marked, and which stages are skewed by their tasks.
     """
     target = target.rstrip("/")
     lines = read_event_log(spark, log)
@@ -46,4 +53,8 @@ def write_metrics(
         write_sorted(stored, f"{target}/taskmetrics", ("app_id", *TASK_ORDER), "json")
         write_json(app_task_metrics(stored), f"{target}/taskmetrics_agg")
         paths += [raw_tasks, f"{target}/taskmetrics", f"{target}/taskmetrics_agg"]
+    if parts:
+        write_json(tag_metrics(lines, since, until), f"{target}/parts")
+        write_json(skewed_stages(task_sketches(lines)), f"{target}/skewed_stages")
+        paths += [f"{target}/parts", f"{target}/skewed_stages"]
     return paths

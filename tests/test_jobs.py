@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from skewloom.jobs import parser
+from skewloom.jobs import parser, run_job
 from skewloom.plans import mapping
 
 
@@ -77,3 +77,33 @@ def test_convert_metrics_logs_files(run, data, tmp_path, spark, log_dir, capsys)
     assert spark.read.parquet(f"{tmp_path}/batch").count() == spark.read.parquet(f"{tmp_path}/stream").count() == 1
     run("files", "--source", f"{logs}/*.log")
     assert "a.log" in capsys.readouterr().out
+
+
+def test_followed_logs_each_line_once(run, tmp_path, spark):
+    logs = tmp_path / "log"
+    logs.mkdir()
+    for text in ("2024-06-06T12:00:00,123 [main] INFO  a.B [] - hello\n", "2024-06-06T12:00:01,000 [main] INFO  a.B [] - again\nnoise\n"):
+        with open(logs / "a.log", "a") as file:
+            file.write(text)
+        run("logs", "--source", logs, "--out", tmp_path / "out", "--progress", tmp_path / "progress", "--follow")
+        run("logs", "--source", logs, "--out", tmp_path / "once", "--progress", tmp_path / "once-progress", "--follow", "--once")
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 3
+    assert spark.read.parquet(f"{tmp_path}/once/daily").count() == 2
+    assert spark.read.parquet(f"{tmp_path}/once/unmatched").count() == 1
+
+
+def test_totals_kept_up_to_date(run, data, tmp_path, capsys):
+    options = ("--trips", f"{data}/trips/*.parquet", "--zones", data / "zones", "--state", tmp_path / "state", "--count")
+    run("totals", *options)
+    first = capsys.readouterr().out
+    run("totals", *options, "--daily")
+    second = capsys.readouterr().out
+    assert "files: 0" not in first and "files: 0" in second and "rows: " in second
+
+
+def test_tagged_run_in_the_metrics(run, data, tmp_path, spark, log_dir):
+    run_job(spark, parser().parse_args(["--tag", "nightly", "skew", "--reviews", str(data / "reviews"), "--report", "--count"]))
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    run("metrics", "--log", f"{log_dir}/*", "--out", tmp_path / "metrics", "--parts")
+    assert {r.tag for r in spark.read.json(f"{tmp_path}/metrics/parts").collect()} >= {"nightly"}
+    assert "is_time_skew" in spark.read.json(f"{tmp_path}/metrics/skewed_stages").columns
