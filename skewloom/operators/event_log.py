@@ -13,7 +13,6 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import store
 from ..sources.schemas import EVENT_LOG
 
 TASK_END = "SparkListenerTaskEnd"
@@ -74,10 +73,11 @@ def _measures() -> dict[str, Column]:
 def task_metrics(lines: DataFrame, since: int | None = None, until: int | None = None) -> DataFrame:
     """One row per finished task attempt, with the job of its stage.
 
-    `since` and `until` (epoch milliseconds) keep the tasks launched in between. The log is read and parsed once, into a
-    stored table of tasks and job starts. Later jobs name a stage again when they reuse its output, so the first job counts.
+    `since` and `until` (epoch milliseconds) keep the tasks launched in between. Nothing is stored: the text is scanned once for
+    the tasks and once more for the few job starts, and only those lines are parsed. Later jobs name a stage again when they
+    reuse its output, so the first job counts.
     """
-    events = parse_events(lines, TASK_END, JOB_START).select(
+    tasks = parse_events(lines, TASK_END).select(
         "app_id",
         F.col("Stage ID").alias("stageId"),
         F.col("Stage Attempt ID").alias("stageAttempt"),
@@ -86,14 +86,10 @@ def task_metrics(lines: DataFrame, since: int | None = None, until: int | None =
         F.col("Task Info.Launch Time").alias("launchTime"),
         (F.col("Task Info.Finish Time") - F.col("Task Info.Launch Time")).alias("duration"),
         *[value.alias(name) for name, value in _measures().items()],
-        F.when(F.col("Event") == JOB_START, F.col("Job ID")).alias("jobId"),
-        F.when(F.col("Event") == JOB_START, F.col("Stage IDs")).alias("stages"),
     )
-    events = store(events, "events")
-    starts = events.filter("jobId IS NOT NULL").select("app_id", "jobId", F.explode("stages").alias("stageId"))
+    starts = parse_events(lines, JOB_START).select("app_id", F.col("Job ID").alias("jobId"), F.explode("Stage IDs").alias("stageId"))
     jobs = starts.groupBy("app_id", "stageId").agg(F.min("jobId").alias("jobId"))
-    tasks = _between(events.filter("jobId IS NULL").drop("jobId", "stages"), "launchTime", since, until)
-    return tasks.join(jobs, ["app_id", "stageId"], "left")
+    return _between(tasks, "launchTime", since, until).join(jobs, ["app_id", "stageId"], "left")
 
 
 def task_sketches(lines: DataFrame, size: int = SKETCH_SIZE) -> DataFrame:
