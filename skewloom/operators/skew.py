@@ -172,20 +172,28 @@ def grid_join(
     hot: DataFrame | None = None,
     salt_factor: int = SALT_FACTOR,
     prefix: str = "right_",
+    totals: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Inner join for keys that are hot on both sides; the same rows as the plain join.
 
     `salted_join` repeats a hot key's right rows once for each of up to `salt_factor` salts, which is dear where they are
     many. Here a row is repeated `edge` times at most, on either side, and a hot key is still spread over up to edge x edge
     tasks. Without `hot` (see `hot_grid`) two first jobs look for the hot keys, reading the key columns only.
+
+    Pairs of a key that is hot on both sides are as many as the product of its rows. Where only sums over the pairs are wanted,
+    `totals` (name -> aggregate of right columns, under the names they have in the result) takes a key's right rows together in
+    each cell before the left rows meet them: the result has these columns in place of the right ones, and a left row appears
+    once for each cell in which it has partners. Their sums over all cells are those over all pairs.
     """
-    keys = list(on)
+    keys, place = list(on), []
     right = align(left, right, on, prefix)
     hot = hot_grid(left, right, keys, edge, salt_factor) if hot is None else hot
-    if hot.isEmpty():
-        return left.join(right, keys, "inner")
-    left, right = grid_sides(left, right, keys, hot)
-    return left.join(right, [*keys, "_row", "_column"], "inner").drop("_row", "_column")
+    if not hot.isEmpty():
+        left, right = grid_sides(left, right, keys, hot)
+        place = ["_row", "_column"]
+    if totals:
+        right = right.groupBy(*keys, *place).agg(*[value.alias(name) for name, value in totals.items()])
+    return left.join(right, [*keys, *place], "inner").drop(*place)
 
 
 def bucketed_sides(

@@ -224,15 +224,19 @@ def salted_join_hot_business(spark, folder):
 
 
 def grid_join_both_hot(spark, folder):
-    """Reviews and offers that both have a third of their rows on one business: pairs per business."""
+    """Reviews and offers that both have a third of their rows on one business: pairs per business.
+
+    The pairs of that business are as many as the product of its rows, so each cell's offers are added up before they are joined.
+    """
     hot = lambda key, of: F.when(F.pmod(of, F.lit(3)) == 0, F.lit(0)).otherwise(key).cast("bigint")
     reviews = mapping.reviews(spark, folder).withColumn("business_id", hot(F.col("business_id"), F.col("user_id")))
     offers = mapping.table(spark, folder, "supplier").select("s_suppkey", hot(F.col("s_suppkey"), F.col("s_suppkey")).alias("business"))
-    pairs = grid_join(reviews, offers, {"business_id": "business"}, edge=4, salt_factor=64)
-    return pairs.groupBy("business_id").agg(
-        F.count(F.lit(1)).alias("pairs"),
+    of_cell = {"pairs": F.count(F.lit(1)), "offers": F.sum("s_suppkey")}
+    met = grid_join(reviews, offers, {"business_id": "business"}, edge=4, salt_factor=64, totals=of_cell)
+    return met.groupBy("business_id").agg(
+        F.sum("pairs").alias("pairs"),
         F.countDistinct("review_id").alias("reviews"),
-        F.sum("s_suppkey").alias("offers"),
+        F.sum("offers").alias("offers"),
     )
 
 

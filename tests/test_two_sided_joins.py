@@ -49,6 +49,19 @@ def test_grid_of_one_hot_side_and_of_none(sides, same_rows, spark):
     same_rows(grid_join(left.limit(0), right, {"k": "key"}), plain(left.limit(0), right))
 
 
+@pytest.mark.parametrize("edge", [1, 4])
+def test_totals_of_cells_add_up_to_those_of_pairs(spark, sides, edge, same_rows):
+    left, right = sides
+    of_cell = {"pairs": F.count(F.lit(1)), "b": F.sum("b")}
+    met = grid_join(left, right, {"k": "key"}, edge=edge, salt_factor=20, totals=of_cell)
+    found = met.groupBy("k").agg(F.sum("pairs").alias("pairs"), F.countDistinct("a").alias("a"), F.sum("b").alias("b"))
+    pairs = plain(left, right).groupBy("k").agg(F.count(F.lit(1)).alias("pairs"), F.countDistinct("a").alias("a"), F.sum("b").alias("b"))
+    same_rows(found, pairs)
+    assert met.count() <= edge * left.count()  # the pairs of key 0 alone are 30,000
+    even = left.filter("k <> 0").limit(40), right.filter("key = 5")
+    assert grid_join(*even, {"k": "key"}, totals=of_cell).agg(F.sum("pairs")).first()[0] == (plain(*even).count() or None)
+
+
 def test_buckets_join_without_a_shuffle_and_split_a_hot_key(spark, sides, same_rows, plan, settings):
     settings("spark.sql.autoBroadcastJoinThreshold", "-1")
     tables = ("bucketed_left", "bucketed_right")
