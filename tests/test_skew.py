@@ -129,6 +129,11 @@ def test_fewer_partitions_without_shuffle(spark, plan):
     assert "Exchange" not in plan(df) and partition_profile(df).count() == 3
 
 
+def test_a_join_does_not_run_in_the_few_tasks_of_its_result(spark, reviews, business, plan):
+    few = salted_skew_query(reviews, business, DAY, salt_factor=7, partitions=3)
+    assert "Coalesce" in plan(few) and "Join" not in plan(few) and partition_profile(few).count() <= 3
+
+
 def test_newest_first(spark):
     df = spark.createDataFrame([(1, 5), (2, 9), (3, 5)], "id int, at int")
     assert [r.id for r in newest_first(df, "at", ("id",)).collect()] == [2, 1, 3]
