@@ -135,34 +135,47 @@ def stage_metrics(lines: DataFrame, since: int | None = None, until: int | None
     `tags`, `tags` is an array of the tags of the job that ran the stage; see `session.measured`.
     """
     events = parse_events(lines, TASK_END, STAGE_COMPLETED, JOB_START)
-    # Tasks, stage ends and job starts meet in one grouping, so the log is read and parsed once. A job start stands
-    # for each stage it names, without an attempt.
+    # Tasks, stage ends and job starts meet in one grouping, so the log is read and parsed once. A job start stands for the
+    # first attempt of each stage it names; tags are grouped by. The least job of a stage as a struct with its tags would make
+    # Spark sort all events instead of hashing them.
+    starts = F.col("Event") == JOB_START
+    by = ["app_id", "stageId", "stageAttempt", *(["tags"] if tags else [])]
     rows = events.select(
         "app_id",
         F.when(F.col("Event") == TASK_END, 1).alias("task"),
-        F.when(F.col("Event") == JOB_START, F.struct("Job ID", F.col("Properties.`spark.job.tags`").alias("tags"))).alias("job"),
+        F.col("Job ID").alias("job"),
+        *([F.when(starts, F.coalesce("Properties.`spark.job.tags`", F.lit(""))).alias("tags")] if tags else []),
         F.col("Stage Info.Submission Time").alias("submitted"),
         F.col("Stage Info.Completion Time").alias("completed"),
-        F.coalesce("Stage Attempt ID", "Stage Info.Stage Attempt ID").alias("stageAttempt"),
+        F.coalesce("Stage Attempt ID", "Stage Info.Stage Attempt ID", F.when(starts, 0)).alias("stageAttempt"),
         *[value.alias(name) for name, value in _measures().items()],
         F.explode(F.coalesce("Stage IDs", F.array(F.coalesce("Stage ID", "Stage Info.Stage ID")))).alias("stageId"),
     )
-    stages = rows.groupBy("app_id", "stageId", "stageAttempt").agg(
+    stages = rows.groupBy(*by).agg(
         F.min("job").alias("job"),
         F.max("submitted").alias("submissionTime"),
         F.max("completed").alias("completionTime"),
-        (F.max("completed") - F.max("submitted")).alias("stageDuration"),
         F.count("task").alias("numTasks"),
         *[(F.max(name) if name == PEAK else F.sum(name)).alias(name) for name in MEASURES],
     )
-    # The few rows of one stage: its attempts and the row of its jobs, of which the first ran it.
+    # The few rows of one stage: its attempts and its jobs, of which the first ran it.
     same_stage = Window.partitionBy("app_id", "stageId")
-    stages = stages.withColumn("job", F.min("job").over(same_stage)).withColumn("jobId", F.col("job.`Job ID`"))
-    if tags:
-        named = F.filter(F.split(F.coalesce("job.tags", F.lit("")), ","), lambda tag: tag != "")
-        stages = stages.withColumn("tags", F.array_distinct(named))
-    stages = stages.drop("job")
-    return _between(stages.filter(F.col("completionTime").isNotNull()), "submissionTime", since, until)
+    ran = F.when(F.col("job").isNotNull(), F.struct("job", "tags")) if tags else F.col("job")
+    stages = stages.withColumn("job", F.min(ran).over(same_stage)).filter(F.col("completionTime").isNotNull())
+    named = F.filter(F.split(F.coalesce("job.tags", F.lit("")), ","), lambda tag: tag != "") if tags else None
+    stages = stages.select(
+        "app_id",
+        "stageId",
+        "stageAttempt",
+        "submissionTime",
+        "completionTime",
+        (F.col("completionTime") - F.col("submissionTime")).alias("stageDuration"),
+        "numTasks",
+        *MEASURES,
+        F.col("job.job" if tags else "job").alias("jobId"),
+        *([F.array_distinct(named).alias("tags")] if tags else []),
+    )
+    return _between(stages, "submissionTime", since, until)
 
 
 def app_metrics(stages: DataFrame, by: Sequence[str] = ("app_id",)) -> DataFrame:

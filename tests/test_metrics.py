@@ -190,6 +190,19 @@ def test_log_is_read_once_and_each_line_parsed_once(spark, event_lines, tmp_path
     assert "StringContains" in text
 
 
+def test_events_are_hashed_with_and_without_tags(spark, event_lines, plan):
+    for tags in (False, True):
+        text = plan(stage_metrics(event_lines, tags=tags))
+        assert "SortAggregate" not in text and "HashAggregate" in text
+    named = spark.createDataFrame(
+        [("a", line(Event="SparkListenerJobStart", Job_ID=2, Stage_IDs=[1, 3])), ("a", task(1, attempt=1)), ("a", stage_end(1, attempt=1)),
+         ("a", line(Event="SparkListenerJobStart", Job_ID=5, Stage_IDs=[1]))],
+        "app_id string, value string",
+    )
+    for tags in (False, True):
+        assert [(r.stageId, r.stageAttempt, r.jobId, r.numTasks) for r in stage_metrics(named, tags=tags).collect()] == [(1, 1, 2, 1)]
+
+
 def test_real_event_log(spark, log_dir, tmp_path):
     spark.range(0, 1_000, 1, 4).groupBy(F.col("id") % 10).count().collect()
     lines = read_event_log(spark, f"{log_dir}/*")
