@@ -434,7 +434,7 @@ def single_file_sorted(spark, folder):
 def sorted_files(spark, folder):
     """Three sorted files: their rows, and how many files begin before the one before them ends."""
     path = scratch_path(spark, "sorted-files")
-    write_sorted(mapping.stage_table(spark, folder), path, STAGE_ORDER, "json", files=3)
+    write_sorted(mapping.stage_table(spark, folder), path, STAGE_ORDER, "json", files=3, compression="lz4")
     key = F.struct(*STAGE_ORDER)
     read = read_json(spark, path, STAGE_METRICS).withColumn("file", F.col("_metadata.file_name"))
     files = read.groupBy("file").agg(F.min(key).alias("least"), F.max(key).alias("most"), F.count(F.lit(1)).alias("rows"))

@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import sys
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
+from pyarrow.fs import FileSelector
+from pyarrow.parquet import ParquetFile
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..operators.layout import CURVE_BITS, curve_position
+from ..session import scratch_path
 from .readers import read_json
+from .tail import open_store
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+BATCH_ROWS = 10_000
 
 
 def write_table(
@@ -98,14 +110,46 @@ def files_to_open(df: DataFrame, column: str, low, high) -> DataFrame:
     return bounds.agg(F.count(F.lit(1)).alias("files"), F.count_if(touched).alias("opened"))
 
 
-def write_sorted(df: DataFrame, path: str, order: Sequence, fmt: str = "parquet", files: int | None = None) -> None:
+def write_sorted(
+    df: DataFrame, path: str, order: Sequence, fmt: str = "parquet", files: int | None = None, compression: str | None = None
+) -> None:
     """One globally sorted table: file n holds only rows that come before those of file n + 1.
 
     Spark chooses the number of files by the size of the data, so a small table is one file. `files` asks for at most that
-    many; each is then written by one task.
+    many; each is then written by one task, but sorted by many; see `in_files`. `compression` is a codec of the format.
+    """
+    ordered = in_files(df, order, files) if files else df.orderBy(*order)
+    writer = ordered.write.format(fmt).mode("overwrite")
+    (writer.option("compression", compression) if compression else writer).save(path)
+
+
+def in_files(df: DataFrame, order: Sequence, files: int) -> DataFrame:
+    """`df` in `files` range partitions, sorted, none of which a single task has to sort.
+
+    With fewer files than the session has shuffle partitions, as many ranges as these are sorted and stored, the same number for
+    each file; a task then passes the rows of its file's ranges on in their order, a batch at a time.
     """
-    ordered = df.repartitionByRange(files, *order).sortWithinPartitions(*order) if files else df.orderBy(*order)
-    ordered.write.format(fmt).mode("overwrite").save(path)
+    spark = df.sparkSession
+    each = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // files)
+    ordered = df.repartitionByRange(files * each, *order).sortWithinPartitions(*order)
+    if each == 1:
+        return ordered
+    ranges = scratch_path(spark, "ranges")
+    ordered.write.option("compression", "zstd").parquet(ranges)
+    kinds = to_arrow_schema(df.schema)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, folder = open_store(ranges)
+        found = [f for f in store.get_file_info(FileSelector(folder)) if f.base_name.startswith("part-")]
+        for file in (n for batch in batches for n in batch.column(0).to_pylist()):
+            # part-<number of the range>-...
+            for info in sorted((f for f in found if int(f.base_name.split("-")[1]) // each == file), key=lambda f: f.base_name):
+                with store.open_input_file(info.path) as opened:
+                    for batch in ParquetFile(opened, coerce_int96_timestamp_unit="us").iter_batches(BATCH_ROWS):
+                        columns = [c.cast(f.type) for c, f in zip(batch.columns, kinds)]
+                        yield pa.RecordBatch.from_arrays(columns, schema=kinds)
+
+    return spark.range(0, files, 1, files).mapInArrow(read, df.schema)
 
 
 def write_json(df: DataFrame, path: str) -> None:

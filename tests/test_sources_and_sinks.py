@@ -17,6 +17,7 @@ from skewloom.sources.sinks import (
     fill_clustered_table,
     replace_partitions,
     write_json,
+    in_files,
     write_sorted,
     write_table,
     write_tsv,
@@ -156,6 +157,29 @@ def test_sorted_json_in_a_number_of_files(spark, totals, tmp_path):
     assert only.read_text().splitlines()[:2] == ['{"borough":"Bronx","n":0}', '{"borough":"Z1","n":1}']
 
 
+def test_few_sorted_files_are_sorted_by_many_tasks(spark, tmp_path, same_rows):
+    rows = spark.range(0, 4_000, 1, 5).selectExpr(
+        "IF(id % 50 = 7, null, id * 37 % 1000) AS n", "timestamp_micros(id * 86400000001 - 9000000000000000) AS at", "array(id, null) AS ids",
+        "CAST(id AS DECIMAL(20, 3)) AS amount", "named_struct('a', concat('é', id)) AS s",
+    )
+    write_sorted(rows, str(tmp_path / "few"), ["n"], files=2)
+    parts = files(tmp_path / "few", ".parquet")
+    found = [[r.n for r in spark.read.parquet(f"file:{p}").coalesce(1).collect()] for p in parts]
+    assert len(parts) == 2 and min(map(len, found)) > 1_000
+    numbers = [-1 if n is None else n for n in found[0] + found[1]]
+    assert numbers == sorted(numbers) and found[0][-1] < found[1][0]
+    same_rows(spark.read.parquet(str(tmp_path / "few")), rows)
+    sorting = in_files(rows, ["n"], 2)
+    assert sorting.rdd.getNumPartitions() == 2 and "Sort" not in sorting._jdf.queryExecution().toString()
+    write_sorted(rows.limit(0), str(tmp_path / "none"), ["n"], files=2)
+    assert spark.read.schema(rows.schema).parquet(str(tmp_path / "none")).count() == 0
+
+
+def test_sorted_json_may_be_compressed(spark, totals, tmp_path):
+    write_sorted(totals, str(tmp_path / "c"), ["n"], "json", compression="gzip")
+    assert files(tmp_path / "c", ".json.gz") and spark.read.json(str(tmp_path / "c")).count() == 1_000
+
+
 def test_tsv(spark, tmp_path):
     write_tsv(spark.createDataFrame([("a", 1)], "key string, value int").coalesce(1), str(tmp_path / "t"))
     (only,) = files(tmp_path / "t", ".csv")
