@@ -427,7 +427,7 @@ def rides_pruned(spark, folder):
 
 def single_file_sorted(spark, folder):
     path = scratch_path(spark, "stagemetrics")
-    write_sorted(mapping.stage_table(spark, folder), path, STAGE_ORDER, "json")
+    write_sorted(mapping.stage_table(spark, folder), path, STAGE_ORDER, "json", compression="gzip")
     return read_json(spark, path, STAGE_METRICS)
 
 
