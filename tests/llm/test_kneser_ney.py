@@ -75,3 +75,19 @@ def test_odd_rows(docs, labelled):
     assert not by_id[6].kept
     assert kneser_ney_quality(docs((1, "x")).limit(0), labelled((1, 1, 1))).count() == 0
     assert [r.kept for r in kneser_ney_quality(docs((1, "x y")), labelled()).collect()] == [True]
+
+
+def test_every_script_has_its_own_letters(docs, labelled):
+    """Prose and letters at random were one and the same in scripts beyond Latin-1."""
+    symbols = alphabet()
+    assert gram_codes("кот на окне", symbols).tolist() != gram_codes("мир за дома", symbols).tolist()
+    assert len({gram_codes(c, symbols)[-1] for c in "аб漢字ğş12!?€\0"}) == 12
+    prose = "съешь ещё этих мягких французских булок да выпей же чаю и ложись спать "
+    noise = "".join(chr(0x430 + n * n * 7 % 31) + " " * (n % 6 == 5) for n in range(700))
+    rows = [(n, prose * (2 + n % 3), "ru", "s") for n in range(12)] + [(12, noise, "ru", "s"), (13, prose, "ru", "s"), (14, "😀😁 " * 50, "ru", "s")]
+    found = {r.doc_id: r for r in kneser_ney_quality(docs(*rows), labelled(*[(n, 1, 0) for n in range(12)])).collect()}
+    assert found[13].kept and not found[12].kept and not found[14].kept
+    assert found[12].perplexity > 10 * found[13].perplexity and found[14].n_chars == 149
+    for sent in (0, 400):  # n-grams that are joined instead of sent
+        again = {r.doc_id: r for r in kneser_ney_quality(docs(*rows), labelled(*[(n, 1, 0) for n in range(12)]), sent=sent).collect()}
+        assert all(math.isclose(again[n].perplexity, found[n].perplexity, rel_tol=1e-9) for n in found)
