@@ -15,8 +15,7 @@ Rows have hashes and no text. Documents without a repeated fingerprint are not s
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +25,15 @@ from pyspark.sql import functions as F
 from ..session import store
 from .shared import bitmap_words, map_batches, marked, narrowed, row_key
 
-WORD = re.compile(r"[^\x20\x09-\x0d]+")
 SHORT_LINE = 4
 BASE = 0x9E3779B97F4A7C15
 MIX = np.uint64(0xBF58476D1CE4E5B9)
+LOWER = np.uint64((1 << 32) - 1)
+# Bytes of texts that are hashed together, and of the words that are hashed by eights.
+GROUP_BYTES = 1 << 18
+WORD_BYTES = 64
+IN_WORD = bytes(b not in b"\x20\x09\x0a\x0b\x0c\x0d" for b in range(256))
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def line_words(text: str) -> list[list[bytes]]:
@@ -41,9 +45,28 @@ def line_words(text: str) -> list[list[bytes]]:
 
 
 def least(keys: np.ndarray, window: int) -> np.ndarray:
-    """For each `window` neighbouring keys the place of the least; of equal ones the last."""
-    views = np.lib.stride_tricks.sliding_window_view(keys, window)[:, ::-1]
-    return np.arange(window - 1, len(keys)) - views.argmin(axis=1)
+    """For each `window` neighbouring keys the place of the least; of equal ones the last. Spans are doubled up to `window`."""
+    at, span = np.arange(len(keys)), 1
+    while span < window:
+        step = min(span, window - span)
+        right = keys[step:] <= keys[:-step]
+        at = np.where(right, at[step:], at[:-step])
+        keys = np.minimum(keys[step:], keys[:-step])
+        span += step
+    return at
+
+
+def least_grams(grams: np.ndarray, window: int) -> np.ndarray:
+    """As `least`, by the upper halves of the hashes: the lower half of a key is its place, so one minimum finds both.
+
+    Which gram stands for a run depends on nothing but the run's words, also where upper halves are equal.
+    """
+    keys, span = (grams | LOWER) - np.arange(len(grams), dtype=np.uint64), 1
+    while span < window:
+        step = min(span, window - span)
+        keys = np.minimum(keys[step:], keys[:-step])
+        span += step
+    return (LOWER - (keys & LOWER)).astype(np.int64)
 
 
 def winnow(hashes: list[int], lengths: list[int], window: int) -> list[int]:
@@ -65,43 +88,104 @@ def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
         values = np.full(size, base, np.uint64)
         values[0] = 1
         made.append(np.cumprod(values, dtype=np.uint64))
-    if size <= 1 << 14:
+    if size <= 1 << 17:
         POWERS[size] = made[0], made[1]
     return made[0], made[1]
 
 
-def prefix_sums(text: str, least_words: int) -> np.ndarray | None:
-    """Sums of word hashes times powers, from which `run_hashes` hashes any run; None if there are too few words."""
+def mixed(values: np.ndarray) -> np.ndarray:
+    """The values, changed in place, each by a one-to-one map."""
+    values ^= values >> np.uint64(32)
+    values *= MIX
+    values ^= values >> np.uint64(29)
+    return values
+
+
+def word_bounds(content: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of UTF-8 text start and end, in bytes."""
+    inside = np.frombuffer(b"\0" + content.translate(IN_WORD) + b"\0", bool)
+    turns = np.flatnonzero(inside[1:] != inside[:-1])
+    return turns[::2], turns[1::2]
+
+
+def word_hashes(content: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each word: of its length and its bytes, eight at a time; few are longer than WORD_BYTES."""
     from xxhash import xxh3_64_intdigest as digest
 
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if len(words) < least_words:
-        return None
-    up, _ = powers(1 << len(words).bit_length())
-    sums = np.zeros(len(words) + 1, np.uint64)
-    np.cumsum(np.fromiter(map(digest, words), np.uint64, len(words)) * up[: len(words)], out=sums[1:])
-    return sums
+    eights = np.ndarray(len(content) + 1, "<u8", content + bytes(8), strides=(1,))
+    sizes = ends - starts
+    values = sizes.astype(np.uint64) * np.uint64(BASE)
+    values += eights[starts] & MASKS[np.minimum(sizes, 8)]
+    mixed(values)
+    longer, at = np.flatnonzero(sizes > 8), 8
+    while len(longer) and at < WORD_BYTES:
+        part = eights[starts[longer] + at] & MASKS[np.minimum(sizes[longer] - at, 8)]
+        values[longer] = mixed(values[longer] + part)
+        at += 8
+        longer = longer[sizes[longer] > at]
+    for n in longer.tolist():
+        values[n] = digest(content[starts[n] : ends[n]])
+    return values
+
 
+def groups(texts: Iterable[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(place, firsts, sums) of neighbouring texts, which have GROUP_BYTES together unless one has more.
 
-def run_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    Words are in ASCII lower case. The words of text `place` + n are firsts[n], ..., firsts[n + 1] - 1 of the group; `sums`
+    are sums of their hashes times powers, from which `run_hashes` hashes any run.
+    """
+    held: list[bytes] = []
+    place = size = 0
+    for text in texts:
+        content = (text or "").encode("utf-8", "surrogatepass")
+        if held and size + len(content) > GROUP_BYTES:
+            yield place, *prefix_sums(held)
+            place, held, size = place + len(held), [], 0
+        held.append(content)
+        size += len(content) + 1
+    if held:
+        yield place, *prefix_sums(held)
+
+
+def prefix_sums(contents: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.fromiter(map(len, contents), np.int64, len(contents)) + 1
+    content = b"\n".join(contents).lower()
+    starts, ends = word_bounds(content)
+    firsts = np.searchsorted(starts, np.cumsum(sizes) - sizes)
+    values = word_hashes(content, starts, ends)
+    up, _ = powers(1 << len(values).bit_length())
+    values *= up[: len(values)]
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values, out=sums[1:])
+    return np.append(firsts, len(values)), sums
+
+
+def run_hashes(sums: np.ndarray, starts: np.ndarray | slice, ends: np.ndarray | slice) -> np.ndarray:
     """A hash of the words of each run, wherever it stands."""
     _, down = powers(1 << (len(sums) - 1).bit_length())
-    values = (sums[ends] - sums[starts]) * down[starts]
-    values ^= values >> np.uint64(32)
-    values *= MIX
-    values ^= values >> np.uint64(29)
-    return values
+    values = sums[ends] - sums[starts]
+    values *= down[starts]
+    return mixed(values)
 
 
-def contexts(sums: np.ndarray, min_words: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(gram, context, start, runs) of a text: runs `start`, ..., start + runs - 1 have the fingerprint `gram`."""
+def contexts(firsts: np.ndarray, sums: np.ndarray, min_words: int, window: int) -> tuple[np.ndarray, ...]:
+    """(text, gram, context, start, runs) of a group: runs `start`, ..., start + runs - 1 of `text` have the fingerprint `gram`."""
     size = max(1, min_words // window)
-    at = np.arange(len(sums) - size)
-    grams = run_hashes(sums, at, at + size)
-    chosen = least(grams, min_words - size + 1)
-    starts = np.flatnonzero(np.diff(chosen, prepend=-1))
-    runs = np.diff(starts, append=len(chosen))
-    return grams[chosen[starts]], run_hashes(sums, starts, starts + runs - 1 + min_words), starts, runs
+    words = len(sums) - 1
+    if words < min_words:
+        none = np.zeros(0, np.int64)
+        return none, none.view(np.uint64), none.view(np.uint64), none, none
+    grams = run_hashes(sums, slice(0, words + 1 - size), slice(size, words + 1))
+    chosen = least_grams(grams, min_words - size + 1)
+    text = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
+    # Runs that begin in one text and end in another are left out.
+    whole = np.flatnonzero(text[: len(chosen)] == text[min_words - 1 :])
+    turns = np.flatnonzero(np.diff(chosen[whole], prepend=-1))
+    starts = whole[turns]
+    runs = np.diff(turns, append=len(whole))
+    text = text[starts]
+    context = run_hashes(sums, starts, starts + runs - 1 + min_words)
+    return text, grams[chosen[starts]], context, starts - firsts[text], runs
 
 
 def merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -115,6 +199,14 @@ def merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     return found
 
 
+def covered(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Rows (text, start, end): the spans of each text, in order, with those that touch made one."""
+    spans: dict[int, list[tuple[int, int]]] = {}
+    for n, a, b in zip(text.tolist(), start.tolist(), end.tolist()):
+        spans.setdefault(n, []).append((a, b))
+    return np.array([(n, a, b) for n in spans for a, b in merged(spans[n])], np.int64).reshape(-1, 3)
+
+
 def fingerprints(documents: DataFrame, min_words: int, window: int) -> DataFrame:
     """(doc_id, row, gram, context, start, runs, again) for each context of each row.
 
@@ -125,24 +217,24 @@ def fingerprints(documents: DataFrame, min_words: int, window: int) -> DataFrame
 
     def run(batch: pa.RecordBatch) -> dict:
         parts: list[list[np.ndarray]] = [[], [], [], [], [], []]
-        for place, text in enumerate(batch.column(2).to_pylist()):
-            sums = prefix_sums(text, min_words)
-            if sums is None:
-                continue
-            gram, context, start, runs = contexts(sums, min_words, window)
-            first = np.unique(context, return_index=True)[1]
-            again = np.zeros(len(first), bool)
-            if len(first) < len(context):
-                rest = np.ones(len(context), bool)
-                rest[first] = False
-                ends = start[rest] + runs[rest] - 1 + min_words
-                spans = np.array(merged(zip(start[rest].tolist(), ends.tolist())))
-                none = np.zeros(len(spans), np.uint64)
-                gram, context = np.concatenate([gram[first], none]), np.concatenate([context[first], none])
-                start = np.concatenate([start[first], spans[:, 0]])
-                runs = np.concatenate([runs[first], spans[:, 1] - spans[:, 0] + 1 - min_words])
-                again = np.concatenate([again, np.ones(len(spans), bool)])
-            for held, values in zip(parts, (np.full(len(gram), place), gram, context, start, runs, again)):
+        for place, firsts, sums in groups(batch.column(2).to_pylist()):
+            text, gram, context, start, runs = contexts(firsts, sums, min_words, window)
+            first = np.unique(context + text.view(np.uint64) * np.uint64(BASE), return_index=True)[1]
+            rest = np.ones(len(context), bool)
+            rest[first] = False
+            spans = covered(text[rest], start[rest], start[rest] + runs[rest] - 1 + min_words)
+            none = np.zeros(len(spans), np.uint64)
+            again = np.repeat([False, True], [len(first), len(spans)])
+            first.sort()
+            rows = (
+                np.concatenate([text[first], spans[:, 0]]) + place,
+                np.concatenate([gram[first], none]),
+                np.concatenate([context[first], none]),
+                np.concatenate([start[first], spans[:, 1]]),
+                np.concatenate([runs[first], spans[:, 2] - spans[:, 1] + 1 - min_words]),
+                again,
+            )
+            for held, values in zip(parts, rows):
                 held.append(values)
         kinds = (np.int64, np.uint64, np.uint64, np.int64, np.int64, bool)
         places, gram, context, start, runs, again = (np.concatenate([np.zeros(0, k), *held]) for k, held in zip(kinds, parts))
@@ -161,16 +253,21 @@ def single_runs(firsts: DataFrame, documents: DataFrame, min_words: int) -> Data
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> dict:
-        places, parts = [], [[np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]]
-        for place, (text, asked) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-            sums = prefix_sums(text, min_words)
-            starts = np.concatenate([np.arange(x["start"], x["start"] + x["runs"]) for x in asked])
-            grams = np.repeat(np.array([x["gram"] for x in asked], np.int64), [x["runs"] for x in asked])
-            for held, values in zip(parts, (grams, run_hashes(sums, starts, starts + min_words), starts)):
-                held.append(values)
-            places += [place] * len(starts)
-        of_rows = pa.array(places, pa.int64())
-        gram, hashes, starts = map(np.concatenate, parts)
+        # Of each run that is asked for: its text, and where in the list of the requests of all texts its request stands.
+        column = batch.column(3)
+        asked = column.flatten()
+        of_request = column.value_parent_indices().to_numpy()
+        first, runs = (asked.field(name).to_numpy().astype(np.int64) for name in ("start", "runs"))
+        request = np.repeat(np.arange(len(runs)), runs)
+        places = of_request[request]
+        starts = np.arange(len(request)) - np.repeat(np.cumsum(runs) - runs, runs) + first[request]
+        gram = asked.field("gram").to_numpy()[request]
+        parts = [np.zeros(0, np.uint64)]
+        for place, firsts, sums in groups(batch.column(2).to_pylist()):
+            here = slice(*np.searchsorted(places, [place, place + len(firsts) - 1]))
+            at = firsts[places[here] - place] + starts[here]
+            parts.append(run_hashes(sums, at, at + min_words))
+        hashes, of_rows = np.concatenate(parts), pa.array(places)
         return {
             "doc_id": batch.column(0).take(of_rows), "row": batch.column(1).take(of_rows), "gram": gram,
             "run": hashes.view(np.int64), "start": starts,
@@ -207,14 +304,17 @@ def repeated(prints: DataFrame, documents: DataFrame, min_words: int) -> DataFra
 
 def without(text: str, spans: list[tuple[int, int]]) -> tuple[str, list[dict]]:
     """The text without the words in `spans`, and what was deleted in code points."""
-    starts = [m.start() for m in WORD.finditer(text)] + [len(text)]
-    gone = [(starts[a], starts[b]) for a, b in merged(spans)]
-    kept, at = [], 0
+    content = text.encode("utf-8", "surrogatepass")
+    starts = np.append(word_bounds(content)[0], len(content))
+    gone = [(int(starts[a]), int(starts[b])) for a, b in merged(spans)]
+    kept, removed, at, point = [], [], 0, 0
     for a, b in gone:
-        kept.append(text[at:a])
-        at = b
-    kept.append(text[at:])
-    return "".join(kept), [{"start": a, "end": b} for a, b in gone]
+        stays, goes = (content[i:j].decode("utf-8", "surrogatepass") for i, j in ((at, a), (a, b)))
+        removed.append({"start": point + len(stays), "end": point + len(stays) + len(goes)})
+        kept.append(stays)
+        at, point = b, removed[-1]["end"]
+    kept.append(content[at:].decode("utf-8", "surrogatepass"))
+    return "".join(kept), removed
 
 
 def line_dedup(documents: DataFrame, min_words: int = 50, window: int = 2) -> DataFrame:

@@ -1,8 +1,12 @@
 """Line deduplication: what must go, what must stay, and that something of every passage stays."""
 
 import random
+import time
 
-from skewloom.llm.line_dedup import line_dedup, line_words, winnow
+import numpy as np
+from xxhash import xxh3_64_intdigest
+
+from skewloom.llm.line_dedup import contexts, groups, least, least_grams, line_dedup, line_words, prefix_sums, winnow, without
 from skewloom.llm.shared import table
 
 from .conftest import ODD
@@ -147,3 +151,58 @@ def test_passages_without_whole_lines_go(docs):
     expected = expected_words(rows, 50)
     assert found == expected
     assert all(len(expected[n]) == 30 for n in range(1, 20)) and all(len(expected[100 + n]) == 24 for n in range(1, 20))
+
+
+def test_texts_hashed_together_have_their_own_runs():
+    """Whatever stands beside a text, its runs, fingerprints and contexts are its own, also with long words and other spaces."""
+    rng = random.Random(14)
+    words = ["a", "B", "eight888", "nine99999", "é中", "x" * 64, "y" * 65, "z" * 300, "\x00", "\x85", "\x1c"]
+    texts = ["".join(rng.choice(words) + rng.choice(" \t\n\x0b\x0c\r") * rng.randint(1, 2) for _ in range(n)) for n in (0, 1, 5, 6, 40, 9, 200)]
+    texts = [None, "", " \n", *texts, " ".join(f"Word{n}" for n in range(60_000)), texts[-1].lower()]
+    found = {}
+    for place, firsts, sums in groups(texts):
+        text, gram, context, start, runs = contexts(firsts, sums, 6, 2)
+        for n, *values in zip((text + place).tolist(), gram.tolist(), context.tolist(), start.tolist(), runs.tolist()):
+            found.setdefault(n, []).append(values)
+    for n, text in enumerate(texts):
+        size = len((text or "").encode().split())
+        ((_, firsts, sums),) = groups([text])
+        alone = list(zip(*(values.tolist() for values in contexts(firsts, sums, 6, 2)[1:])))
+        assert len(sums) == size + 1 and [tuple(x) for x in found.get(n, [])] == alone
+        assert [s + i for _, _, s, r in alone for i in range(r)] == list(range(size - 5))
+    assert found[9] == found[11]
+    different = words + [w + "\x00" for w in words]
+    assert len({prefix_sums([w.encode()])[1][1] for w in different}) == len(different)
+
+
+def test_least_of_neighbours():
+    rng = random.Random(15)
+    for _ in range(200):
+        window, size = rng.randint(1, 9), rng.randint(9, 60)
+        keys = [rng.getrandbits(3) for _ in range(size)]
+        expected = [min(range(i, i + window), key=lambda at: (keys[at], -at)) for i in range(size - window + 1)]
+        assert least(np.array(keys, np.uint64), window).tolist() == expected
+        assert least_grams(np.array(keys, np.uint64) << np.uint64(32), window).tolist() == expected
+
+
+def test_fingerprints_cost_less_than_hashing_words_one_by_one():
+    rng = random.Random(16)
+    text = " ".join(sentence(rng, 10) for _ in range(20_000))
+
+    def seconds(work):
+        times = []
+        for _ in range(3):
+            began = time.process_time()
+            work()
+            times.append(time.process_time() - began)
+        return min(times)
+
+    found = seconds(lambda: [contexts(firsts, sums, 50, 2) for _, firsts, sums in groups([text])])
+    one_by_one = seconds(lambda: np.fromiter(map(xxh3_64_intdigest, text.encode().lower().split()), np.uint64))
+    assert found < one_by_one
+
+
+def test_deleted_spans_count_code_points():
+    text = "\tÉa  b\U0001f600 c\x0bd\n"
+    assert without(text, [(1, 2), (3, 4)]) == ("\tÉa  c\x0b", [{"start": 5, "end": 8}, {"start": 10, "end": 12}])
+    assert without(text, [(0, 2), (1, 4)]) == ("\t", [{"start": 1, "end": 12}])
