@@ -45,7 +45,8 @@ TASK_FIELDS = {
 NANOSECONDS = ("executorCpuTime", "executorDeserializeCpuTime", "shuffleWriteTime")
 PEAK = "peakExecutionMemory"
 SKETCH_SIZE = 4096
-MEASURES = (*TASK_FIELDS, "shuffleTotalBytesRead")
+TOTAL_READ = "shuffleTotalBytesRead"
+MEASURES = (*TASK_FIELDS, TOTAL_READ)
 
 
 def parse_events(lines: DataFrame, *kinds: str) -> DataFrame:
@@ -65,8 +66,7 @@ def _measures() -> dict[str, Column]:
     for name, place in TASK_FIELDS.items():
         field = F.col("`Task Metrics`." + ".".join(f"`{part}`" for part in place.split(".")))
         columns[name] = F.floor(field / 1_000_000) if name in NANOSECONDS else field
-    read = [columns["shuffleLocalBytesRead"], columns["shuffleRemoteBytesRead"]]
-    columns["shuffleTotalBytesRead"] = read[0] + read[1]
+    columns[TOTAL_READ] = columns["shuffleLocalBytesRead"] + columns["shuffleRemoteBytesRead"]
     return columns
 
 
@@ -75,7 +75,7 @@ def task_metrics(lines: DataFrame, since: int | None = None, until: int | None =
 
     `since` and `until` (epoch milliseconds) keep the tasks launched in between. Nothing is stored: the text is scanned once for
     the tasks and once more for the few job starts, and only those lines are parsed. Later jobs name a stage again when they
-    reuse its output, so the first job counts.
+    reuse its output, so the first job counts. A sum of two columns is not carried through the join but made after it.
     """
     tasks = parse_events(lines, TASK_END).select(
         "app_id",
@@ -85,11 +85,13 @@ def task_metrics(lines: DataFrame, since: int | None = None, until: int | None =
         F.col("Task Info.Attempt").alias("attempt"),
         F.col("Task Info.Launch Time").alias("launchTime"),
         (F.col("Task Info.Finish Time") - F.col("Task Info.Launch Time")).alias("duration"),
-        *[value.alias(name) for name, value in _measures().items()],
+        *[value.alias(name) for name, value in _measures().items() if name != TOTAL_READ],
     )
     starts = parse_events(lines, JOB_START).select("app_id", F.col("Job ID").alias("jobId"), F.explode("Stage IDs").alias("stageId"))
     jobs = starts.groupBy("app_id", "stageId").agg(F.min("jobId").alias("jobId"))
-    return _between(tasks, "launchTime", since, until).join(jobs, ["app_id", "stageId"], "left")
+    joined = _between(tasks, "launchTime", since, until).join(jobs, ["app_id", "stageId"], "left")
+    total = F.col("shuffleLocalBytesRead") + F.col("shuffleRemoteBytesRead")
+    return joined.select(*tasks.columns, total.alias(TOTAL_READ), "jobId")
 
 
 def task_sketches(lines: DataFrame, size: int = SKETCH_SIZE) -> DataFrame:
@@ -102,7 +104,7 @@ def task_sketches(lines: DataFrame, size: int = SKETCH_SIZE) -> DataFrame:
         "app_id",
         F.col("Stage ID").alias("stageId"),
         (F.col("Task Info.Finish Time") - F.col("Task Info.Launch Time")).alias("duration"),
-        F.coalesce(_measures()["shuffleTotalBytesRead"], F.lit(0)).alias("bytes"),
+        F.coalesce(_measures()[TOTAL_READ], F.lit(0)).alias("bytes"),
     )
     return tasks.groupBy("app_id", "stageId").agg(
         F.count("duration").alias("tasks"),

@@ -171,6 +171,19 @@ def test_task_metrics(event_lines):
     assert {r.duration for r in rows} == {500}
 
 
+def test_tasks_are_joined_without_the_sum(spark):
+    """The sum of local and remote bytes is no column of the rows that are shuffled; it is there afterwards, null with either."""
+    read = [{"Local Bytes Read": 3, "Remote Bytes Read": 4}, {"Local Bytes Read": 3}, {}]
+    lines = [task(7, index=n, **{"Shuffle Read Metrics": metrics}) for n, metrics in enumerate(read)]
+    lines.append(line(Event="SparkListenerJobStart", Job_ID=4, Stage_IDs=[7]))
+    tasks = task_metrics(spark.createDataFrame([("app-1", text) for text in lines], "app_id string, value string"))
+    assert tasks.columns[-2:] == ["shuffleTotalBytesRead", "jobId"]
+    rows = sorted(tasks.select("index", "shuffleTotalBytesRead", "jobId").collect())
+    assert [tuple(r) for r in rows] == [(0, 7, 4), (1, None, 4), (2, None, 4)]
+    above, join, below = tasks.select("shuffleTotalBytesRead", "jobId")._jdf.queryExecution().optimizedPlan().toString().partition("Join LeftOuter")
+    assert join and "AS shuffleTotalBytesRead" in above and "shuffleTotalBytesRead" not in below
+
+
 def test_app_metrics(event_lines):
     stages = stage_metrics(event_lines)
     app = app_metrics(stages).first()
