@@ -91,6 +91,17 @@ def measured(spark: SparkSession, tag: str) -> Iterator[None]:
             context.removeJobTag(tag)
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session option for what runs inside."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path for a written table, in the shared folder named by spark.checkpoint.dir.
 

@@ -5,22 +5,32 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow.fs import FileSelector
 from pyarrow.parquet import ParquetFile
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..operators.layout import CURVE_BITS, curve_position
-from ..session import scratch_path
+from ..session import scratch_path, setting
 from .readers import read_json
 from .tail import open_store
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BATCH_ROWS = 10_000
+RANGE_ROWS = 1_000_000  # of a range that one task sorts, about
+RANGE_SAMPLE = 100  # keys for each range
+PACK_BYTES = 64 << 20  # that a task gathers before it packs them by range
+SORTED_ALIKE = [
+    *(T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.BooleanType(), T.StringType(), T.BinaryType()),
+    *(T.DateType(), T.TimestampType(), T.TimestampNTZType()),
+]
 
 
 def write_table(
@@ -111,31 +121,41 @@ def files_to_open(df: DataFrame, column: str, low, high) -> DataFrame:
 
 
 def write_sorted(
-    df: DataFrame, path: str, order: Sequence, fmt: str = "parquet", files: int | None = None, compression: str | None = None
+    df: DataFrame,
+    path: str,
+    order: Sequence,
+    fmt: str = "parquet",
+    files: int | None = None,
+    compression: str | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> None:
     """One globally sorted table: file n holds only rows that come before those of file n + 1.
 
     Spark chooses the number of files by the size of the data, so a small table is one file. `files` asks for at most that
-    many; each is then written by one task, but sorted by many; see `in_files`. `compression` is a codec of the format.
+    many; each is then written by one task, but sorted by many; see `in_files`. `compression` is a codec of the format, and
+    `options` are other options of its writer, such as the codec's level.
     """
     ordered = in_files(df, order, files) if files else df.orderBy(*order)
-    writer = ordered.write.format(fmt).mode("overwrite")
+    writer = ordered.write.format(fmt).mode("overwrite").options(**(options or {}))
     (writer.option("compression", compression) if compression else writer).save(path)
 
 
 def in_files(df: DataFrame, order: Sequence, files: int) -> DataFrame:
     """`df` in `files` range partitions, sorted, none of which a single task has to sort.
 
-    With fewer files than the session has shuffle partitions, as many ranges as these are sorted and stored, the same number for
-    each file; a task then passes the rows of its file's ranges on in their order, a batch at a time.
+    With fewer files than the session has shuffle partitions, or than there are times RANGE_ROWS rows, as many ranges as these
+    are sorted and stored, the same number for each file; a task then passes the rows of its file's ranges on in their order, a
+    batch at a time. `df` is counted and read once more for its ranges; it should be a scan or a stored table.
     """
     spark = df.sparkSession
-    each = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // files)
-    ordered = df.repartitionByRange(files * each, *order).sortWithinPartitions(*order)
+    rows, least = df.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    each = -(-max(least, -(-rows // RANGE_ROWS)) // files)
     if each == 1:
-        return ordered
+        return df.repartitionByRange(files, *order).sortWithinPartitions(*order)
     ranges = scratch_path(spark, "ranges")
-    ordered.write.option("compression", "zstd").parquet(ranges)
+    ordered = _in_ranges(df, order, files * each, rows).sortWithinPartitions(*order)
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):  # its files would stay beside the ranges
+        ordered.write.option("compression", "zstd").parquet(ranges)
     kinds = to_arrow_schema(df.schema)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,6 +172,64 @@ def in_files(df: DataFrame, order: Sequence, files: int) -> DataFrame:
     return spark.range(0, files, 1, files).mapInArrow(read, df.schema)
 
 
+def _in_ranges(df: DataFrame, order: Sequence, ranges: int, rows: int) -> DataFrame:
+    """`df`, which has `rows` rows, in `ranges` range partitions, shuffled in less space than its rows take one by one.
+
+    The rows that a task has for a range travel together, by column and compressed. Ranges are cut by a sample of the keys.
+    An order by anything else than columns that Arrow and Spark sort alike is left to Spark, row by row.
+    """
+    if not all(isinstance(c, str) and c in df.columns and df.schema[c].dataType in SORTED_ALIKE for c in order):
+        return df.repartitionByRange(ranges, *order)
+    by = list(dict.fromkeys(order))
+    kinds = to_arrow_schema(df.select(*by).schema)
+    share = min(1.0, RANGE_SAMPLE * ranges / max(1, rows))
+    sample = df.select(*by).sample(fraction=share, seed=1).toArrow().cast(kinds)
+    keys = sample.take(_sorted_places(sample))
+    cuts = keys.take(np.arange(1, ranges) * len(keys) // ranges) if len(keys) else keys
+
+    def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        # A row stands before the cuts that are not below it: its range is the number of cuts before it.
+        places = _sorted_places(table.select(by).cast(kinds), cuts)
+        rows = places < len(table)
+        table = table.take(places[rows]).combine_chunks()
+        found, counts = np.unique(np.cumsum(~rows)[rows], return_counts=True)
+        packs = []
+        for stop, count in zip(counts.cumsum().tolist(), counts.tolist()):
+            sink = pa.BufferOutputStream()
+            with pa.CompressedOutputStream(sink, "zstd") as packer, pa.ipc.new_stream(packer, table.schema) as stream:
+                stream.write_table(table.slice(stop - count, count))
+            packs.append(sink.getvalue().to_pybytes())
+        return pa.record_batch({"range": pa.array(found, pa.int32()), "pack": pa.array(packs, pa.binary())})
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if size >= PACK_BYTES:
+                yield packed(held)
+                held, size = [], 0
+        if held:
+            yield packed(held)
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for pack in (pack for batch in batches for pack in batch.column("pack")):
+            with pa.CompressedInputStream(pa.BufferReader(pack.as_buffer()), "zstd") as opened:
+                yield from pa.ipc.open_stream(opened)
+
+    dealt = df.mapInArrow(pack, "range int, pack binary").repartitionById(ranges, "range")
+    return dealt.mapInArrow(unpack, df.schema)
+
+
+def _sorted_places(keys: pa.Table, cuts: pa.Table | None = None) -> np.ndarray:
+    """The places of rows in their order, nulls first; `cuts` stand behind them, and come after rows that are equal."""
+    late = np.repeat([0, 1], [len(keys), len(cuts or [])])
+    columns = (pa.concat_tables([keys, cuts]) if cuts else keys).columns
+    table = pa.table([*columns, pa.array(late)], names=[str(n) for n in range(len(columns) + 1)])
+    return pc.sort_indices(table, sort_keys=[(c, "ascending") for c in table.column_names], null_placement="at_start").to_numpy()
+
+
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import re
 from pathlib import Path
 from types import SimpleNamespace
 
@@ -7,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from skewloom.plans import mapping
+from skewloom.plans.queries import QUERIES
 from skewloom.plans.rides import DAY, RIDE_JOBS
 from skewloom.session import PROFILES, scratch_path
-from skewloom.sources import schemas
+from skewloom.sources import schemas, sinks
 from skewloom.sources.readers import list_files, read_csv, read_json, read_parquet, register_views
 from skewloom.sources.sinks import (
     convert,
@@ -175,6 +177,85 @@ def test_few_sorted_files_are_sorted_by_many_tasks(spark, tmp_path, same_rows):
     assert spark.read.schema(rows.schema).parquet(str(tmp_path / "none")).count() == 0
 
 
+@pytest.fixture
+def tasks(spark, log_dir):
+    """The metrics of the tasks that ran since the fixture was last asked."""
+    (log,) = (p for p in log_dir.iterdir() if spark.sparkContext.applicationId in p.name)
+    seen = [log.stat().st_size]
+
+    def since():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        with log.open() as file:
+            file.seek(seen[0])
+            events = [json.loads(line) for line in file.readlines() if line.endswith("\n")]
+            seen[0] = file.tell()
+        return [e["Task Metrics"] for e in events if e["Event"] == "SparkListenerTaskEnd"]
+
+    return since
+
+
+def test_few_sorted_files_shuffle_packed_rows(spark, tmp_path, tasks):
+    """No row travels alone, and what travels takes less than two thirds of the space of rows in the shuffle."""
+    rows = spark.range(0, 60_000, 1, 4).select(
+        F.pmod(F.xxhash64("id"), F.lit(5_000)).alias("job"), "id", *[(F.pmod(F.hash("id"), F.lit(1_000)) * n).alias(f"m{n}") for n in range(1, 20)]
+    )
+    tasks()
+    rows.repartitionByRange(8, "job", "id").write.format("noop").mode("overwrite").save()
+    plain = sum(m["Shuffle Write Metrics"]["Shuffle Bytes Written"] for m in tasks())
+    write_sorted(rows, str(tmp_path / "few"), ["job", "id"], files=2)
+    shuffled = [m["Shuffle Write Metrics"] for m in tasks() if m["Shuffle Write Metrics"]["Shuffle Records Written"]]
+    assert sum(m["Shuffle Bytes Written"] for m in shuffled) < plain * 2 / 3
+    assert sum(m["Shuffle Records Written"] for m in shuffled) <= 4 * 8 + 8  # a pack a task and range, and the counts
+    found = [r for p in files(tmp_path / "few", ".parquet") for r in spark.read.parquet(f"file:{p}").coalesce(1).collect()]
+    assert [(r.job, r.id) for r in found] == sorted((r.job, r.id) for r in rows.collect())
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_sorted_files_by_keys_of_all_kinds(spark, tmp_path, same_rows, settings, zone):
+    settings("spark.sql.session.timeZone", zone)
+    rows = spark.range(0, 3_000, 1, 5).selectExpr(
+        "id", "IF(id % 9 = 0, null, concat(chr(65 + cast(id * 7 % 50 AS int)), 'é', id % 4)) AS text", "id % 3 = 0 AS flag",
+        "IF(id % 7 = 0, null, timestamp_micros(id * 86400000001 * 37 % 9000000000000000)) AS at", "date_from_unix_date(CAST(id * 31 % 900 AS int)) AS day",
+        "CAST(id * 13 % 40 - 20 AS tinyint) AS small", "IF(id % 11 = 0, double('NaN'), double(id * 17 % 70 - 30)) AS real", "map('a', timestamp_micros(id)) AS seen",
+    )
+    for n, order in enumerate((["text", "at"], ["flag", "small", "id"], ["day", "text"], ["real", "id"], [F.col("small").desc_nulls_first(), "id"], ["at"])):
+        write_sorted(rows, str(tmp_path / str(n)), order, files=3)
+        parts = files(tmp_path / str(n), ".parquet")
+        found = [spark.read.parquet(f"file:{p}").coalesce(1).withColumn("place", F.monotonically_increasing_id() + F.lit(k << 40)) for k, p in enumerate(parts)]
+        stored = found[0].unionByName(found[1]).unionByName(found[2])
+        keys = [c for c in order if isinstance(c, str)] or ["small"]
+        placed = [tuple(r) for r in stored.orderBy("place").select(*keys).collect()]
+        if "real" in keys:
+            placed, expected = ([tuple(map(str, r)) for r in x] for x in (placed, rows.orderBy(*order).select(*keys).collect()))
+        else:
+            expected = [tuple(r) for r in rows.orderBy(*order).select(*keys).collect()]
+        assert placed == expected and len(parts) == 3
+        same_rows(stored.drop("place").withColumn("seen", F.map_entries("seen")), rows.withColumn("seen", F.map_entries("seen")))
+
+
+def test_ranges_grow_in_number_with_the_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "RANGE_ROWS", 100)
+    monkeypatch.setattr(sinks, "PACK_BYTES", 1_000)
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.glob("ranges-*"))
+    write_sorted(spark.range(0, 3_000, 1, 4).select((F.col("id") * 7 % 3_000).alias("n")), str(tmp_path / "few"), ["n"], "json", files=2)
+    (ranges,) = set(shared.glob("ranges-*")) - before
+    sizes = [r["count"] for r in spark.read.parquet(str(ranges)).groupBy("_metadata.file_name").count().collect()]
+    assert len(sizes) == 30 and sum(sizes) == 3_000 and max(sizes) < 300
+    lines = [json.loads(line)["n"] for part in files(tmp_path / "few", ".json") for line in part.read_text().splitlines()]
+    assert lines == list(range(3_000))
+
+
+def test_rows_in_few_sorted_files_are_not_sorted_again(spark, folder, plan):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.glob("sorted-files-*"))
+    found = QUERIES["sorted_files"](spark, folder)
+    assert not re.search(r"Aggregate\(key=\[\w", plan(found))
+    assert found.collect() == [(spark.read.parquet(f"{folder}/lineitem.parquet").count(), 0)]
+    (path,) = set(shared.glob("sorted-files-*")) - before
+    assert len(files(path, ".json.gz")) == 3
+
+
 def test_sorted_json_may_be_compressed(spark, totals, tmp_path):
     write_sorted(totals, str(tmp_path / "c"), ["n"], "json", compression="gzip")
     assert files(tmp_path / "c", ".json.gz") and spark.read.json(str(tmp_path / "c")).count() == 1_000
